@@ -61,7 +61,8 @@ def main(names: list[str]) -> int:
     from pyspark.sql import SparkSession
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate())
+             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracles = duck(sf_dir), entry.queries(), entry.oracle_sql()
     bad = 0
