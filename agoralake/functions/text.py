@@ -6,9 +6,9 @@ ASCII in Java while the data is Spanish, French and emoji-heavy.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from agoralake import lexicon
 
@@ -27,6 +27,21 @@ EMOJI = (
 SPACE_RUN = rf"[{SPACES}]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it several times inside a CASE."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add or replace columns by way of a one-row generator.
+
+    A filter on a costly plain column is moved below it by the optimizer and computes it a second time; it cannot be
+    moved below a generator.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def trim_spaces(c: Column) -> Column:
     """Strip any Unicode white space at both ends."""
     return F.regexp_replace(c, rf"^[{SPACES}]+|[{SPACES}]+$", "")
@@ -85,12 +100,14 @@ def distinct_words(c: Column) -> Column:
 
 def detect_spanish(c: Column, keywords: Sequence[str] = lexicon.SPANISH_KEYWORDS, share: float = 0.10) -> Column:
     """``es`` when enough of the distinct words are Spanish function words, else ``unknown``; NULL for tiny texts."""
-    words = distinct_words(c)
-    hits = F.size(F.array_intersect(words, F.array([F.lit(w) for w in keywords])))
-    # hits/n >= share without dividing by zero for a text of spaces only.
-    spanish = (hits >= 1) & (hits / F.greatest(F.size(words), F.lit(1)) >= F.lit(share))
+    known = F.array([F.lit(w) for w in keywords])
+
+    def verdict(words: Column) -> Column:
+        enough = F.size(F.array_intersect(words, known)) / F.greatest(F.size(words), F.lit(1)) >= F.lit(share)
+        return F.when((F.size(words) > 0) & enough, F.lit("es")).otherwise(F.lit("unknown"))
+
     tiny = c.isNull() | (F.length(trim_spaces(c)) < 3)
-    return F.when(tiny, F.lit(None)).when(spanish, F.lit("es")).otherwise(F.lit("unknown"))
+    return F.when(tiny, F.lit(None)).otherwise(let(distinct_words(c), verdict))
 
 
 def word_count(clean: Column) -> Column:
@@ -105,11 +122,9 @@ def char_count(clean: Column) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """Undo UTF-8 text that was read as Latin-1; text that is not such a case is returned unchanged."""
-    as_bytes = F.encode(c, "ISO-8859-1")
-    fits = c.rlike(r"^[\x{00}-\x{FF}]*$")
-    # CASE keeps encode() away from characters outside Latin-1, which would raise.
-    return F.when(fits & F.is_valid_utf8(F.when(fits, as_bytes).cast("string")),
-                  F.decode(F.when(fits, as_bytes), "UTF-8")).otherwise(c)
+    # The test keeps encode() away from characters outside Latin-1, which would raise.
+    as_bytes = F.when(c.rlike(r"^[\x{00}-\x{FF}]*$"), F.encode(c, "ISO-8859-1"))
+    return F.coalesce(F.try_validate_utf8(as_bytes.cast("string")), c)
 
 
 _ACCENTED = "áéíóúàèìòùüñ"

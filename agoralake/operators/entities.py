@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from agoralake import lexicon
-from agoralake.functions.text import analysis_text, renormalized
+from agoralake.functions.text import analysis_text, once, renormalized
 
 MIN_TOKEN = 5
 CUTOFF = 85.0
@@ -19,12 +19,13 @@ def _padded(c: Column) -> Column:
     return F.concat(F.lit(" "), F.coalesce(c, F.lit("")), F.lit(" "))
 
 
-def alias_entities(text: Column, aliases: Mapping[str, str] = lexicon.CANDIDATE_ALIASES) -> Column:
+def alias_entities(text: Column, aliases: Mapping[str, str] = lexicon.CANDIDATE_ALIASES, padded: bool = False) -> Column:
     """Sorted distinct entities whose alias stands as whole words in a normalised text.
 
-    Normalised text has only word characters and single spaces, so whole-word search is a plain substring search.
+    Normalised text has only word characters and single spaces, so whole-word search is a plain substring search once the
+    text is padded with a space on either side.
     """
-    padded = _padded(text)
+    padded = text if padded else _padded(text)
     by_entity: dict[str, list[str]] = {}
     for alias, entity in aliases.items():
         by_entity.setdefault(entity, []).append(alias)
@@ -75,35 +76,59 @@ def lcs_ratio(a: Column, b: Column) -> Column:
     return F.lit(200.0) * lcs_length(a, b) / (F.length(a) + F.length(b))
 
 
+def _allowed_edits(length: Column | int, target: str, cutoff: float) -> Column | int:
+    """Insertions plus deletions a token of this length may be away from the target."""
+    spare = (100.0 - cutoff) / 100.0
+    total = length + len(target)
+    return int(total * spare + 1e-9) if isinstance(length, int) else F.floor(total * spare + 1e-9)
+
+
+def _longest(target: str, cutoff: float) -> int:
+    """Longest token that can still reach the cutoff: twice the target over both lengths."""
+    return int(len(target) * (200.0 / cutoff - 1.0) + 1e-9)
+
+
+def _near(token: Column, target: str, cutoff: float) -> Column:
+    """Cheap tests that drop no pair at or above the cutoff: the lengths bound the ratio, and the built-in edit distance
+    never exceeds the number of insertions and deletions."""
+    longest = _longest(target, cutoff)
+    allowed = _allowed_edits(F.length(token), target, cutoff)
+    return ((F.length(token) <= longest) & (F.abs(F.length(token) - len(target)) <= allowed)
+            & F.levenshtein(token, F.lit(target), _allowed_edits(longest, target, cutoff)).between(0, allowed))
+
+
+def _best_target(token: Column, targets: Mapping[str, str], cutoff: float) -> Column:
+    """Struct (ratio, rank, entity) of the closest target among those that pass the cheap tests; ties: the earlier one."""
+    return F.array_max(F.array_compact(F.array(*[
+        F.when(_near(token, target, cutoff), F.struct(
+            lcs_ratio(token, F.lit(target)).alias("ratio"), F.lit(-rank).alias("rank"), F.lit(entity).alias("entity")))
+        for rank, (target, entity) in enumerate(targets.items())])))
+
+
 def close_targets(tokens: DataFrame, targets: Mapping[str, str] = lexicon.FUZZY_TARGETS,
                   cutoff: float = CUTOFF) -> DataFrame:
-    """From a one-column frame of distinct ``token``s, the (token, entity) pairs at or above ``cutoff``.
-
-    Two cheap tests run before the exact one and drop nothing that could pass: the lengths bound the ratio, and the
-    built-in edit distance never exceeds the number of insertions and deletions the ratio allows. The best target wins;
-    on a tie, the earlier one.
-    """
-    choices = list(targets.items())
-    ratios = []
-    for rank, (target, entity) in enumerate(choices):
-        goal = F.lit(target)
-        total = F.length("token") + len(target)
-        allowed = F.floor(total * F.lit((100.0 - cutoff) / 100.0) + F.lit(1e-9))
-        bound = int((100.0 - cutoff) / 100.0 * (2 * len(target)) / (cutoff / 100.0)) + len(target)
-        most = int((100.0 - cutoff) / 100.0 * (bound + len(target)) + 1e-9)
-        near = (
-            (F.length("token") <= bound)
-            & (F.abs(F.length("token") - len(target)) <= allowed)
-            & F.levenshtein(F.col("token"), goal, most).between(0, allowed)
-        )
-        ratios.append(F.when(near, F.struct(
-            lcs_ratio(F.col("token"), goal).alias("ratio"), F.lit(-rank).alias("rank"), F.lit(entity).alias("entity"))))
-    best = F.array_max(F.array_compact(F.array(*ratios)))
-    scored = tokens.withColumn("_best", best)
+    """From a one-column frame of distinct ``token``s, the (token, entity, ratio) at or above ``cutoff``."""
+    scored = tokens.withColumn("_best", _best_target(F.col("token"), targets, cutoff))
     return scored.where(F.col("_best.ratio") >= cutoff).select(
         "token", F.col("_best.entity").alias("entity"), F.col("_best.ratio").alias("ratio"))
 
 
+def fuzzy_in_row(text: Column, targets: Mapping[str, str] = lexicon.FUZZY_TARGETS, cutoff: float = CUTOFF,
+                 min_length: int = MIN_TOKEN) -> Column:
+    """Entities of the fuzzy tokens of one normalised text, without leaving the row: no shuffle, no second scan."""
+    longest = max(_longest(t, cutoff) for t in targets)
+
+    def possible(token: Column) -> Column:
+        near = F.lit(False)
+        for target in targets:
+            near = near | _near(token, target, cutoff)
+        return F.length(token).between(min_length, longest) & near
+
+    found = F.transform(F.filter(F.array_distinct(F.split(text, " ")), possible),
+                        lambda token: _best_target(token, targets, cutoff))
+    return F.array_distinct(F.transform(F.filter(found, lambda m: m["ratio"] >= cutoff), lambda m: m["entity"]))
+
+
 def post_tokens(df: DataFrame, key: str, text: str, min_length: int = MIN_TOKEN) -> DataFrame:
     """Distinct long tokens per post."""
     words = F.filter(F.array_distinct(F.split(F.col(text), " ")), lambda w: F.length(w) >= min_length)
@@ -112,7 +137,10 @@ def post_tokens(df: DataFrame, key: str, text: str, min_length: int = MIN_TOKEN)
 
 def fuzzy_entities(df: DataFrame, key: str, text: str, targets: Mapping[str, str] = lexicon.FUZZY_TARGETS,
                    cutoff: float = CUTOFF) -> DataFrame:
-    """(key, entity) pairs found by fuzzy tokens. Similarity is computed once per distinct token of the table."""
+    """(key, entity) pairs found by fuzzy tokens, similarity computed once per distinct token of the table.
+
+    Worth its two scans and shuffles when the targets are many; for a handful ``fuzzy_in_row`` is faster.
+    """
     tokens = post_tokens(df, key, text)
     vocabulary = close_targets(tokens.select("token").distinct(), targets, cutoff)
     return tokens.join(vocabulary, "token").select(key, "entity").distinct()
@@ -125,28 +153,27 @@ def parties_of(candidates: Column, party_of: Mapping[str, str] = lexicon.CANDIDA
     return F.array_compact(F.transform(candidates, lambda c: F.try_element_at(table, c)))
 
 
-def with_entities(df: DataFrame, key: str, text: str, aliases: Mapping[str, str] = lexicon.CANDIDATE_ALIASES,
+def with_entities(df: DataFrame, text: str, aliases: Mapping[str, str] = lexicon.CANDIDATE_ALIASES,
                   party_aliases: Mapping[str, str] = lexicon.PARTY_ALIASES,
                   party_of: Mapping[str, str] = lexicon.CANDIDATE_PARTY,
                   fuzzy_targets: Mapping[str, str] | None = lexicon.FUZZY_TARGETS, cutoff: float = CUTOFF) -> DataFrame:
     """Add ``candidatos`` and ``partidos``, sorted arrays; empty when nothing is mentioned.
 
-    ``text`` is a normalised column and ``key`` is unique per row.
+    ``text`` is a normalised column. Everything happens inside the row. A dictionary of thousands of aliases belongs in
+    ``alias_entities_by_join`` instead.
     """
-    known = df.withColumn("_t", renormalized(F.col(text)))
+    for names in (aliases, party_aliases):
+        if len(names) > INLINE_ALIASES:
+            raise ValueError(f"more than {INLINE_ALIASES} aliases: use alias_entities_by_join")
+    # Steps, so that each text is normalised and padded once for all the tests on it.
+    rows = df.withColumn("_t", renormalized(F.col(text))).withColumn("_p", _padded(F.col("_t")))
+    found = alias_entities(F.col("_p"), aliases, padded=True)
     if fuzzy_targets:
-        near = fuzzy_entities(known, key, "_t", fuzzy_targets, cutoff)
-        # At most one row per target and post: the list is bounded by the target table.
-        near = near.groupBy(key).agg(F.collect_set("entity").alias("_near"))
-        known = known.join(near, key, "left")
-    else:
-        known = known.withColumn("_near", F.array().cast("array<string>"))
-    exact = alias_entities(F.col("_t"), aliases)
-    union = F.array_sort(F.array_union(exact, F.coalesce("_near", F.array().cast("array<string>"))))
-    known = known.withColumn("candidatos", union)
-    parties = F.array_sort(F.array_union(
-        alias_entities(F.col("_t"), party_aliases), parties_of(F.col("candidatos"), party_of)))
-    return known.withColumn("partidos", parties).drop("_t", "_near")
+        found = F.array_union(found, fuzzy_in_row(F.col("_t"), fuzzy_targets, cutoff))
+    rows = once(rows, candidatos=F.array_sort(found))
+    parties = F.array_union(alias_entities(F.col("_p"), party_aliases, padded=True),
+                            parties_of(F.col("candidatos"), party_of))
+    return rows.withColumn("partidos", F.array_sort(parties)).drop("_t", "_p")
 
 
 def _phrase_pattern(phrases: Sequence[str]) -> str:

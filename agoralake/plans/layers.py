@@ -137,9 +137,9 @@ MIN_WORDS = 5
 def standardise(posts: DataFrame, zone: str = timefn.LOCAL_ZONE, min_words: int = MIN_WORDS, **dictionaries) -> DataFrame:
     """Analysis rows of silver posts with at least ``min_words`` words of their own."""
     own = F.coalesce("text_clean", F.lit(""))
+    rows = posts.withColumn("texto_usuario", own)
     rows = (
-        posts.withColumn("texto_usuario", own)
-        .withColumn("texto_usuario_norm", text.analysis_text(F.col("texto_usuario")))
+        text.once(rows, texto_usuario_norm=text.analysis_text(F.col("texto_usuario")))
         .where(text.word_count(F.col("texto_usuario_norm")) >= min_words)
         .withColumn("_context", text.context_text(F.col("metadata")))
         .withColumn("texto", text.with_context(F.col("texto_usuario"), F.col("_context")))
@@ -149,7 +149,7 @@ def standardise(posts: DataFrame, zone: str = timefn.LOCAL_ZONE, min_words: int
         .withColumn("engagement", scoring.network_engagement(F.col("source"), F.col("engagement")))
         .select("id", "texto", "texto_usuario", "texto_norm", "texto_usuario_norm", "red", "fecha", "engagement")
     )
-    return with_entities(rows, "id", "texto_norm", **dictionaries)
+    return with_entities(rows, "texto_norm", **dictionaries)
 
 
 def with_intention(rows: DataFrame) -> DataFrame:

@@ -75,8 +75,9 @@ class Tables:
 
     def posts(self) -> DataFrame:
         """One post per document. Its interactions are an even share of all events, in event order."""
-        docs, events = self.documents, self.events
-        shares = events.withColumn("_d", docs.agg(F.count(F.lit(1))).scalar()).withColumn(
+        # Partitioning by the join key is what a shuffle join would do anyway; both sides have one row per document.
+        docs, events = self.documents.repartition("doc_id"), self.events
+        shares = events.withColumn("_d", self.documents.agg(F.count(F.lit(1))).scalar()).withColumn(
             "_e", events.agg(F.count(F.lit(1))).scalar()).withColumn("doc_id", F.expr("(event_id * _d) div _e"))
         kind = lambda k: F.count_if(F.col("event_type") == k)
         acts = shares.groupBy("doc_id").agg(

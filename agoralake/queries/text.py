@@ -228,6 +228,11 @@ def fuzzy_tokens(t: Tables) -> DataFrame:
     return entities.fuzzy_entities(normalised_posts(t), "seq", "t", TARGETS)
 
 
+@query(ctes(V_POSTS, V_NORM, V_FUZZY) + "select seq, entity from fuzzy_hits")
+def fuzzy_tokens_in_row(t: Tables) -> DataFrame:
+    return normalised_posts(t).select("seq", F.explode(entities.fuzzy_in_row(F.col("t"), TARGETS)).alias("entity"))
+
+
 @query(ctes(V_POSTS, V_NORM, V_FUZZY) + "select token, entity, round(ratio, 6) as ratio from best")
 def fuzzy_vocabulary(t: Tables) -> DataFrame:
     tokens = entities.post_tokens(normalised_posts(t), "seq", "t").select("token").distinct()
@@ -238,7 +243,7 @@ def fuzzy_vocabulary(t: Tables) -> DataFrame:
   (select string_agg(entity, '|' order by entity) from cands c where c.seq = n.seq) as candidatos,
   (select string_agg(party, '|' order by party) from parties p where p.seq = n.seq) as partidos from norm n""")
 def entities_and_parties(t: Tables) -> DataFrame:
-    rows = entities.with_entities(normalised_posts(t).select("seq", "t"), "seq", "t", **DICTIONARIES)
+    rows = entities.with_entities(normalised_posts(t).select("seq", "t"), "t", **DICTIONARIES)
     joined = lambda c: F.nullif(F.array_join(c, "|"), F.lit("")).alias(c)
     return rows.select("seq", joined("candidatos"), joined("partidos"))
 

@@ -66,21 +66,23 @@ def read_required(spark: SparkSession, paths: str | Sequence[str], required: Seq
 
 
 def parse_nested_lines(lines: DataFrame, value: str = "value", columns: Sequence[str] = schemas.NESTED_CSV) -> DataFrame:
-    """Lines whose first CSV cell is itself a CSV record: unwrap twice, drop headers and blank rows, repair encoding."""
+    """Lines whose first CSV cell is itself a CSV record: unwrap twice, drop headers and blank rows, repair encoding.
+
+    Each parse is a generator, so it runs once per line however often its cells are used afterwards.
+    """
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     others = [c for c in lines.columns if c != value]
-    text = F.make_valid_utf8(F.col(value))
-    pieces = lines.select(*others, F.posexplode(F.split(text, _ODD_BREAKS)).alias("_i", "_line"))
-    pieces = pieces.withColumn("_line", trim_spaces(F.col("_line"))).where(F.col("_line") != "")
-    outer = F.from_csv("_line", "a string, b string", options)["a"]
-    inner = pieces.withColumn("_inner", F.regexp_replace(F.coalesce(outer, F.lit("")), _BOM, ""))
+    parts = F.transform(F.split(F.make_valid_utf8(F.col(value)), _ODD_BREAKS), trim_spaces)
+    pieces = lines.select(*others, F.posexplode(F.filter(parts, lambda p: p != "")).alias("_piece", "_line"))
+    outer = pieces.select(*others, "_piece", F.inline(F.array(F.from_csv("_line", "_a string, _b string", options))))
+    inner = outer.withColumn("_inner", F.regexp_replace(F.coalesce("_a", F.lit("")), _BOM, ""))
     header = F.contains("_inner", F.lit("postTitle")) | F.contains("_inner", F.lit("facebookUrl"))
     inner = inner.where((F.col("_inner") != "") & ~header)
     record = F.from_csv("_inner", ", ".join(f"`{c}` string" for c in columns), options)
-    rows = inner.withColumn("_r", record)
-    cells = [repair_mojibake(F.coalesce(F.col(f"_r.{c}"), F.lit(""))).alias(c) for c in columns]
-    filled = F.concat(*[F.coalesce(F.col(f"_r.{c}"), F.lit("")) for c in columns]) != ""
-    return rows.where(filled).select(*others, F.col("_i").alias("_piece"), *cells)
+    rows = inner.select(*others, "_piece", F.inline(F.array(record)))
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    return rows.where(F.concat(*cells) != "").select(
+        *others, "_piece", *[repair_mojibake(cell).alias(c) for c, cell in zip(columns, cells)])
 
 
 def read_nested_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
