@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -121,7 +122,7 @@ def parse_inbox_path(path: Column) -> Column:
 
 def list_inbox(spark: SparkSession, inbox: str) -> DataFrame:
     """(path, source, modified, length) of every CSV below the inbox; the source is the first folder. No content is read."""
-    root = F.lit(inbox.rstrip("/") + "/")
+    root = re.sub(r"^[a-z0-9+.-]+:/*", "/", inbox.rstrip("/")) + "/"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv").load(inbox))
     rest = F.substring_index(F.col("path"), root, -1)
