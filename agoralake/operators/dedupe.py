@@ -40,8 +40,13 @@ def losers(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: st
 
 
 def unseen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``seen``."""
-    return df.join(seen.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not in ``seen``, a table that may be far larger than ``df``.
+
+    ``seen`` is first reduced to the keys at hand. For that semi join the batch's keys are the build side, so a batch
+    small enough to broadcast leaves the large table where it is; the anti join then has two small sides.
+    """
+    known = seen.select(*keys).join(df.select(*keys), list(keys), "left_semi")
+    return df.join(known, list(keys), "left_anti")
 
 
 def first_n_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:

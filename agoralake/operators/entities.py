@@ -41,18 +41,22 @@ def alias_entities(text: Column, aliases: Mapping[str, str] = lexicon.CANDIDATE_
 def alias_entities_by_join(df: DataFrame, key: str, text: str, aliases: DataFrame) -> DataFrame:
     """(key, entity) pairs for a large alias table with columns ``alias, entity``: an equi-join on word n-grams.
 
-    Only n-gram lengths that occur in the table are made.
+    Only n-gram lengths that occur in the table are made, each n-gram once per post. Spark broadcasts the table when it is
+    small enough; otherwise both sides are shuffled by n-gram, and a very common one is split by the adaptive skew join.
     """
-    sizes = [r["n"] for r in aliases.select(F.size(F.split("alias", " ")).alias("n")).distinct().collect()]
-    words = df.select(key, F.split(F.col(text), " ").alias("_w"))
-    grams = None
-    for n in sorted(sizes):
-        positions = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - (n - 1)))
-        some = words.select(key, F.col("_w"), F.explode(positions).alias("_i")).select(
-            key, F.array_join(F.slice("_w", F.col("_i"), n), " ").alias("alias"))
-        grams = some if grams is None else grams.unionByName(some)
-    # Distinct before the join: a phrase repeated inside one post counts once and shrinks the shuffle.
-    return grams.distinct().join(aliases, "alias").select(key, "entity").distinct()
+    sizes = sorted(r["n"] for r in aliases.select(F.size(F.split("alias", " ")).alias("n")).distinct().collect())
+    words = F.col("_w")
+
+    def grams(n: int) -> Column:
+        if n == 1:
+            return words
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    every = F.array_distinct(F.concat(*[grams(n) for n in sizes])) if sizes else F.array().cast("array<string>")
+    rows = df.select(key, F.split(F.col(text), " ").alias("_w")).select(key, F.explode(every).alias("alias"))
+    return rows.join(aliases, "alias").select(key, "entity").distinct()
 
 
 # --- fuzzy tokens -----------------------------------------------------------------------------------------------------

@@ -80,7 +80,8 @@ def build_feature_table(candidate_scores: DataFrame, party_scores: DataFrame, po
     wide, mean2 = with_network_means(wide, party_names, 2)
     columns = [*cand_names, *party_names, *mean1, *mean2]
     if polls is not None:
-        by_window, names = polls_by_window(polls, wide)
+        windows = candidate_scores.select(*KEYS).unionByName(party_scores.select(*KEYS))
+        by_window, names = polls_by_window(polls, windows)
         wide = wide.join(by_window.drop("fecha_ini_ventana"), "ventana", "left")
         wide = forward_fill(wide, names, ["ventana"], default=F.lit(0.0))
         columns += names

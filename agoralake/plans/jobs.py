@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from agoralake import schemas
 from agoralake.operators import feature_table, windows
-from agoralake.operators.dedupe import dedupe, union_by_priority
+from agoralake.operators.dedupe import dedupe, unseen, union_by_priority
 from agoralake.operators.quality import report, summary
 from agoralake.plans import layers, scorers, views
 from agoralake.plans.ledger import Ledger, new_run_id, now_micros
@@ -21,6 +21,8 @@ from agoralake.sources import files, mappers, media, tables
 from agoralake.sources.tables import VersionedTable
 
 CONTEXTS = ("posts", "posts_parlamentarias")
+_VIDEOS = "_videos.csv"
+_DAY = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 
 
 @dataclasses.dataclass
@@ -36,6 +38,10 @@ class Lake:
     def raw(self, context: str = "posts") -> VersionedTable:
         return self._table(f"raw/{context}", schemas.RAW_POST, ["id"], ["source"])
 
+    def raw_files(self, context: str = "posts", state: str = "loaded") -> VersionedTable:
+        """Which files have been loaded: one small row per file, so nobody scans the posts to find out."""
+        return self._table(f"ops/files_{state}_{context}", files.FILE_SCHEMA, ["source_sha256"])
+
     def silver(self, context: str = "posts") -> VersionedTable:
         schema = schemas.T.StructType([*schemas.SILVER_POST.fields, schemas.T.StructField("cleaned_month", schemas.S)])
         return self._table(f"silver/{context}", schema, ["id", "cleaned_at"], ["cleaned_month"])
@@ -70,24 +76,32 @@ def read_source(spark: SparkSession, paths: str | Sequence[str], source: str) ->
     return files.read_csv(spark, paths)
 
 
+def _same_spelling(df: DataFrame) -> DataFrame:
+    """Scans spell local paths in two ways."""
+    return df.withColumn("file_path", F.regexp_replace("file_path", r"^file:/+", "file:/"))
+
+
 def load_bronze(lake: Lake, paths: str | Sequence[str], source: str, run_id: str, seq: int,
-                context: str = "posts") -> int:
+                context: str = "posts", skip_suffix: str | None = None) -> int:
     """New files of one source into the raw table; a file whose bytes are known is skipped. Returns rows written."""
     if source not in mappers.MAPPERS:
         return 0
-    raw = lake.raw(context)
-    known = raw.history().where(F.col("source_sha256").isNotNull()).select("source_sha256").distinct()
-    hashed = files.fingerprints(lake.spark, paths)
+    raw, loaded, pending = lake.raw(context), lake.raw_files(context), lake.raw_files(context, "pending")
+    wanted = lambda df: df if skip_suffix is None else df.where(~F.endswith(F.lower("file_path"), F.lit(skip_suffix)))
+    hashed = wanted(files.fingerprints(lake.spark, paths))
     # Two copies of one file in a batch count once.
-    new = dedupe(hashed.join(known, "source_sha256", "left_anti"), ["source_sha256"], ["file_path"], keep="first")
+    new = dedupe(unseen(hashed, loaded.without_run(run_id), ["source_sha256"]), ["source_sha256"], ["file_path"], "first")
+    pending.write(new.withColumn("run_id", F.lit(run_id)), seq, run_id)
+    new = pending.run(run_id).select("file_path", "source_sha256")
     if new.isEmpty():
         return 0
-    good, _ = mappers.map_posts(read_source(lake.spark, paths, source), source)
+    good, _ = mappers.map_posts(wanted(read_source(lake.spark, paths, source)), source)
     # The join keeps only rows of new files and brings each row the hash of its file.
-    same_file = lambda df: df.withColumn("file_path", F.regexp_replace("file_path", r"^file:/+", "file:/"))
-    rows = same_file(good).join(same_file(new), "file_path")
+    rows = _same_spelling(good).join(_same_spelling(new), "file_path")
     unique = dedupe(rows, ["id"], ["file_path", "file_order"])
     raw.write(mappers.raw_rows(unique, run_id, F.current_timestamp(), sha256=F.col("source_sha256")), seq, run_id)
+    # Only now: a run that fails before this point leaves its files to the next one.
+    loaded.write(pending.run(run_id), seq, run_id)
     return raw.count_run(run_id)
 
 
@@ -129,7 +143,8 @@ def refresh_views(lake: Lake) -> None:
 
 def run_batch(lake: Lake, paths: str | Sequence[str], source: str, *, skip_gold: bool = True, gate: bool = True,
               context: str = "posts", as_of: Column | None = None, mask_first: bool = False,
-              flow_name: str | None = None, run_id: str | None = None, seq: int | None = None) -> dict:
+              flow_name: str | None = None, run_id: str | None = None, seq: int | None = None,
+              skip_suffix: str | None = None) -> dict:
     """Files of one source through the layers. Returns run id, status, rows per layer and the verdict.
 
     PASS and WARN continue, FAIL stops before gold. The second context has no gold stage. A caller that may repeat a
@@ -148,7 +163,7 @@ def run_batch(lake: Lake, paths: str | Sequence[str], source: str, *, skip_gold:
         return out
 
     try:
-        out["rows_bronze"] = load_bronze(lake, paths, source, run_id, seq, context)
+        out["rows_bronze"] = load_bronze(lake, paths, source, run_id, seq, context, skip_suffix)
         if out["rows_bronze"] == 0:
             return done("success", 0)
         out["rows_silver"] = promote_silver(lake, run_id, seq, context, mask_first)
@@ -203,16 +218,12 @@ def run_inbox(lake: Lake, inbox: str, **options) -> list[dict]:
     pairs = found.select("p.source", "p.is_videos").distinct().orderBy("source", "is_videos").collect()
     results = []
     for source, is_videos in pairs:
-        day = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
-        pattern = f"{base}/{source}/{day}/*"
+        pattern = f"{base}/{source}/{_DAY}/*.[cC][sS][vV]"
         try:
             if is_videos:
-                one = run_videos(lake, f"{pattern}_videos.csv", source)
+                one = run_videos(lake, f"{base}/{source}/{_DAY}/*{_VIDEOS}", source)
             else:
-                paths = files.list_inbox(lake.spark, base)
-                names = [r[0] for r in paths.select("path", files.parse_inbox_path(F.col("path")).alias("p")).where(
-                    (F.col("p.source") == source) & ~F.col("p.is_videos")).select("path").collect()]
-                one = run_batch(lake, names, source, **options)
+                one = run_batch(lake, pattern, source, skip_suffix=_VIDEOS, **options)
         except Exception as exc:  # noqa: BLE001 - the ledger has the failure; other sources go on
             one = {"status": "failed", "error": str(exc)}
         results.append({"source": source, "videos": is_videos, **one})
@@ -283,7 +294,7 @@ def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None
     by_party = stored("scores_partido_red", windows.windowed_scores(scored, "partidos"))
     out = {
         "scored": scored, "scores_candidato_red": by_candidate, "scores_partido_red": by_party,
-        "features": feature_table.build_feature_table(by_candidate, by_party, polls, momentum),
+        "features": stored("features", feature_table.build_feature_table(by_candidate, by_party, polls, momentum)),
         "ranking": windows.ranking(by_candidate),
         "ultima_fecha": files.high_water_mark(load_contexts(lake, since)),
     }

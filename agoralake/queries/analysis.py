@@ -12,6 +12,7 @@ from agoralake.queries.registry import (
     PRIORITY_NETWORK, V_MENTIONS, V_OPINIONS, V_POLLS, Tables, ctes, query, scale, shown,
 )
 from agoralake.queries.text import DICTIONARIES, NEGATIVE, PHRASES, POSITIVE, REPORTING, lexicon_sql
+from agoralake.session import stored
 from agoralake.sources import files
 
 # The names that occur in the tables, and one candidate that occurs in no poll.
@@ -218,7 +219,8 @@ V_ALL_TARGETS = ",\n".join([V_OPINIONS, V_CAND_SCORES, V_POLLS, V_POLL_MEANS, V_
 
 
 def target_rows(t: Tables) -> DataFrame:
-    return fc.targets(t.polls(), CANDIDATES, candidate_scores(t), 0.75, 0.25)
+    windows = stored(candidate_scores(t).select("ventana", "fecha_ini_ventana").distinct(), "windows")
+    return fc.targets(stored(t.polls(), "polls"), CANDIDATES, windows, 0.75, 0.25)
 
 
 @query(ctes(V_ALL_TARGETS) + "select fecha, candidato, round(bruto, 6) as nivel from levels")
@@ -303,7 +305,9 @@ def window_momentum(t: Tables) -> DataFrame:
 
 
 def features(t: Tables) -> DataFrame:
-    return ft.build_feature_table(candidate_scores(t), party_scores(t), t.polls(), window_momentum(t))
+    """As in the analysis job, the scores are stored before the wide table is built, and so is that table."""
+    cand, party = stored(candidate_scores(t), "scores"), stored(party_scores(t), "scores")
+    return stored(ft.build_feature_table(cand, party, stored(t.polls(), "polls"), window_momentum(t)), "features")
 
 
 def _rounded(columns: list[str], digits: int = 6) -> str:

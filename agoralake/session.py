@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans. Sizes (executors, memory, shuffle partitions) stay with the cluster.
 REQUIRED = {
@@ -55,8 +55,12 @@ def new_work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder unless the context already has one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read to the shared folder and read it back.
+
+    Unlike a cache it survives the loss of executors, and each later step starts from stored columns.
+    """
+    spark = df.sparkSession
+    path = new_work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

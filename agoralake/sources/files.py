@@ -33,13 +33,14 @@ def _without_bom(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None,
+             multi_line: bool = True) -> DataFrame:
     """CSV with a header; ``columns`` fixes the schema, else the header names it.
 
-    Adds ``file_path`` and ``file_order``; the latter rises along each file. Records may span lines, so a file is read
-    by one task and parallelism comes from the number of files.
+    Adds ``file_path`` and ``file_order``; the latter rises along each file. Where records may span lines a file is read
+    by one task and parallelism comes from the number of files; ``multi_line=False`` lets Spark split large files.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
     if columns is not None:
         reader = reader.schema(schemas.text_schema(list(columns)))
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
@@ -135,6 +136,10 @@ def settled(files: DataFrame, as_of: Column, seconds: int) -> DataFrame:
     return files.where(F.unix_micros("modified") <= F.unix_micros(as_of) - seconds * 1_000_000)
 
 
+FILE_SCHEMA = schemas.T.StructType(
+    [schemas.T.StructField(c, schemas.S) for c in ("source_sha256", "file_path", "run_id")])
+
+
 def fingerprints(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(file_path, source_sha256) of whole files. A file is hashed in one task, so it must be below 2 GB."""
     df = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
