@@ -76,7 +76,7 @@ def post_scores_end_to_end(t: Tables) -> DataFrame:
     """Raw posts -> silver -> analysis rows -> sentiment -> windowed scores."""
     rows = layers.standardise(silver_posts(t), **DICTIONARIES).withColumn(
         "intencion_explicita", layers.stated_intention(F.col("texto_usuario"), PHRASES, REPORTING))
-    scored = scorers.with_sentiment(rows, scorers.LexiconScorer(POSITIVE, NEGATIVE))
+    scored = stored(scorers.with_sentiment(rows, scorers.LexiconScorer(POSITIVE, NEGATIVE)), "scored")
     return scale(wn.windowed_scores(scored, "candidatos"), 10)
 
 

@@ -28,7 +28,7 @@ def test_poll_in_force(polls, windows):
     assert got == {0: D(4), 1: D(4), 2: D(4), 3: D(4), 4: D(10), 5: D(10), 6: D(10), 7: D(20), 8: D(20)}
 
 
-def test_levels_follow_the_reference_rule(polls):
+def test_levels_are_carried_forward(polls):
     names = ["A", "B", "C"]
     got = {(r["fecha"], r["candidato"]): r["nivel"] for r in fc.carried_levels(polls, names).collect()}
     third = 1 / 3
