@@ -25,6 +25,11 @@ EMOJI = (
     r"\x{1F900}-\x{1FAFF}]"
 )
 SPACE_RUN = rf"[{SPACES}]+"
+# The same white space as single characters, without the plain space.
+OTHER_SPACES = "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+    0x3000,
+]))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -59,9 +64,14 @@ def strip_hashtags(c: Column) -> Column:
     return F.regexp_replace(c, HASHTAG, "")
 
 
+def plain_spaces(c: Column) -> Column:
+    """Every white space as a plain space; quicker than a pattern over the long class."""
+    return F.translate(c, OTHER_SPACES, " " * len(OTHER_SPACES))
+
+
 def tidy(c: Column) -> Column:
     """Lower case, one space between words, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(c), SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(plain_spaces(F.lower(c)), " {2,}", " "))
 
 
 def has_url(c: Column) -> Column:
@@ -69,17 +79,23 @@ def has_url(c: Column) -> Column:
 
 
 def has_hashtag(c: Column) -> Column:
-    return c.rlike(HASHTAG)
+    return F.contains(c, F.lit("#")) & c.rlike(HASHTAG)
 
 
 def has_emoji(c: Column) -> Column:
     return c.rlike(EMOJI)
 
 
+def where_found(mark: str, raw: Column, change: Callable[[Column], Column], c: Column) -> Column:
+    """Apply a pattern only to texts that hold the mark it needs; most do not, and the search for it is cheap."""
+    return F.when(F.contains(raw, F.lit(mark)), change(c)).otherwise(c)
+
+
 def clean_text(c: Column) -> Column:
     """Text without URLs, mentions and hashtags, tidied; emoji stay."""
     # URLs go first: one may hold '@' or '#'. Mentions and hashtags need two passes, as '#@a' shows.
-    return tidy(strip_hashtags(strip_mentions(strip_urls(F.coalesce(c, F.lit(""))))))
+    raw = F.coalesce(c, F.lit(""))
+    return tidy(where_found("#", raw, strip_hashtags, where_found("@", raw, strip_mentions, strip_urls(raw))))
 
 
 def normalized(c: Column) -> Column:
@@ -95,7 +111,7 @@ def normalized(c: Column) -> Column:
 
 def distinct_words(c: Column) -> Column:
     """Set of white-space separated words, lower case."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(c), SPACE_RUN)), "")
+    return F.array_remove(F.array_distinct(F.split(plain_spaces(F.lower(c)), " ")), "")
 
 
 def detect_spanish(c: Column, keywords: Sequence[str] = lexicon.SPANISH_KEYWORDS, share: float = 0.10) -> Column:
@@ -106,8 +122,8 @@ def detect_spanish(c: Column, keywords: Sequence[str] = lexicon.SPANISH_KEYWORDS
         enough = F.size(F.array_intersect(words, known)) / F.greatest(F.size(words), F.lit(1)) >= F.lit(share)
         return F.when((F.size(words) > 0) & enough, F.lit("es")).otherwise(F.lit("unknown"))
 
-    tiny = c.isNull() | (F.length(trim_spaces(c)) < 3)
-    return F.when(tiny, F.lit(None)).otherwise(let(distinct_words(c), verdict))
+    # Three characters or more between the outermost ones that are no space.
+    return F.when(c.isNull() | ~c.rlike(rf"(?s)[^{SPACES}].+[^{SPACES}]"), F.lit(None)).otherwise(let(distinct_words(c), verdict))
 
 
 def word_count(clean: Column) -> Column:
@@ -133,8 +149,9 @@ _PLAIN = "aeiouaeiouun"
 
 def analysis_text(c: Column) -> Column:
     """Plain lower-case words with single spaces: no links, signs, accents or punctuation."""
-    t = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), rf"http[^{SPACES}]+|[@#]", "")
-    t = F.regexp_replace(F.translate(t, _ACCENTED, _PLAIN), r"([aeiou])\x{301}", "$1")
+    raw = F.coalesce(c, F.lit(""))
+    t = F.translate(F.regexp_replace(F.lower(raw), rf"http[^{SPACES}]+|[@#]", ""), _ACCENTED, _PLAIN)
+    t = where_found("\u0301", raw, lambda x: F.regexp_replace(x, r"([aeiou])\x{301}", "$1"), t)
     return F.trim(F.regexp_replace(t, rf"[^{WORD}]+", " "))
 
 
