@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralake.llm import decontaminate, mixing, sharding
+from agoralake.llm import decontaminate, embedding_dups, mixing, quality, sharding, simhash
 from agoralake.session import configure, new_work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,22 @@ from run
 """
 
 
+OP1_SQL = r"""
+with recursive v as (select vec_id, label, cast(embedding as double[]) as e from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join l on r.b = l.a)
+select e.vec_id, (select count(*) from l where l.a = e.vec_id) as n_links, min(reach.b) as component_id, e.vec_id = min(reach.b) as kept
+from embeddings e join reach on reach.a = e.vec_id group by e.vec_id
+"""
+
+
+@query(OP1_SQL)
+def op1_embedding_near_dups(spark, table):
+    return embedding_dups.near_vectors(table("embeddings"))
+
+
 @query(OP2_SQL)
 def op2_benchmark_decontamination(spark, table):
     return decontaminate.decontaminate(table("documents"), table("benchmark")).drop(*decontaminate.KEY)
@@ -69,6 +85,16 @@ def op3_source_mixing(spark, table):
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+@query()
+def op4_quality_classifier(spark, table):
+    return quality.score_documents(table("documents"), table("labels"))
+
+
 @query()
 def op6_virtual_slot_sharding(spark, table):
     return sharding.shard_documents(table("documents"), new_work_path(spark, "slots"))
+
+
+@query()
+def op10_simhash_anchor_covering(spark, table):
+    return simhash.near_duplicates(table("documents"))
