@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralake.llm import decontaminate, embedding_dups, mixing, quality, sharding, simhash
+from agoralake.llm import (
+    decontaminate, embedding_dups, fuzzy_lines, html_text, mixing, quality, sharding, simhash, token_counts)
 from agoralake.session import configure, new_work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,11 +91,27 @@ def op4_quality_classifier(spark, table):
     return quality.score_documents(table("documents"), table("labels"))
 
 
+@query()
+def op5_token_rollups(spark, table):
+    return token_counts.maintained_counts(table("documents"), new_work_path(spark, "token-ledger"))
+
+
 @query()
 def op6_virtual_slot_sharding(spark, table):
     return sharding.shard_documents(table("documents"), new_work_path(spark, "slots"))
 
 
+@query()
+def op7_html_main_text(spark, table):
+    return html_text.extract_pages(table("pages"))
+
+
+@query()
+def op8_fuzzy_line_dedup(spark, table):
+    return fuzzy_lines.dedup_lines(table("documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_simhash_anchor_covering(spark, table):
     return simhash.near_duplicates(table("documents"))
