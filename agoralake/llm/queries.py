@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralake.llm import (
-    decontaminate, embedding_dups, fuzzy_lines, html_text, mixing, quality, sharding, simhash, token_counts)
+    decontaminate, embedding_dups, fuzzy_lines, html_text, mixing, quality, sharding, simhash, suffix_dedup, token_counts)
 from agoralake.session import configure, new_work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,28 @@ def op8_fuzzy_line_dedup(spark, table):
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+OP9_SQL = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, substr(h, 2 * i + 1, 100) as s from (select doc_id, h, unnest(range(0, len(h) // 2 - 49)) as i from d)),
+m as (select s, min(doc_id) as f from w group by s),
+hit as (select w.doc_id, w.i from w join m using (s) where m.f < w.doc_id),
+j as (select doc_id, i, max(i + 50) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as e from hit),
+g as (select doc_id, i, sum(case when e is null or i > e then 1 else 0 end) over (partition by doc_id order by i) as k from j),
+r as (select doc_id, k, min(i) as a, max(i) + 50 as b from g group by doc_id, k),
+kept as (select doc_id, coalesce(lag(b) over w, 0) as a, a as b from r window w as (partition by doc_id order by a) union all select doc_id, max(b), null from r group by doc_id),
+t as (select kept.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, len(h) // 2) - a)), '' order by a) as h from kept join d using (doc_id) group by kept.doc_id),
+c as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from r group by doc_id)
+select d.doc_id, cast(len(d.h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans,
+  sha256(unhex(coalesce(t.h, d.h))) as kept_sha256
+from d left join t using (doc_id) left join c using (doc_id)
+"""
+
+
+@query(OP9_SQL)
+def op9_column_wise_suffix_dedup(spark, table):
+    return suffix_dedup.remove_repeats(table("documents")).drop("kept")
+
+
 @query()
 def op10_simhash_anchor_covering(spark, table):
     return simhash.near_duplicates(table("documents"))
