@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from agoralake.llm.common import broadcast_if_small
 from agoralake.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,15 +66,15 @@ def split_quotas(quotas: DataFrame, levels: int = LEVELS, seed: int = 7) -> Data
 
 def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = MAX_PASSES, blocks: int = BLOCKS,
         levels: int = LEVELS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, source, copies, shard, place.
+    """One row per document: doc_id, row_hash, size, source_size, target, taken, source, copies, shard, place.
 
-    taken: words in drawn blocks, a second pass counted again; a source's sum is its target rounded to blocks. copies:
+    row_hash tells rows apart that share a doc_id. taken: words in drawn blocks, a second pass counted again; a source's sum is its target rounded to blocks. copies:
     times the document is emitted when documents are kept whole. shard: of the first drawn block that the document starts
     in, null if none; place: the order inside the shard. A null or empty text has size 0 and takes nothing; rows that
     repeat each other are mixed each; an empty table gives no rows; other columns are not read.
     """
     thin = stored(documents.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        "doc_id", F.xxhash64("text").alias("row_hash"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h")), "mix-sizes")
     thin = thin.withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
     sums = stored(thin.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
@@ -96,6 +97,18 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int
         "taken", sum((clip(F.col("drawn") - F.col("source_size") * p - F.col("at")) for p in range(passes)), F.lit(0)).cast("long"))
     out = out.withColumn("starts_in", F.when(F.col("taken") > 0, F.expr(f"(at * {blocks}) div source_size")))
     return out.join(dealt, (F.col("source").eqNullSafe(F.col("d_source"))) & (F.col("starts_in") == F.col("draw")), "left").select(
-        "doc_id", "size", "source_size", "target", "taken", "source",
+        "doc_id", "row_hash", "size", "source_size", "target", "taken", "source",
         F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("copies"),
         "shard", F.md5(F.concat(F.lit("place"), "h")).alias("place"))
+
+
+def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
+    """The rows of ``documents``, each whole and as often as the mix takes it, all columns kept.
+
+    Rows without words are left out. Rows that repeat each other whole are taken equally often.
+    """
+    picks = mix(documents, **settings).filter("copies > 0").groupBy(
+        F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_row")).agg(F.max("copies").alias("_copies"))
+    same = documents["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(documents["text"]) == F.col("_row"))
+    taken = documents.join(broadcast_if_small(stored(picks, "mix-picks"), 40), same)
+    return taken.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*documents.columns)

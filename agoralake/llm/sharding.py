@@ -116,3 +116,10 @@ def shard_documents(documents: DataFrame, path: str, version: int = 1, shards: i
     return positions(assign(thin, mapping), mapping).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+def sharded_documents(documents: DataFrame, path: str, version: int = 1, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """``documents`` with virtual_slot and shard; the slot table is stored under ``path``. Texts are not shuffled."""
+    sized = documents.select((text_bytes(F.col("text")) + ROW_BYTES).alias("size"), record_slot(slots).alias("virtual_slot"))
+    save_map(slot_map(slot_totals(sized, slots), shards), path, version)
+    return assign(documents.withColumn("virtual_slot", record_slot(slots)), load_map(documents.sparkSession, path, version))

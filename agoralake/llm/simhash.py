@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from agoralake.llm.common import components
+from agoralake.llm.common import broadcast_if_small, components
 from agoralake.session import stored
 
 SHINGLE = 4
@@ -180,7 +180,7 @@ def drop_near_duplicates(documents: DataFrame, most: int = BITS) -> DataFrame:
     rows = stored(grouped(documents, most), "grouped")
     key = (documents["doc_id"].eqNullSafe(F.col("_doc"))) & (F.xxhash64(documents["text"]) == F.col("_hash"))
     out = rows.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_hash")).distinct()
-    kept = documents.join(out, key, "left_anti")
+    kept = documents.join(broadcast_if_small(stored(out, "near-duplicates"), 32), key, "left_anti")
     shared = rows.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(shared.select(F.col("doc_id").alias("_doc")), "shared-ids")
     if shared.isEmpty():

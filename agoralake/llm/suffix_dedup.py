@@ -34,6 +34,7 @@ PART = 20                       # bytes hashed for the minimizer
 SPAN = WINDOW - PART + 1        # parts in a window; also the most windows in a segment
 BLOCK_BYTES = 2 << 20           # texts packed into one row
 BUCKET_BYTES = 4 << 20          # text for which one bucket is made
+STRIP = 1 << 16                 # windows hashed at a time
 PIECE = 1 << 19                 # bytes of segments sorted together
 END = 255                       # no byte of UTF-8: stands before a segment's first byte
 NONE = np.iinfo(np.int64).max
@@ -73,48 +74,42 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _minimizers(data: np.ndarray) -> np.ndarray:
     """The minimizer of the window at every place of the bytes."""
-    n = len(data) - WINDOW + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
-    at = np.empty(len(data), dtype=np.uint64)  # the eight bytes from every place
-    for r in range(min(8, len(data))):
-        own = padded[r:r + (len(padded) - r) // 8 * 8].view(np.uint64) if r % 8 == 0 else np.frombuffer(padded[r:].tobytes()[: (len(padded) - r) // 8 * 8], dtype=np.uint64)
-        at[r::8] = own[: len(at[r::8])]
-    k = len(data) - PART + 1
-    h = at[:k] * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(29)
-    h += at[8:8 + k] * np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(31)
-    h += at[12:12 + k] * np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(30)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    for step in (1, 2, 4, 8):
-        h = np.minimum(h[:-step], h[step:])  # least of 2, 4, 8 and 16 parts
-    return np.minimum(h[:n], h[SPAN - 16:SPAN - 16 + n])
+    n = max(0, len(data) - WINDOW + 1)
+    out, padded = np.empty(n, dtype=np.uint64), np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    for lo in range(0, n, STRIP):
+        k = min(STRIP, n - lo) + SPAN - 1  # parts of this strip's windows
+        at = np.ndarray(k + 12, dtype=np.uint64, buffer=padded, offset=lo, strides=(1,)).copy()  # eight bytes from every place
+        h = at[:k] * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        h += at[8:8 + k] * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        h += at[12:12 + k] * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(30)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        for step in (1, 2, 4, 8):
+            h = np.minimum(h[:-step], h[step:])  # least of 2, 4, 8 and 16 parts
+        m = k - SPAN + 1
+        np.minimum(h[:m], h[SPAN - 16:SPAN - 16 + m], out=out[lo:lo + m])
+    return out
 
 
 def _segments(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(minimizer, first window, windows, document's number) of the segments of a block."""
-    ends = np.cumsum(sizes)
-    least = _minimizers(data)
-    inside = np.zeros(len(least) + 1, dtype=np.int32)  # windows that do not cross the end of a document
-    whole = sizes >= WINDOW
-    np.add.at(inside, (ends - sizes)[whole], 1)
-    np.add.at(inside, (ends - WINDOW + 1)[whole], -1)
-    places = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
-    if not len(places):
+    ends, least = np.cumsum(sizes), _minimizers(data)
+    inside = np.ones(len(least), dtype=bool)  # windows that do not cross the end of a document
+    for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+        inside[max(a, b - WINDOW + 1):b] = False
+    if not inside.any():
         return np.empty(0, dtype=np.uint64), *[np.empty(0, dtype=np.int64)] * 3
-    doc = np.searchsorted(ends, places, side="right")
-    m = least[places]
-    first = np.flatnonzero(np.concatenate(([True], (m[1:] != m[:-1]) | (doc[1:] != doc[:-1]))))
-    length = np.diff(np.concatenate((first, [len(places)])))
+    other = least[1:] != least[:-1]
+    first = np.flatnonzero(inside & np.concatenate(([True], other | ~inside[:-1])))
+    length = np.flatnonzero(inside & np.concatenate((other | ~inside[1:], [True]))) - first + 1
     pieces = -(-length // SPAN)  # one minimizer may hold for long where a text repeats itself
     again = np.repeat(np.arange(len(first)), pieces)
     nth = np.arange(len(again)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     start = first[again] + nth * SPAN
-    return m[start], places[start], np.minimum(length[again] - nth * SPAN, SPAN), doc[start]
+    return least[start], start, np.minimum(length[again] - nth * SPAN, SPAN), np.searchsorted(ends, start, side="right")
 
 
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,13 +215,14 @@ def window_minima(segments: list[bytes], least: np.ndarray) -> np.ndarray:
     base = np.cumsum(size) - size
     text = np.frombuffer(b"".join(segments), dtype=np.uint8)
     transform = text[base + size - 1].copy()
-    suffix = np.arange(count, dtype=np.int64) << 7      # segment and length of each suffix
+    kind = np.int32 if count < 1 << 24 else np.int64
+    suffix = np.arange(count, dtype=kind) << 7          # segment and length of each suffix
     common = np.zeros(count + 1, dtype=np.uint8)        # with the suffix before it; one more for ranges that end last
     new = np.ones(count, dtype=bool)                    # put in by the round before
     for _ in range(int(size.max())):
         order = np.argsort(transform, kind="stable")
         order = order[: len(order) - int(np.count_nonzero(transform == END))]
-        symbol, fresh = transform[order], new[order]
+        fresh = new[order]
         longer = suffix[order[fresh]] + 1
         segment, length = longer >> 7, longer & 127
         before = np.full(len(longer), END, dtype=np.uint8)
@@ -237,14 +233,14 @@ def window_minima(segments: list[bytes], least: np.ndarray) -> np.ndarray:
         mask[count:] = fresh
         kept = ~mask
         kept[:count] = False
-        moved, moved_suffix, moved_common = np.empty(n, dtype=np.uint8), np.empty(n, dtype=np.int64), np.zeros(n + 1, dtype=np.uint8)
+        moved, moved_suffix, moved_common = np.empty(n, dtype=np.uint8), np.empty(n, dtype=kind), np.zeros(n + 1, dtype=np.uint8)
         moved[:count], moved[kept], moved[mask] = transform[:count], transform[count:], before
         moved_suffix[:count], moved_suffix[kept], moved_suffix[mask] = suffix[:count], suffix[count:], longer
         moved_common[:n][kept] = common[count:-1]
         beside = fresh.copy()
         beside[1:] |= fresh[:-1]
         at = np.flatnonzero(beside)
-        alike = at[(at > 0) & (symbol[at] == symbol[at - 1])]
+        alike = at[(at > 0) & (transform[order[at]] == transform[order[at - 1]])]
         moved_common[count + at] = 0
         if len(alike):
             alike = alike[np.argsort(-order[alike - 1])]  # ranges from the back, so that none spans two of them
