@@ -186,8 +186,9 @@ def first_name_slug(c: Column, limit: int | None = None) -> Column:
     return word if limit is None else F.substring(word, 1, limit)
 
 
-def underscore_slug(c: Column, limit: int = 20) -> Column:
-    return F.substring(F.regexp_replace(trim_spaces(c), SPACE_RUN, "_"), 1, limit)
+def underscore_slug(c: Column, limit: int | None = None) -> Column:
+    words = F.regexp_replace(trim_spaces(c), SPACE_RUN, "_")
+    return words if limit is None else F.substring(words, 1, limit)
 
 
 # Column-name prefix per network.

@@ -11,7 +11,7 @@ from agoralake.functions.text import analysis_text, once, renormalized
 
 MIN_TOKEN = 5
 CUTOFF = 85.0
-# A dictionary up to this many aliases is tested inside the row; a larger one is joined on n-grams.
+# Up to this many aliases are searched one by one; the word runs of a text are looked up in a larger dictionary.
 INLINE_ALIASES = 500
 
 
@@ -25,6 +25,8 @@ def alias_entities(text: Column, aliases: Mapping[str, str] = lexicon.CANDIDATE_
     Normalised text has only word characters and single spaces, so whole-word search is a plain substring search once the
     text is padded with a space on either side.
     """
+    if len(aliases) > INLINE_ALIASES:
+        return _looked_up(F.trim(text) if padded else text, aliases)
     padded = text if padded else _padded(text)
     by_entity: dict[str, list[str]] = {}
     for alias, entity in aliases.items():
@@ -38,6 +40,24 @@ def alias_entities(text: Column, aliases: Mapping[str, str] = lexicon.CANDIDATE_
     return F.array_sort(F.array_compact(F.array(*found)))
 
 
+def _word_runs(words: Column, n: int) -> Column:
+    """All runs of n words, joined by a space."""
+    if n == 1:
+        return words
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+
+def _looked_up(text: Column, aliases: Mapping[str, str]) -> Column:
+    """As ``alias_entities`` for large dictionaries: one hash set holds the aliases, and only aliases found are mapped."""
+    words = F.split(F.coalesce(text, F.lit("")), " ")
+    runs = F.concat(*[_word_runs(words, n) for n in sorted({len(a.split(" ")) for a in aliases})])
+    found = F.array_intersect(runs, F.array(*[F.lit(a) for a in aliases]))
+    entity = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    return F.array_sort(F.array_distinct(F.transform(found, lambda a: F.try_element_at(entity, a))))
+
+
 def alias_entities_by_join(df: DataFrame, key: str, text: str, aliases: DataFrame) -> DataFrame:
     """(key, entity) pairs for a large alias table with columns ``alias, entity``: an equi-join on word n-grams.
 
@@ -47,14 +67,7 @@ def alias_entities_by_join(df: DataFrame, key: str, text: str, aliases: DataFram
     sizes = sorted(r["n"] for r in aliases.select(F.size(F.split("alias", " ")).alias("n")).distinct().collect())
     words = F.col("_w")
 
-    def grams(n: int) -> Column:
-        if n == 1:
-            return words
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-
-    every = F.array_distinct(F.concat(*[grams(n) for n in sizes])) if sizes else F.array().cast("array<string>")
+    every = F.array_distinct(F.concat(*[_word_runs(words, n) for n in sizes])) if sizes else F.array().cast("array<string>")
     rows = df.select(key, F.split(F.col(text), " ").alias("_w")).select(key, F.explode(every).alias("alias"))
     return rows.join(aliases, "alias").select(key, "entity").distinct()
 
@@ -163,12 +176,9 @@ def with_entities(df: DataFrame, text: str, aliases: Mapping[str, str] = lexicon
                   fuzzy_targets: Mapping[str, str] | None = lexicon.FUZZY_TARGETS, cutoff: float = CUTOFF) -> DataFrame:
     """Add ``candidatos`` and ``partidos``, sorted arrays; empty when nothing is mentioned.
 
-    ``text`` is a normalised column. Everything happens inside the row. A dictionary of thousands of aliases belongs in
-    ``alias_entities_by_join`` instead.
+    ``text`` is a normalised column. Everything happens inside the row, for dictionaries of any size. Aliases that are
+    themselves a table belong in ``alias_entities_by_join``.
     """
-    for names in (aliases, party_aliases):
-        if len(names) > INLINE_ALIASES:
-            raise ValueError(f"more than {INLINE_ALIASES} aliases: use alias_entities_by_join")
     # Steps, so that each text is normalised and padded once for all the tests on it.
     rows = df.withColumn("_t", renormalized(F.col(text))).withColumn("_p", _padded(F.col("_t")))
     found = alias_entities(F.col("_p"), aliases, padded=True)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from agoralake.functions.text import first_name_slug, network_prefix, underscore_slug
+
+# Characters of an entity that its columns are named by, where that names one entity only.
+PARTY_CHARS, POLL_CHARS = 20, 15
 from agoralake.operators.asof import asof_join, forward_fill
 
 KEYS = ["ventana", "fecha_ini_ventana", "fecha_fin_ventana"]
@@ -19,6 +23,27 @@ def row_mean(columns: Sequence[str]) -> Column:
     return F.try_divide(total, F.size(values))
 
 
+def unique_slugs(df: DataFrame, entity: str, short: Column) -> Column:
+    """``short`` as a name for each entity; entities that would share one are named by all their words, and numbered in
+    order if even those agree. Entities become columns, so their names are few and come to the driver."""
+    rows = df.where(F.col(entity).isNotNull()).select(
+        F.col(entity).alias("entity"), short.alias("short"), underscore_slug(F.col(entity)).alias("long")).distinct().collect()
+    rows, names = sorted(set(map(tuple, rows))), {}
+    for i in (1, 2):
+        count = Counter(r[i] for r in rows if r[0] not in names)
+        used = set(names.values())
+        names.update({r[0]: r[i] for r in rows if r[0] not in names and count[r[i]] == 1 and r[i] not in used})
+    for e, _, long in rows:
+        if e not in names:
+            k = 2
+            while f"{long}_{k}" in names.values():
+                k += 1
+            names[e] = f"{long}_{k}"
+    if not names:
+        return short
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col(entity))
+
+
 def _names(df: DataFrame, column: str) -> list[str]:
     """Column names for a pivot: one per network and entity, a handful of short strings."""
     return sorted(r[0] for r in df.select(column).distinct().collect())
@@ -28,6 +53,7 @@ def pivot_scores(scores: DataFrame, kind: int, slug: Column, entities: Sequence[
                  names: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
     """One column per network and entity. Pass ``names`` to save the job that looks them up."""
     rows = scores.where(F.col("entidad").isin(list(entities))) if entities else scores
+    slug = unique_slugs(rows, "entidad", slug)
     rows = rows.withColumn("_name", F.concat(network_prefix(F.col("red")), F.lit(f"{kind}_"), slug))
     names = list(names) if names is not None else _names(rows, "_name")
     wide = rows.groupBy(*KEYS).pivot("_name", names).agg(F.avg("score_final"))
@@ -45,8 +71,9 @@ def poll_means(polls: DataFrame) -> DataFrame:
 
 
 def pivot_polls(polls: DataFrame, names: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
-    rows = poll_means(polls).withColumn(
-        "_name", F.concat(F.lit("ENC_"), first_name_slug(F.col("candidato"), 15)))
+    rows = poll_means(polls)
+    rows = rows.withColumn("_name", F.concat(F.lit("ENC_"), unique_slugs(
+        rows, "candidato", first_name_slug(F.col("candidato"), POLL_CHARS))))
     names = list(names) if names is not None else _names(rows, "_name")
     return rows.groupBy("fecha").pivot("_name", names).agg(F.avg("intencion_voto")), names
 
@@ -74,7 +101,7 @@ def build_feature_table(candidate_scores: DataFrame, party_scores: DataFrame, po
     The means over networks are taken before missing scores become 0, so they cover the networks present.
     """
     cand, cand_names = pivot_scores(candidate_scores, 1, first_name_slug(F.col("entidad")), candidates)
-    party, party_names = pivot_scores(party_scores, 2, underscore_slug(F.col("entidad")), parties)
+    party, party_names = pivot_scores(party_scores, 2, underscore_slug(F.col("entidad"), PARTY_CHARS), parties)
     wide = cand.join(party, KEYS, "full")
     wide, mean1 = with_network_means(wide, cand_names, 1)
     wide, mean2 = with_network_means(wide, party_names, 2)

@@ -183,10 +183,10 @@ def alerts(reports: DataFrame, channel: str = "slack") -> DataFrame:
         F.to_json(F.struct("layer", "overall")).alias("payload"), F.lit(False).alias("delivered"), "created_at")
 
 
-def violations(posts: DataFrame, n: int = 3) -> DataFrame:
-    """A few examples, lowest ids first, for a reader of a failed report."""
+def violations(posts: DataFrame, n: int | None = None) -> DataFrame:
+    """What failed, lowest ids first; ``n`` asks for examples only."""
     leak = F.when(F.col("pii_detected") & pii.exposes_pii(F.col("text_original")), F.concat(F.lit("text_leak:"), "id"))
     keys = F.when(pii.has_any_key(F.col("metadata")), F.concat(F.lit("meta_leak:"), "id"))
     rules = F.when(F.size(failed_rules(posts.columns)) > 0, F.concat(F.lit("schema:"), F.coalesce("id", F.lit("?"))))
     found = posts.select(F.explode(F.array_compact(F.array(leak, keys, rules))).alias("violation"))
-    return found.orderBy("violation").limit(n)
+    return found.orderBy("violation") if n is None else found.orderBy("violation").limit(n)

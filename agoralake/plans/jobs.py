@@ -22,9 +22,29 @@ from agoralake.sources.tables import VersionedTable
 
 CONTEXTS = ("posts", "posts_parlamentarias")
 _VIDEOS = "_videos.csv"
+_ANY_CASE_VIDEOS = "*_[vV][iI][dD][eE][oO][sS].[cC][sS][vV]"
 _DAY = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 
 
+QUARANTINE = schemas.T.StructType([
+    *[schemas.T.StructField(c, schemas.S) for c in ("run_id", "source", "file_path", "error", "payload")],
+    schemas.T.StructField("file_order", schemas.L)])
+
+
+def quarantine_rows(bad: DataFrame, run_id: str, source: str) -> DataFrame:
+    """Rejected rows in the shape of the quarantine table; the whole row is kept as JSON."""
+    path = F.col("file_path") if "file_path" in bad.columns else F.lit(None).cast("string")
+    order = F.col("file_order") if "file_order" in bad.columns else F.lit(None).cast("bigint")
+    error = F.col("error") if "error" in bad.columns else F.lit("id missing")
+    return bad.select(F.lit(run_id).alias("run_id"), F.lit(source).alias("source"), path.alias("file_path"), error.alias("error"),
+                      F.to_json(F.struct("*")).alias("payload"), order.alias("file_order"))
+
+
+def verdict_of(found: dict) -> dict:
+    """A report's summary as the ledger keeps it."""
+    return {"overall": found["overall"], "total_records": found["total_records"], **found["checks"]}
+
+
 @dataclasses.dataclass
 class Lake:
     """Where the tables of one deployment live."""
@@ -61,6 +81,10 @@ class Lake:
         }[name]
         return self._table(f"media/{name}", schema, keys)
 
+    def quarantine(self) -> VersionedTable:
+        """Rows that no mapper or check accepted, whole, with the reason."""
+        return self._table("ops/quarantine", QUARANTINE, ["run_id", "file_path", "file_order"])
+
     def reports(self) -> VersionedTable:
         return self._table("ops/quality_reports", schemas.QUALITY_REPORT, ["run_id", "layer"])
 
@@ -95,9 +119,11 @@ def load_bronze(lake: Lake, paths: str | Sequence[str], source: str, run_id: str
     new = pending.run(run_id).select("file_path", "source_sha256")
     if new.isEmpty():
         return 0
-    good, _ = mappers.map_posts(wanted(read_source(lake.spark, paths, source)), source)
+    good, bad = mappers.map_posts(wanted(read_source(lake.spark, paths, source)), source)
     # The join keeps only rows of new files and brings each row the hash of its file.
     rows = _same_spelling(good).join(_same_spelling(new), "file_path")
+    rejected = _same_spelling(bad).join(_same_spelling(new).select("file_path"), "file_path", "left_semi")
+    lake.quarantine().write(quarantine_rows(rejected, run_id, source), seq, run_id)
     unique = dedupe(rows, ["id"], ["file_path", "file_order"])
     raw.write(mappers.raw_rows(unique, run_id, F.current_timestamp(), sha256=F.col("source_sha256")), seq, run_id)
     # Only now: a run that fails before this point leaves its files to the next one.
@@ -135,6 +161,14 @@ def promote_gold(lake: Lake, run_id: str, seq: int, context: str = "posts", refr
     return gold.count_run(run_id)
 
 
+def compact(lake: Lake, context: str = "posts") -> None:
+    """Fold the folders of the layer and bookkeeping tables; for a quiet hour, as it reads each table once."""
+    seq = now_micros()
+    for table in (lake.raw(context), lake.silver(context), lake.gold(), lake.reports(), lake.quarantine(),
+                  lake.raw_files(context)):
+        table.compact(seq)
+
+
 def refresh_views(lake: Lake) -> None:
     tables.refresh_daily(views.sentiment_daily(lake.gold().latest()), f"{lake.root.rstrip('/')}/public/v_sentiment_daily")
 
@@ -173,7 +207,7 @@ def run_batch(lake: Lake, paths: str | Sequence[str], source: str, *, skip_gold:
         if gate:
             found = run_gate(lake, run_id, seq, context=context, as_of=as_of)
             out["quality_overall"] = found["overall"]
-            verdict = {"overall": found["overall"], "total_records": found["total_records"], **found["checks"]}
+            verdict = verdict_of(found)
             if found["overall"] == "FAIL":
                 return done("quality_failed", 0, verdict)
         if skip_gold:
@@ -196,7 +230,8 @@ def run_videos(lake: Lake, paths: str | Sequence[str], source: str, run_id: str
     seq = now_micros() if seq is None else seq
     run_id = ledger.start("ingest_videos", run_id=run_id)
     try:
-        rows, _ = media.VIDEO_MAPPERS[source](files.read_csv(lake.spark, paths), run_id)
+        rows, bad = media.VIDEO_MAPPERS[source](files.read_csv(lake.spark, paths), run_id)
+        lake.quarantine().write(quarantine_rows(bad, run_id, f"{source}_videos"), seq, run_id)
         table = lake.videos(source)
         table.write(dedupe(rows, ["video_id"], ["file_path", "file_order"]), seq, run_id)
         n = table.count_run(run_id)
@@ -221,7 +256,7 @@ def run_inbox(lake: Lake, inbox: str, **options) -> list[dict]:
         pattern = f"{base}/{source}/{_DAY}/*.[cC][sS][vV]"
         try:
             if is_videos:
-                one = run_videos(lake, f"{base}/{source}/{_DAY}/*{_VIDEOS}", source)
+                one = run_videos(lake, f"{base}/{source}/{_DAY}/{_ANY_CASE_VIDEOS}", source)
             else:
                 one = run_batch(lake, pattern, source, skip_suffix=_VIDEOS, **options)
         except Exception as exc:  # noqa: BLE001 - the ledger has the failure; other sources go on

@@ -11,7 +11,6 @@ from agoralake import schemas
 from agoralake.sources.tables import VersionedTable
 
 STATUSES = ("running", "success", "failed", "quality_failed")
-ERROR_CHARS = 2000
 
 
 def new_run_id() -> str:
@@ -48,7 +47,7 @@ class Ledger:
         seq = now_micros()
         summary = None if quality_summary is None else {k: str(v) for k, v in quality_summary.items()}
         self._add(seq, run_id, status=status, finished_at=_time(seq), rows_out=rows_out, quality_summary=summary,
-                  error=None if error is None else error[:ERROR_CHARS])
+                  error=error)
 
     def runs(self) -> DataFrame:
         return current_runs(self.table.history())

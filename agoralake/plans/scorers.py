@@ -70,10 +70,10 @@ class BatchModel:
 class ModelScorer(TextScorer):
     """Runs a ``BatchModel`` in Arrow batches. A batch the model fails on is scored neutral, 0.
 
-    ``max_chars`` is the model's own input limit; None sends whole texts.
+    ``max_chars`` is for a model with an input limit of its own; by default it gets whole texts.
     """
 
-    def __init__(self, model: BatchModel, batch: int = BATCH, max_chars: int | None = 400):
+    def __init__(self, model: BatchModel, batch: int = BATCH, max_chars: int | None = None):
         self.model, self.batch, self.max_chars = model, batch, max_chars
         self.name, self.version = model.name, model.version
 

@@ -7,8 +7,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from agoralake.functions.timefn import run_seconds
 from agoralake.operators.dedupe import dedupe
 
-# Sizes and spans of the views.
-HEALTH_ROWS, RUN_ROWS, RATE_ROWS, VOLUME_DAYS = 50, 200, 500, 7
+# Rows a dashboard page shows, and the span of the volume view. A page size is for a caller to ask for.
+HEALTH_PAGE, RUNS_PAGE, REPORTS_PAGE, VOLUME_DAYS = 50, 200, 50, 7
+
+
+def page(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
 
 
 def hours_before(as_of: Column, hours: int) -> Column:
@@ -35,8 +39,8 @@ def sources_volume_brief(gold: DataFrame, as_of: Column) -> DataFrame:
     return sources_volume(gold, as_of).select("source", "posts")
 
 
-def pipeline_health(runs: DataFrame, n: int = HEALTH_ROWS) -> DataFrame:
-    return runs.orderBy(F.col("started_at").desc(), F.col("run_id")).limit(n).withColumn(
+def pipeline_health(runs: DataFrame, limit: int | None = None) -> DataFrame:
+    return page(runs.orderBy(F.col("started_at").desc(), F.col("run_id")), limit).withColumn(
         "duration_seconds", run_seconds(F.col("started_at"), F.col("finished_at")))
 
 
@@ -47,9 +51,11 @@ def last_success_by_flow(runs: DataFrame) -> DataFrame:
     return done.where(F.col("_rn") == 1).select("flow_name", "run_id", "started_at", "finished_at", "rows_out")
 
 
-def quality_failed_rate(runs: DataFrame, as_of: Column, n: int = RATE_ROWS) -> DataFrame:
-    """Share of gate failures within 24 hours and 7 days among the newest ``n`` runs."""
-    newest = runs.select("run_id", "status", "started_at").orderBy(F.col("started_at").desc(), "run_id").limit(n)
+def quality_failed_rate(runs: DataFrame, as_of: Column) -> DataFrame:
+    """Share of gate failures among all runs of the last 24 hours and 7 days."""
+    recent = F.unix_micros("started_at") >= F.unix_micros(as_of) - F.lit(168 * 3_600_000_000)
+    none = runs.sparkSession.range(1).select(*[F.lit(None).cast(runs.schema[c].dataType).alias(c) for c in ("run_id", "status", "started_at")])
+    newest = runs.select("run_id", "status", "started_at").where(recent).unionByName(none)  # so both spans have a row
     spans = F.explode(F.array(
         F.struct(F.lit("24h").alias("window"), F.lit(24).alias("hours")),
         F.struct(F.lit("7d").alias("window"), F.lit(168).alias("hours")))).alias("_s")
@@ -71,17 +77,15 @@ def metrics_summary(gold: DataFrame, runs: DataFrame, as_of: Column) -> dict[str
 
 
 def list_runs(runs: DataFrame, status: str | None = None, flow_name: str | None = None, hours: int | None = None,
-              as_of: Column | None = None) -> DataFrame:
-    """Runs, newest first; without any filter the health view."""
-    if not (status or flow_name or hours):
-        return pipeline_health(runs)
+              as_of: Column | None = None, limit: int | None = None) -> DataFrame:
+    """Runs, newest first."""
     if status:
         runs = runs.where(F.col("status") == status)
     if flow_name:
         runs = runs.where(F.col("flow_name") == flow_name)
     if hours:
         runs = runs.where(F.col("started_at") >= hours_before(F.current_timestamp() if as_of is None else as_of, hours))
-    return runs.orderBy(F.col("started_at").desc(), F.col("run_id")).limit(RUN_ROWS)
+    return page(runs.orderBy(F.col("started_at").desc(), F.col("run_id")), limit)
 
 
 def run_by_id(runs: DataFrame, run_id) -> DataFrame:
@@ -89,11 +93,12 @@ def run_by_id(runs: DataFrame, run_id) -> DataFrame:
 
 
 def list_reports(reports: DataFrame, run_id=None, layer: str | None = None, overall: str | None = None,
-                 limit: int = 50) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     for name, value in (("run_id", run_id), ("layer", layer), ("overall", overall)):
         if value is not None:
             reports = reports.where(F.col(name) == value)
-    return reports.orderBy(F.col("created_at").desc(), F.col("run_id"), F.col("layer")).limit(limit)
+    newest = reports.orderBy(F.col("created_at").desc(), F.col("run_id"), F.col("layer"))
+    return page(newest, limit)
 
 
 def reports_for_run(reports: DataFrame, run_id) -> DataFrame:

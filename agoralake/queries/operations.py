@@ -131,7 +131,7 @@ def gate_report(t: Tables) -> DataFrame:
   union all select 'meta_leak:' || id from faulty where names_left
   union all select 'schema:' || id from faulty where source_id is null) order by 1 limit 3""")
 def gate_violations(t: Tables) -> DataFrame:
-    return quality.violations(faulty_posts(t))
+    return quality.violations(faulty_posts(t), 3)
 
 
 @query(ctes(_V_GATE) + """select source, count(*) filter (where source_id is not null) as validos,
@@ -172,7 +172,7 @@ def alert_rows(t: Tables) -> DataFrame:
 @query(ctes(V_REPORTS) + """select total_records, strftime(created_at, '%Y-%m-%d') as dia from reports
   where layer = 'silver' and overall = 'FAIL' order by created_at desc, run_id, layer limit 50""")
 def list_reports(t: Tables) -> DataFrame:
-    newest = views.list_reports(reports(t).dropDuplicates(["total_records"]), layer="silver", overall="FAIL")
+    newest = views.list_reports(reports(t), layer="silver", overall="FAIL", limit=views.REPORTS_PAGE)
     return newest.select("total_records", F.date_format("created_at", "yyyy-MM-dd").alias("dia"))
 
 
@@ -206,14 +206,14 @@ def last_success_by_flow(t: Tables) -> DataFrame:
 @query(ctes(V_RUNS) + """select run_id, status, cast(epoch(finished_at) - epoch(started_at) as int) as duration_seconds
   from runs order by started_at desc, run_id limit 50""")
 def pipeline_health(t: Tables) -> DataFrame:
-    return views.pipeline_health(t.runs()).select("run_id", "status", "duration_seconds")
+    return views.pipeline_health(t.runs(), views.HEALTH_PAGE).select("run_id", "status", "duration_seconds")
 
 
-@query(ctes(V_RUNS, f"newest as (select * from runs order by started_at desc, run_id limit 500)") + f"""select w.w as "window",
+@query(ctes(V_RUNS) + f"""select w.w as "window",
   count(*) filter (where inside) as total_runs, count(*) filter (where inside and status = 'quality_failed') as quality_failed,
   coalesce(round(count(*) filter (where inside and status = 'quality_failed') / nullif(count(*) filter (where inside), 0), 4), 0)
     as failure_rate
-  from (select w, status, started_at >= timestamp '{RUNS_TIME}' - to_hours(h) as inside from newest,
+  from (select w, status, started_at >= timestamp '{RUNS_TIME}' - to_hours(h) as inside from runs,
     (values ('24h', 24), ('7d', 168)) as s(w, h)) as w group by 1""")
 def quality_failed_rate(t: Tables) -> DataFrame:
     return views.quality_failed_rate(t.runs(), runs_time())
@@ -222,7 +222,7 @@ def quality_failed_rate(t: Tables) -> DataFrame:
 @query(ctes(V_RUNS) + f"""select run_id, flow_name, status from runs where status = 'success' and flow_name = '2-HIGH'
   and started_at >= timestamp '{RUNS_TIME}' - interval 2400 hour order by started_at desc, run_id limit 200""")
 def list_runs(t: Tables) -> DataFrame:
-    return views.list_runs(t.runs(), "success", "2-HIGH", 2400, runs_time()).select("run_id", "flow_name", "status")
+    return views.list_runs(t.runs(), "success", "2-HIGH", 2400, runs_time(), views.RUNS_PAGE).select("run_id", "flow_name", "status")
 
 
 @query(ctes(V_RUNS) + "select run_id, status, rows_out from runs where run_id = 77")

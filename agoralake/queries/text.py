@@ -275,7 +275,7 @@ def slugs(t: Tables) -> DataFrame:
     rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     short = text.first_name_slug(F.col("n_name"), 15)
     return rows.select("n_nationkey", short.alias("corto"),
-                       text.underscore_slug(F.concat_ws(" ", "r_name", "n_name", "n_name")).alias("largo"),
+                       text.underscore_slug(F.concat_ws(" ", "r_name", "n_name", "n_name"), 20).alias("largo"),
                        F.concat(F.lit("ENC_"), short).alias("columna"))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -38,14 +41,16 @@ def build_session(app: str = "agoralake", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is made only when the setting is absent and the master is local (tests, laptops).
+    Where it is unset, a cluster falls back on its warehouse folder, and a local master (tests, laptops) on a folder of its
+    own that goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     own = tempfile.mkdtemp(prefix="agoralake-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", own)
     return own
 

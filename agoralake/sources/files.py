@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from agoralake import schemas
 from agoralake.functions.text import repair_mojibake, trim_spaces
@@ -27,27 +29,90 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def _without_bom(df: DataFrame) -> DataFrame:
-    if df.columns and df.columns[0].startswith("﻿"):
-        return df.withColumnRenamed(df.columns[0], df.columns[0].lstrip("﻿"))
-    return df
+def read_small_text(spark: SparkSession, path: str) -> str:
+    """A small file of the driver's own bookkeeping."""
+    fs, jpath = hadoop_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, jpath = hadoop_path(spark, path)
+    stream = fs.create(jpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line: a byte-order mark is dropped, blank names and repeated ones get their number."""
+    names: list[str] = []
+    for i, cell in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
+        name = cell.strip() or f"_c{i}"
+        names.append(f"{name}{i}" if name in names else name)
+    return names
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header; a file without any line has none. One row per file comes to the driver, as in any file listing."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"))
+    first = lines.where(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():
+        found.setdefault(tuple(header_names(r["line"])), []).append(unquote(r["file"]))
+    return found
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None,
              multi_line: bool = True) -> DataFrame:
-    """CSV with a header; ``columns`` fixes the schema, else the header names it.
+    """CSV with a header in every file; cells are bound to columns by the header of their own file.
 
-    Adds ``file_path`` and ``file_order``; the latter rises along each file. Where records may span lines a file is read
-    by one task and parallelism comes from the number of files; ``multi_line=False`` lets Spark split large files.
+    Files are read in groups of one header; a column that a file lacks is null. ``columns`` chooses columns by name (case
+    is ignored where no name fits exactly), else all that occur are given. Adds ``file_path`` and ``file_order``; the latter
+    rises along each file. Where records may span lines a file is read by one task and parallelism comes from the number of
+    files; ``multi_line=False`` lets Spark split large files.
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
-    if columns is not None:
-        reader = reader.schema(schemas.text_schema(list(columns)))
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
-    names = [F.col(f"`{c}`") for c in df.columns]
-    df = df.select(*names, F.col("_metadata.file_path").alias("file_path"),
-                   F.monotonically_increasing_id().alias("file_order"))
-    return _without_bom(df)
+    out = None
+    for names, group in _headers(spark, paths).items():
+        df = reader.schema(schemas.text_schema(list(names))).csv(group)
+        chosen = list(names)
+        if columns is not None:
+            low = {n.lower(): n for n in reversed(names)}
+            chosen = [c if c in names else low.get(c.lower()) for c in columns]
+        cells = [F.col(f"`{n}`").alias(c) if n else F.lit(None).cast("string").alias(c)
+                 for n, c in zip(chosen, columns if columns is not None else names)]
+        df = df.select(*cells, F.col("_metadata.file_path").alias("file_path"),
+                       F.monotonically_increasing_id().alias("file_order"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], schemas.text_schema([*(columns or []), "file_path"])).withColumn(
+            "file_order", F.lit(None).cast("bigint"))
+    extra = ["file_path", "file_order"]
+    return out.select(*[f"`{c}`" for c in out.columns if c not in extra], *extra)
+
+
+def with_row_numbers(df: DataFrame, name: str = "row_number") -> DataFrame:
+    """Number the rows of each file from 1, whatever splits the file was read in.
+
+    ``file_order`` counts inside a read partition (its upper bits). Rows per file and partition are counted, and each
+    partition starts after the rows of those before it, so no task holds a file.
+    """
+    part = F.shiftright(F.col("file_order"), 33).alias("_part")
+    counts = df.groupBy("file_path", part).agg(F.count(F.lit(1)).alias("_n"), F.min("file_order").alias("_first"))
+    before = Window.partitionBy("file_path").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
+        F.col("file_path").alias("_path"), F.col("_part").alias("_at"), "_first", "_before")
+    same = (F.col("file_path") == F.col("_path")) & (F.shiftright(F.col("file_order"), 33) == F.col("_at"))
+    return df.join(starts, same).withColumn(name, F.col("file_order") - F.col("_first") + F.col("_before") + 1).drop(
+        "_path", "_at", "_first", "_before")
 
 
 def read_csv_if_present(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -108,6 +173,7 @@ def read_bronze_jsonl(spark: SparkSession, path: str, source: str | None = None,
 
 # Inbox layout <source>/<yyyy-mm-dd>/<name>.csv and the sources accepted there.
 INBOX_PATTERN = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/([^/]+\.[cC][sS][vV])$"
+CSV_NAMES = "*.[cC][sS][vV]"
 INBOX_SOURCES = ["twitter", "youtube", "tiktok", "facebook", "external"]
 
 
@@ -125,7 +191,7 @@ def list_inbox(spark: SparkSession, inbox: str) -> DataFrame:
     """(path, source, modified, length) of every CSV below the inbox; the source is the first folder. No content is read."""
     root = re.sub(r"^[a-z0-9+.-]+:/*", "/", inbox.rstrip("/")) + "/"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(inbox))
+             .option("pathGlobFilter", CSV_NAMES).load(inbox))
     rest = F.substring_index(F.col("path"), root, -1)
     return files.select("path", F.split_part(rest, F.lit("/"), F.lit(1)).alias("source"),
                         F.col("modificationTime").alias("modified"), "length")
@@ -153,11 +219,9 @@ def landing_rows(df: DataFrame, run_id: str, source: str) -> DataFrame:
     data = [c for c in df.columns if c not in ("file_path", "file_order")]
     payload = F.to_json(F.struct(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in data]),
                         {"ignoreNullFields": "false"})
-    first = df.groupBy("file_path").agg(F.min("file_order").alias("_first"))
-    return df.join(first, "file_path").select(
+    return with_row_numbers(df).select(
         F.lit(run_id).alias("run_id"), F.lit(source).alias("source"),
-        F.element_at(F.split("file_path", "/"), -1).alias("original_filename"),
-        (F.col("file_order") - F.col("_first") + 1).alias("row_number"), payload.alias("payload"))
+        F.element_at(F.split("file_path", "/"), -1).alias("original_filename"), "row_number", payload.alias("payload"))
 
 
 def polls(df: DataFrame) -> DataFrame:

@@ -1,19 +1,31 @@
-"""Layer tables on plain Parquet: each run writes its own folder, keys are resolved when read.
+"""Layer tables on plain Parquet: each run writes a folder of its own, keys are resolved when read.
 
-A write never rewrites older data, so its cost follows the batch and not the table. A repeated run overwrites only its
-own folder. ``compact`` folds the folders into one from time to time.
+A write never touches finished data: a repeated run writes a new attempt, which counts from the moment it is complete, and
+its cost follows the batch and not the table. ``compact`` folds all folders into a new one that lists what it covers, and
+keeps with every row the version it came from, so runs can still be told apart.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from agoralake.operators.dedupe import dedupe
-from agoralake.sources.files import hadoop_path
+from agoralake.sources.files import hadoop_path, read_small_text, write_small_text
 
-_FULL = ".full"
+_FULL, _COVERS, _ORIGIN = ".full", "_COVERS", "_origin"
+
+
+def _base(version: str) -> str:
+    """A version without its attempt."""
+    return version.rsplit("~", 1)[0]
+
+
+def _run_of(version: str) -> str:
+    return _base(version).split("-", 1)[1]
 
 
 class VersionedTable:
@@ -29,50 +41,66 @@ class VersionedTable:
     def _folder(self, version: str) -> str:
         return f"{self.path}/version={version}"
 
+    def _found(self, mark: str) -> list[str]:
+        """Versions that hold a mark; one listing whatever their number."""
+        fs, pattern = hadoop_path(self.spark, f"{self.path}/version=*/{mark}")
+        return sorted(f.getPath().getParent().getName().split("=", 1)[1] for f in (fs.globStatus(pattern) or []))
+
+    def _state(self) -> tuple[str | None, list[str], list[str]]:
+        """The newest full version, the finished versions it does not cover, and all that are covered."""
+        last = {_base(v): v for v in self._found("_SUCCESS") if not _base(v).endswith(_FULL)}  # the last attempt of each
+        full = max(self._found(_COVERS), key=lambda v: v.rsplit("~", 1)[1], default=None)
+        covered = read_small_text(self.spark, f"{self._folder(full)}/{_COVERS}").split("\n") if full else []
+        known = set(covered)
+        return full, sorted(v for v in last.values() if v not in known), covered
+
     def versions(self) -> list[str]:
-        """Finished versions in order, from the newest full one on."""
-        fs, jpath = hadoop_path(self.spark, self.path)
-        if not fs.exists(jpath):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()]
-        done = sorted(
-            n.split("=", 1)[1] for n in names
-            if n.startswith("version=") and fs.exists(hadoop_path(self.spark, f"{self.path}/{n}/_SUCCESS")[1]))
-        full = [i for i, v in enumerate(done) if v.endswith(_FULL)]
-        return done[full[-1]:] if full else done
-
-    def _read(self, versions: Sequence[str]) -> DataFrame:
+        """The folders the table is read from, in order; a full one comes first."""
+        full, rest, _ = self._state()
+        return ([full] if full else []) + rest
+
+    def _rows(self, wanted=lambda run: True) -> DataFrame:
+        """Rows and their ``version``. ``wanted`` chooses runs. Repeated runs hide their rows in the full version."""
+        full, rest, covered = self._state()
         schema = T.StructType([*self.schema.fields, T.StructField("version", T.StringType())])
-        if not versions:
-            return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).option("basePath", self.path)
-                .parquet(*[self._folder(v) for v in versions]))
+        read = self.spark.read.option("basePath", self.path)
+        own = [v for v in rest if wanted(_run_of(v))]
+        out = read.schema(schema).parquet(*[self._folder(v) for v in own]) if own else self.spark.createDataFrame([], schema)
+        if full:
+            gone = {_base(v) for v in rest}
+            kept = [v for v in covered if v and _base(v) not in gone and wanted(_run_of(v))]
+            inner = T.StructType([*self.schema.fields, T.StructField(_ORIGIN, T.StringType())])
+            rows = read.schema(inner).parquet(self._folder(full)).withColumn("version", F.col(_ORIGIN)).drop(_ORIGIN)
+            if len(kept) < len(covered):
+                rows = rows.where(F.col("version").isin(kept))
+            out = out.unionByName(rows)
+        return out
+
+    def _write(self, df: DataFrame, version: str, extra: Sequence[str] = ()) -> str:
+        name = f"{version}~{time.time_ns() // 1000:020d}"
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        df.select(*columns, *extra).write.mode("errorifexists").partitionBy(*self.partition_by).parquet(self._folder(name))
+        return name
 
     def write(self, df: DataFrame, seq: int, run_id: str) -> None:
         """Write one batch. ``seq`` orders batches; rows of a batch must already be unique by key.
 
-        A run that has a finished version keeps it, so repeating the run replaces what it wrote before.
+        A run that has a finished version keeps its place, so repeating the run replaces what it wrote before.
         """
-        before = [v for v in self.versions() if v.endswith(f"-{run_id}")]
-        version = before[-1] if before else self.version(seq, run_id)
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        (df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(*self.partition_by).parquet(self._folder(version)))
+        _, rest, covered = self._state()
+        before = [v for v in [*covered, *rest] if v and _run_of(v) == run_id]
+        self._write(df, _base(before[-1]) if before else self.version(seq, run_id))
 
     def history(self) -> DataFrame:
-        return self._read(self.versions())
+        return self._rows()
 
     def run(self, run_id: str) -> DataFrame:
-        """Rows of one run; only its folder is read, or after compaction the starting point that holds it."""
-        versions = self.versions()
-        own = [v for v in versions if v.endswith(f"-{run_id}")]
-        if not own and versions and versions[0].endswith(_FULL) and "run_id" in self.schema.fieldNames():
-            return self._read(versions[:1]).where(F.col("run_id") == run_id).drop("version")
-        return self._read(own).drop("version")
+        """Rows of one run; only its folder is read, or after compaction its rows in the full version."""
+        return self._rows(lambda r: r == run_id).drop("version")
 
     def without_run(self, run_id: str) -> DataFrame:
         """The table as it was without one run, so that a repeated run does not see its own rows."""
-        return self._read([v for v in self.versions() if not v.endswith(f"-{run_id}")])
+        return self._rows(lambda r: r != run_id)
 
     def count_run(self, run_id: str) -> int:
         """Answered from the Parquet footers."""
@@ -80,13 +108,28 @@ class VersionedTable:
 
     def latest(self) -> DataFrame:
         """One row per key, the newest version winning."""
-        versions = self.versions()
-        rows = self._read(versions)
-        return (rows if len(versions) < 2 else dedupe(rows, self.keys, ["version"])).drop("version")
+        rows = self._rows()
+        return (rows if len(self.versions()) < 2 else dedupe(rows, self.keys, ["version"])).drop("version")
 
     def compact(self, seq: int) -> None:
-        """Write the newest row of every key as a new starting point; later reads skip what is older."""
-        self.write(self.latest(), seq, f"compact{_FULL}")
+        """Write the newest row of every key as a new full version. It counts once its list of covered versions is there;
+        what came meanwhile is not on the list and is read beside it."""
+        _, rest, covered = self._state()
+        if not rest:
+            return
+        gone = {_base(v) for v in rest}
+        rows = dedupe(self._rows(), self.keys, ["version"]).withColumn(_ORIGIN, F.col("version"))
+        name = self._write(rows, self.version(seq, f"compact-{uuid.uuid4().hex[:12]}{_FULL}"), [_ORIGIN])
+        listed = [*[v for v in covered if v and _base(v) not in gone], *rest]
+        write_small_text(self.spark, f"{self._folder(name)}/{_COVERS}", "\n".join(listed))
+
+    def vacuum(self) -> None:
+        """Delete folders that no reader that starts now would use. Call it when earlier readers are done."""
+        used = set(self.versions())
+        for v in self._found("_SUCCESS"):
+            if v not in used:
+                fs, path = hadoop_path(self.spark, self._folder(v))
+                fs.delete(path, True)
 
 
 def append_jsonl(posts: DataFrame, path: str, ingest_date: str) -> None:
@@ -115,5 +158,14 @@ def merged_checkpoint(existing: DataFrame, new: DataFrame, order_by: Sequence[st
 
 
 def refresh_daily(view: DataFrame, path: str) -> None:
-    """Materialise a view as a table that readers load instead of computing it."""
-    view.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Materialise a view as a table that readers load instead of computing it. The new state is written aside."""
+    view.write.parquet(f"{path}/state={time.time_ns() // 1000:020d}")
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished state of a materialised view."""
+    fs, pattern = hadoop_path(spark, f"{path}/state=*/_SUCCESS")
+    states = sorted(f.getPath().getParent().toString() for f in (fs.globStatus(pattern) or []))
+    if not states:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(states[-1])

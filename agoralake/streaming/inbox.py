@@ -1,41 +1,63 @@
 """The inbox as a stream of files. Each micro-batch runs the same transforms as the batch jobs.
 
-The file source remembers in its checkpoint which files it has seen, so a restart adds nothing and no file is taken
-twice. Writers should rename finished files into the inbox; the source does not wait for a file to stop growing.
+The stream carries the paths of new files only; each batch reads its files by their own headers, as the batch job does. The
+file source remembers in its checkpoint which files it has seen, so a restart adds nothing and no file is taken twice.
+Writers should rename finished files into the inbox; the source does not wait for a file to stop growing.
+
+Runs are named after an id kept with the checkpoint, so streams that write to one lake never take each other's place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from agoralake import schemas
 from agoralake.operators.dedupe import dedupe
 from agoralake.plans import layers
-from agoralake.plans.jobs import Lake
+from agoralake.plans.jobs import Lake, quarantine_rows, verdict_of
 from agoralake.plans.ledger import now_micros
-from agoralake.operators.quality import report
+from agoralake.operators.quality import report, summary
 from agoralake.sources import files, mappers, media
 from agoralake.sources.tables import VersionedTable
 
-# Fixed value: how often the inbox is looked at when the stream runs all the time.
+# How often the inbox is looked at when the stream runs all the time.
 RESCAN = "30 minutes"
 _DAY = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def inbox_stream(spark: SparkSession, inbox: str, source: str, columns: list[str], files_per_trigger: int | None = 1,
+def inbox_stream(spark: SparkSession, inbox: str, source: str, files_per_trigger: int | None = None,
                  archive: str | None = None) -> DataFrame:
-    """Rows of ``<inbox>/<source>/<day>/*.csv`` as they arrive, oldest file first; finished files may be archived."""
-    reader = spark.readStream.options(**files.CSV_OPTIONS).schema(schemas.text_schema(columns)).option(
-        "latestFirst", "false")
+    """``path`` of each CSV in ``<inbox>/<source>/<day>/`` as it arrives, oldest first; finished files may be archived.
+
+    Content is not read. Names of any case are taken, files of other kinds are not.
+    """
+    reader = spark.readStream.format("binaryFile").schema(_FILE).option("latestFirst", "false").option(
+        "pathGlobFilter", files.CSV_NAMES)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    df = reader.csv(f"{inbox.rstrip('/')}/{source}/{_DAY}/")
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"))
+    return reader.load(f"{inbox.rstrip('/')}/{source}/{_DAY}/").select("path")
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that has this checkpoint; a new checkpoint gets a new one."""
+    path = f"{checkpoint.rstrip('/')}/agoralake-stream-id"
+    if not files.exists(spark, path):
+        files.write_small_text(spark, path, uuid.uuid4().hex)
+    return files.read_small_text(spark, path)
+
+
+def _of_kind(batch: DataFrame, videos: bool) -> list[str]:
+    """The batch's files; a trigger's paths are few."""
+    low = F.lower("path")
+    rows = batch.where(F.endswith(low, F.lit("_videos.csv")) == F.lit(videos)).select("path").collect()
+    return sorted(r["path"] for r in rows)
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) -> StreamingQuery:
@@ -43,51 +65,76 @@ def _start(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) ->
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
-def _is_videos() -> Column:
-    return F.endswith(F.lower("file_path"), F.lit("_videos.csv"))
-
-
 def post_batch(lake: Lake, source: str, context: str = "posts", stream: str = "inbox") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: rows -> raw -> silver -> report. Re-running a batch overwrites what it wrote."""
+    """A function of (rows, batch number): rows -> raw -> silver -> report and ledger, rejected rows to quarantine.
+
+    A batch that fails the gate is in the ledger as ``quality_failed``. Re-running a batch replaces what it wrote.
+    """
     def handle(rows: DataFrame, batch_id: int) -> None:
         run_id, seq = f"{stream}_{source}_{batch_id}", now_micros()
-        raw, silver, reports = lake.raw(context), lake.silver(context), lake.reports()
-        comments = rows.where(~_is_videos()).withColumn("file_order", F.monotonically_increasing_id())
-        good, _ = mappers.map_posts(comments, source)
-        unique = dedupe(good, ["id"], ["file_path", "file_order"])
-        raw.write(mappers.raw_rows(unique, run_id, F.current_timestamp()), seq, run_id)
-        seen = silver.without_run(run_id).select("id")
-        fresh, _ = layers.to_silver(mappers.posts_of_raw(raw.run(run_id)), seen, run_id, F.current_timestamp())
-        silver.write(fresh.withColumn("cleaned_month", F.date_format("cleaned_at", "yyyy-MM")), seq, run_id)
-        row = report(silver.run(run_id), lake.ledger().runs(), run_id, "silver", F.current_timestamp())
-        reports.write(row, seq, f"silver-{run_id}")
+        raw, silver, reports, ledger = lake.raw(context), lake.silver(context), lake.reports(), lake.ledger()
+        ledger.start("stream_silver", run_id=run_id)
+        try:
+            ordered = rows if "file_order" in rows.columns else rows.withColumn("file_order", F.monotonically_increasing_id())
+            good, bad = mappers.map_posts(ordered, source)
+            lake.quarantine().write(quarantine_rows(bad, run_id, source), seq, run_id)
+            unique = dedupe(good, ["id"], ["file_path", "file_order"])
+            raw.write(mappers.raw_rows(unique, run_id, F.current_timestamp()), seq, run_id)
+            seen = silver.without_run(run_id).select("id")
+            fresh, _ = layers.to_silver(mappers.posts_of_raw(raw.run(run_id)), seen, run_id, F.current_timestamp())
+            silver.write(fresh.withColumn("cleaned_month", F.date_format("cleaned_at", "yyyy-MM")), seq, run_id)
+            row = report(silver.run(run_id), ledger.runs(), run_id, "silver", F.current_timestamp())
+            reports.write(row, seq, f"silver-{run_id}")
+            found = summary(reports.run(f"silver-{run_id}")).first().asDict()
+            status = "quality_failed" if found["overall"] == "FAIL" else "success"
+            ledger.finish(run_id, status, rows_out=silver.count_run(run_id), quality_summary=verdict_of(found))
+        except Exception as exc:
+            ledger.finish(run_id, "failed", error=str(exc))
+            raise
     return handle
 
 
+def _by_file(lake: Lake, videos: bool, columns: Sequence[str], handle: Callable[[DataFrame, int], None]):
+    """Read a batch's files by header; columns of the source's layout that no file has are null."""
+    def read(batch: DataFrame, batch_id: int) -> None:
+        paths = _of_kind(batch, videos)
+        if paths:
+            rows = files.read_csv(lake.spark, paths)
+            low = {c.lower() for c in rows.columns}
+            handle(rows.withColumns({c: F.lit(None).cast("string") for c in columns if c.lower() not in low}), batch_id)
+    return read
+
+
 def stream_posts(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,
-                 files_per_trigger: int | None = 1, archive: str | None = None,
+                 files_per_trigger: int | None = None, archive: str | None = None,
                  context: str = "posts") -> StreamingQuery:
     """Comment files of one source into raw and silver."""
-    rows = inbox_stream(lake.spark, inbox, source, schemas.COMMENT_CSV[source], files_per_trigger, archive)
-    return _start(rows.writeStream.foreachBatch(post_batch(lake, source, context)), checkpoint, once, every)
+    paths = inbox_stream(lake.spark, inbox, source, files_per_trigger, archive)
+    handle = post_batch(lake, source, context, f"inbox-{stream_id(lake.spark, checkpoint)}")
+    columns = [] if source == "external" else schemas.COMMENT_CSV[source]
+    return _start(paths.writeStream.foreachBatch(_by_file(lake, False, columns, handle)), checkpoint, once, every)
 
 
 def stream_videos(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,
-                  files_per_trigger: int | None = 1) -> StreamingQuery:
+                  files_per_trigger: int | None = None) -> StreamingQuery:
     """Video files (``*_videos.csv``) of one source into its video table; other files are left to ``stream_posts``."""
+    own = stream_id(lake.spark, checkpoint)
+
     def handle(rows: DataFrame, batch_id: int) -> None:
-        run_id = f"videos_{source}_{batch_id}"
-        ordered = rows.where(_is_videos()).withColumn("file_order", F.monotonically_increasing_id())
-        good, _ = media.VIDEO_MAPPERS[source](ordered, run_id)
-        lake.videos(source).write(dedupe(good, ["video_id"], ["file_path", "file_order"]), now_micros(), run_id)
+        run_id, seq = f"videos-{own}_{source}_{batch_id}", now_micros()
+        good, bad = media.VIDEO_MAPPERS[source](rows, run_id)
+        lake.quarantine().write(quarantine_rows(bad, run_id, f"{source}_videos"), seq, run_id)
+        lake.videos(source).write(dedupe(good, ["video_id"], ["file_path", "file_order"]), seq, run_id)
 
-    reader = inbox_stream(lake.spark, inbox, source, schemas.VIDEO_CSV[source], files_per_trigger)
-    return _start(reader.writeStream.foreachBatch(handle), checkpoint, once, every)
+    paths = inbox_stream(lake.spark, inbox, source, files_per_trigger)
+    return _start(paths.writeStream.foreachBatch(_by_file(lake, True, schemas.VIDEO_CSV[source], handle)), checkpoint, once, every)
 
 
 def stream_upsert(rows: DataFrame, table: VersionedTable, checkpoint: str, order_by: list[str], once: bool = True,
                   every: str = RESCAN) -> StreamingQuery:
-    """Any stream of keyed rows into a table, the last row of a key winning; batch ids order the versions."""
+    """Any stream of keyed rows into a table, the last row of a key winning; the time of a batch's first try orders it."""
+    own = stream_id(rows.sparkSession, checkpoint)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        table.write(dedupe(batch, table.keys, order_by), batch_id, f"batch{batch_id}")
+        table.write(dedupe(batch, table.keys, order_by), now_micros(), f"stream-{own}-{batch_id}")
     return _start(rows.writeStream.foreachBatch(handle), checkpoint, once, every)

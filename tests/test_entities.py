@@ -101,10 +101,14 @@ def test_join_on_ngrams_equals_search(spark):
     assert joined == inline == {(1, "Ivan Cepeda"), (2, "Abelardo De la Espriella")}
 
 
-def test_a_large_dictionary_is_refused_inline(spark):
-    df = spark.createDataFrame([("x",)], "n string")
-    with pytest.raises(ValueError):
-        entities.with_entities(df, "n", aliases={f"a{i}": "e" for i in range(501)})
+def test_a_large_dictionary_gives_the_same_columns(spark):
+    df = spark.createDataFrame([("viva el pacto historico ya a7",), ("el tigre y tigre a600 b",), ("",), (None,)], "n string")
+    more = {f"a{i} b": f"e{i}" for i in range(1000)} | {"a7": "siete"}
+    small = {r["n"]: (r["candidatos"], r["partidos"]) for r in entities.with_entities(df, "n", fuzzy_targets=None).collect()}
+    large = {r["n"]: (r["candidatos"], r["partidos"]) for r in entities.with_entities(
+        df, "n", aliases=lexicon.CANDIDATE_ALIASES | more, fuzzy_targets=None).collect()}
+    extra = {"viva el pacto historico ya a7": ["siete"], "el tigre y tigre a600 b": ["e600"]}
+    assert large == {k: (sorted([*c, *extra.get(k, [])]), p) for k, (c, p) in small.items()}
 
 
 def test_intention(one):

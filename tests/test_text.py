@@ -85,7 +85,7 @@ def test_small_parsers(one):
         "twitter", "facebook", "youtube", None]
     assert one(lambda c: text.drop_first(c, "yt_"), "yt_a", "a_yt_b_yt_", "x") == ["a", "a_b_yt_", "x"]
     assert one(lambda c: text.first_name_slug(c, 15), "Abelardo De la Espriella", "  x  y ") == ["Abelardo", "x"]
-    assert one(text.underscore_slug, "Defensores de la  Patria") == ["Defensores_de_la_Pat"]
+    assert one(lambda c: text.underscore_slug(c, 20), "Defensores de la  Patria") == ["Defensores_de_la_Pat"]
     assert one(lambda c: text.first_chars(c, 3), "abcdef", "a", None) == ["abc", "a", ""]
 
 
