@@ -189,14 +189,13 @@ def pivot_polls(t: Tables) -> DataFrame:
     return scale(ft.pivot_polls(t.polls())[0])
 
 
-@query(ctes(V_MENTIONS) + """select fecha, candidato, coalesce(last_value(case when menciones > 2 then menciones end
-  ignore nulls) over (partition by candidato order by fecha rows unbounded preceding), 0) as menciones
-  from (select fecha, candidato, sum(menciones)::bigint as menciones from mentions where medio = '1-URGENT' group by 1, 2)""")
+@query(ctes(V_MENTIONS) + """select fecha, medio, candidato, coalesce(last_value(case when menciones > 2 then menciones end
+  ignore nulls) over (partition by medio, candidato order by fecha rows unbounded preceding), 0) as menciones
+  from (select fecha, medio, candidato, sum(menciones)::bigint as menciones from mentions group by 1, 2, 3)""")
 def forward_fill(t: Tables) -> DataFrame:
-    rows = t.mentions().where(F.col("medio") == "1-URGENT").groupBy("fecha", "candidato").agg(
-        F.sum("menciones").alias("menciones"))
+    rows = t.mentions().groupBy("fecha", "medio", "candidato").agg(F.sum("menciones").alias("menciones"))
     rows = rows.withColumn("menciones", F.when(F.col("menciones") > 2, F.col("menciones")))
-    return asof.forward_fill(rows, ["menciones"], ["fecha"], ["candidato"], F.lit(0))
+    return asof.forward_fill(rows, ["menciones"], ["fecha"], ["medio", "candidato"], F.lit(0))
 
 
 # --- targets ----------------------------------------------------------------------------------------------------------

@@ -503,6 +503,18 @@ def csv_scan(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, schemas.TWITTER_CSV).select("id", F.md5("content").alias("content_md5"), "likes")
 
 
+@query(ctes(V_POSTS) + """select cast(seq as varchar) || '.0' as id, md5(text) as content_md5,
+    case when lang = 'fr' then null else cast(likes as varchar) end as likes from posts""")
+def csv_scan_of_unlike_headers(t: Tables) -> DataFrame:
+    """Exports whose columns stand in other orders, in other case, or are missing, read together."""
+    path, rows = new_work_path(t.spark, "csv"), twitter_export(t).withColumn("lang", F.substring("Query", 3, 9))
+    columns = schemas.TWITTER_CSV
+    layouts = {"en": columns, "de": columns[::-1], "es": [c.upper() for c in columns], "fr": [c for c in columns[::2] + columns[1::2] if c != "likes"]}
+    for lang, names in layouts.items():
+        _write_exports(rows.where(F.col("lang") == lang).select(*names), f"{path}/{lang}", 2)
+    return files.read_csv(t.spark, f"{path}/*", columns).select("id", F.md5("content").alias("content_md5"), "likes")
+
+
 @query(ctes(V_POSTS) + """select source, count(*) as filas, min(seq) as primera, max(seq) as ultima from posts
   where source <> 'other' group by 1""")
 def jsonl_store_and_scan(t: Tables) -> DataFrame:
@@ -528,6 +540,24 @@ def landing_rows(t: Tables) -> DataFrame:
     return rows.select("original_filename", "row_number", got("o_orderstatus"), got("cliente"))
 
 
+@query("""with u as (select o_custkey, o_orderkey, case o_orderstatus when 'O' then 1 when 'P' then 2 else 3 end as v from orders)
+select o_custkey, max_by(o_orderkey, v * 1000000000 + o_orderkey) as o_orderkey, cast(count(distinct v) as int) as n from u
+group by 1""")
+def compacted_twice(t: Tables) -> DataFrame:
+    """Three batches with a compaction after the first and the second; the second is then repeated; runs stay apart."""
+    schema = schemas.T.StructType([schemas.T.StructField("o_custkey", schemas.L), schemas.T.StructField("o_orderkey", schemas.L)])
+    table = tables.VersionedTable(t.spark, new_work_path(t.spark, "compacted"), schema, ["o_custkey"])
+    batch = lambda s: dd.dedupe(t.orders.where(F.col("o_orderstatus") == s).select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"])
+    parts = {1: batch("O"), 2: batch("P"), 3: batch("F")}
+    for seq, rows in parts.items():
+        table.write(rows, seq, f"r{seq}")
+        if seq < 3:
+            table.compact(10 * seq)
+    table.write(parts[2], 99, "r2")
+    n = parts[1].union(parts[2]).union(parts[3]).groupBy("o_custkey").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return table.latest().join(n, "o_custkey")
+
+
 @query("""select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by v desc,
     case when v = 1 then o_orderkey else -o_orderkey end) as k from (select o_custkey, o_orderkey, 1 as v from orders
     union all select o_custkey, o_orderkey, 2 from orders where o_orderstatus = 'F')) where k = 1""")
@@ -583,6 +613,19 @@ def inbox_stream_to_silver(t: Tables) -> DataFrame:
                                          F.col("engagement")["likes"].alias("likes"))
 
 
+@query(ctes(V_POSTS) + _FIRST_OF_BATCHES)
+def two_inboxes_into_one_lake(t: Tables) -> DataFrame:
+    """Two streams of one source, each with its own inbox and checkpoint: neither takes the other's place."""
+    lake = jobs.Lake(t.spark, new_work_path(t.spark, "inboxes"))
+    rows = twitter_export(t)
+    odd = F.col("id").cast("double").cast("bigint") % 2 == 1
+    for name, part in (("a", rows.where(odd)), ("b", rows.where(~odd))):
+        _write_exports(part, f"{lake.root}/{name}/twitter/{AS_OF[:10]}", 2)
+        inbox.stream_posts(lake, f"{lake.root}/{name}", "twitter", f"{lake.root}/checkpoint-{name}").awaitTermination()
+    return lake.silver().latest().select("id", F.md5("text_clean").alias("clean_md5"), "pii_detected",
+                                         F.col("engagement")["likes"].alias("likes"))
+
+
 @query(ctes(V_POSTS) + """select cast(seq as varchar) as video_id, likes as view_count from posts""")
 def inbox_stream_to_videos(t: Tables) -> DataFrame:
     """Video files beside comment files: only the former reach the video table, a later file refreshing a video."""

@@ -134,3 +134,15 @@ def test_period_bounds_and_empty_entities(spark):
     df = spark.createDataFrame(rows, "red string, fecha timestamp, score double, intencion_explicita int, engagement double, candidatos array<string>")
     got = {(r["entidad"], r["ventana"]): (r["menciones"], r["score_final"]) for r in wn.period_scores(df, "candidatos", "2026-03-08", "2026-03-12").collect()}
     assert got == {("A", 0): (1, 0.5), ("A", 1): (1, 0.8), ("B", 1): (1, 0.8)}
+
+
+def test_columns_of_names_with_one_beginning_stay_apart(spark):
+    from agoralake.operators import feature_table as ft
+    from pyspark.sql import functions as F
+    names = ["Movimiento Alternativo Indigena", "Movimiento Alternativo Social", "Verde", "Ana Ruiz", "Ana  Ruiz"]
+    rows = spark.createDataFrame([(1, "2026-01-01", "2026-01-05", "twitter", n, float(i)) for i, n in enumerate(names)],
+                                 "ventana int, fecha_ini_ventana string, fecha_fin_ventana string, red string, entidad string, score_final double")
+    wide, columns = ft.pivot_scores(rows, 2, ft.underscore_slug(F.col("entidad"), 20))
+    row = wide.first().asDict()
+    assert len(columns) == 5 and sorted(row[c] for c in columns) == [0.0, 1.0, 2.0, 3.0, 4.0]
+    assert row["ST2_Verde"] == 2.0 and row["ST2_Movimiento_Alternativo_Social"] == 1.0

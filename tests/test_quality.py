@@ -86,3 +86,12 @@ def test_views_on_few_runs(spark):
     assert views.list_runs(rows).count() == 4 and views.list_runs(rows, status="failed").count() == 0
     nothing = views.quality_failed_rate(rows.where("false"), as_of).collect()
     assert all(r["failure_rate"] == 0.0 for r in nothing)
+
+
+def test_failure_rate_counts_every_run_of_the_span(spark):
+    start = "2026-05-19 12:00:00"
+    rows = spark.range(1200).select(
+        F.col("id").cast("string").alias("run_id"), F.when(F.col("id") % 4 == 0, "quality_failed").otherwise("success").alias("status"),
+        (F.lit(start).cast("timestamp") - F.make_dt_interval(mins=F.col("id").cast("int"))).alias("started_at"))
+    got = {r["window"]: (r["total_runs"], r["quality_failed"]) for r in views.quality_failed_rate(rows, F.lit("2026-05-20 00:00:00").cast("timestamp")).collect()}
+    assert got == {"24h": (721, 181), "7d": (1200, 300)}

@@ -173,3 +173,64 @@ def test_versioned_table(spark, tmp_path):
     assert table.count_run("r1") == 1
     table.write(make([("1", "z")], "r3"), 101, "r3")
     assert ("1", "z") in state() and len(state()) == 3
+
+
+def test_cells_follow_the_header_of_their_own_file(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("id,content,likes\n1,hola,5\n")
+    (tmp_path / "c" / "b c.csv").write_text("\ufefflikes,ID,content,extra\n7,2,\"adios\nya\",x\n")
+    (tmp_path / "c" / "empty.csv").write_text("")
+    (tmp_path / "c" / "none.csv").write_text("content\nsolo\n")
+    got = files.read_csv(spark, str(tmp_path / "c" / "*.csv"), ["id", "content", "likes"])
+    rows = sorted((r["id"] or "", r["content"], r["likes"]) for r in got.collect())
+    assert rows == [("", "solo", None), ("1", "hola", "5"), ("2", "adios\nya", "7")]
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.csv").write_text("id,text,date,author\n1,uno,2024-01-01,ana\n")
+    (tmp_path / "x" / "b.csv").write_text("author,date,text,id\nbea,2024-01-02,dos,2\n")
+    good, _ = mappers.map_posts(files.read_csv(spark, str(tmp_path / "x" / "*.csv")), "external")
+    assert sorted((r["id"], r["text"], r["username"]) for r in good.collect()) == [("ext_1", "uno", "ana"), ("ext_2", "dos", "bea")]
+
+
+def test_rows_of_a_split_file_are_numbered_on(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("k,v\n" + "".join(f"{i},{'x' * 90}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        rows = files.with_row_numbers(files.read_csv(spark, str(tmp_path / "big.csv"), multi_line=False))
+        assert rows.select((F.col("row_number") - F.col("k")).alias("d")).distinct().collect()[0][0] == 1
+        assert rows.agg(F.max("row_number")).first()[0] == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_compactions_repeat_and_keep_runs_apart(spark, tmp_path):
+    schema = schemas.T.StructType([schemas.T.StructField(c, schemas.S) for c in ("id", "v")])
+    table = tables.VersionedTable(spark, str(tmp_path / "t"), schema, ["id"])
+    make = lambda *rows: spark.createDataFrame(list(rows), schema)
+    state = lambda df: {(r["id"], r["v"]) for r in df.collect()}
+    table.write(make(("1", "a"), ("2", "a")), 1, "r1")
+    table.compact(10)
+    table.write(make(("2", "b"), ("3", "b")), 2, "r2")
+    table.compact(10)
+    table.compact(10)
+    assert state(table.latest()) == {("1", "a"), ("2", "b"), ("3", "b")} and len(table.versions()) == 1
+    assert state(table.without_run("r2").select("id", "v")) == {("1", "a")} and state(table.run("r2")) == {("2", "b"), ("3", "b")}
+    table.write(make(("4", "c")), 3, "r3")
+    table.write(make(("3", "z")), 77, "r2")
+    assert state(table.run("r2")) == {("3", "z")} and state(table.latest()) == {("1", "a"), ("3", "z"), ("4", "c")}
+    table.compact(11)
+    assert state(table.latest()) == {("1", "a"), ("3", "z"), ("4", "c")}
+    table.vacuum()
+    assert state(table.latest()) == {("1", "a"), ("3", "z"), ("4", "c")} and len(table._found("_SUCCESS")) == 1
+
+
+def test_a_write_that_breaks_off_leaves_what_was_there(spark, tmp_path):
+    schema = schemas.T.StructType([schemas.T.StructField(c, schemas.S) for c in ("id", "v")])
+    table = tables.VersionedTable(spark, str(tmp_path / "t"), schema, ["id"])
+    table.write(spark.createDataFrame([("1", "a")], schema), 1, "r1")
+    bad = spark.createDataFrame([("1", "b")], schema).withColumn("v", F.raise_error(F.lit("boom")))
+    for _ in range(2):
+        try:
+            table.write(bad, 1, "r1")
+        except Exception:  # noqa: BLE001
+            pass
+        assert table.latest().first()["v"] == "a"

@@ -57,3 +57,37 @@ def test_finished_files_are_archived(spark, tmp_path):
     assert lake.silver().latest().count() == 3
     archived = [f for _, _, names in os.walk(tmp_path / "done") for f in names]
     assert archived, "the file source archives files of committed batches"
+
+
+def test_streams_of_one_lake_keep_their_own_rows(spark, tmp_path):
+    lake = Lake(spark, f"file:{tmp_path}/lake")
+    for name in ("a", "b"):
+        put(tmp_path, f"{name}/twitter/2026-05-19/x.csv", [name])
+        inbox.stream_posts(lake, f"file:{tmp_path}/inbox/{name}", "twitter", f"file:{tmp_path}/checkpoint-{name}").awaitTermination()
+    assert sorted(r["id"] for r in lake.silver().latest().collect()) == ["tw_a", "tw_b"] == sorted(r["id"] for r in lake.raw().latest().collect())
+
+
+def test_streamed_files_follow_their_headers_and_any_case(spark, tmp_path):
+    lake = Lake(spark, f"file:{tmp_path}/lake")
+    put(tmp_path, "twitter/2026-05-19/a.csv", [1])
+    day = tmp_path / "inbox/twitter/2026-05-19"
+    (day / "B.CSV").write_text("likes,content,id,datetime\n9,al reves,2,2026-05-19 11:00:00\n")
+    (day / "c.csv.tmp").write_text("likes,content,id\n9,nada,3\n")
+    (day / "Y_VIDEOS.CSV").write_text("video_id\n5\n")
+    run(lake, tmp_path)
+    assert {r["id"]: r["text_clean"] for r in lake.silver().latest().collect()} == {"tw_1": "hola a todos 1", "tw_2": "al reves"}
+    runs = lake.ledger().runs().collect()
+    # The rows are days old, so the gate's freshness check fails, and the ledger says so.
+    assert [(r["flow_name"], r["status"], r["rows_out"]) for r in runs] == [("stream_silver", "quality_failed", 2)]
+    assert lake.reports().latest().first()["overall"] == "FAIL"
+
+
+def test_rejected_rows_of_a_stream_are_kept(spark, tmp_path):
+    lake = Lake(spark, f"file:{tmp_path}/lake")
+    day = tmp_path / "inbox/tiktok/2026-05-19"
+    day.mkdir(parents=True)
+    (day / "a.csv").write_text("text,comment_id\nbueno,1\nsin id,\n")
+    inbox.stream_posts(lake, f"file:{tmp_path}/inbox", "tiktok", f"file:{tmp_path}/checkpoint").awaitTermination()
+    bad = lake.quarantine().latest().collect()
+    assert len(bad) == 1 and "sin id" in bad[0]["payload"] and bad[0]["error"] == "comment_id missing"
+    assert lake.raw().latest().count() + len(bad) == 2
