@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from agoralake.session import stored
+
 TOKENIZERS = "/opt/tokenizers"
 VERSIONS = {"byte_bpe_50k@1": "byte_bpe_50k.tiktoken", "words@1": ""}  # tokenizer version: file of ranks, none for words
 #: Fixed value: how the byte-level vocabularies split a text before merging.
@@ -114,7 +116,8 @@ def later_copies(documents: DataFrame) -> DataFrame:
     """(doc_id): documents whose whole text another document with a smaller doc_id has; null texts are no copies."""
     texts = documents.filter("text is not null and doc_id is not null").select("doc_id", F.sha2("text", 256).alias("h"))
     first = texts.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    return texts.join(first, "h").filter("doc_id > first").select("doc_id")
+    # Stored, so that both sides of the join are plain shuffles, of which Spark splits the part of a very common text.
+    return texts.join(stored(first, "repeated-texts"), "h").filter("doc_id > first").select("doc_id")
 
 
 def maintained_counts(documents: DataFrame, path: str) -> DataFrame:
