@@ -31,6 +31,14 @@ QUARANTINE = schemas.T.StructType([
     schemas.T.StructField("file_order", schemas.L)])
 
 
+ID_BUCKETS = 64
+ID_SCHEMA = schemas.T.StructType([schemas.T.StructField("id", schemas.S), schemas.T.StructField("bucket", schemas.S)])
+
+
+def id_rows(posts: DataFrame) -> DataFrame:
+    return posts.select("id", F.pmod(F.xxhash64("id"), F.lit(ID_BUCKETS)).cast("string").alias("bucket"))
+
+
 def quarantine_rows(bad: DataFrame, run_id: str, source: str) -> DataFrame:
     """Rejected rows in the shape of the quarantine table; the whole row is kept as JSON."""
     path = F.col("file_path") if "file_path" in bad.columns else F.lit(None).cast("string")
@@ -66,6 +74,10 @@ class Lake:
         schema = schemas.T.StructType([*schemas.SILVER_POST.fields, schemas.T.StructField("cleaned_month", schemas.S)])
         return self._table(f"silver/{context}", schema, ["id", "cleaned_at"], ["cleaned_month"])
 
+    def silver_ids(self, context: str = "posts") -> VersionedTable:
+        """Ids of silver posts in buckets by hash, so that a small batch is held against a few of them."""
+        return self._table(f"ops/silver_ids_{context}", ID_SCHEMA, ["id"], ["bucket"])
+
     def gold(self) -> VersionedTable:
         return self._table("gold/features", schemas.GOLD_FEATURE, ["id"], ["source"])
 
@@ -131,13 +143,32 @@ def load_bronze(lake: Lake, paths: str | Sequence[str], source: str, run_id: str
     return raw.count_run(run_id)
 
 
+def known_ids(lake: Lake, posts: DataFrame, run_id: str, seq: int, context: str = "posts") -> DataFrame:
+    """Ids of earlier runs that ``posts`` might repeat: only the buckets its ids fall into are read.
+
+    A lake whose silver is older than its id table gets the table first.
+    """
+    ids, silver = lake.silver_ids(context), lake.silver(context)
+    if not ids.versions() and silver.versions():
+        ids.write(dedupe(id_rows(silver.without_run(run_id)), ["id"], ["id"]), seq, f"ids-before-{run_id}")
+    buckets = [r["bucket"] for r in id_rows(posts).select("bucket").distinct().collect()]  # ID_BUCKETS at most
+    return ids.without_run(run_id).where(F.col("bucket").isin(buckets)).select("id")
+
+
+def store_silver(lake: Lake, good: DataFrame, run_id: str, seq: int, context: str = "posts") -> None:
+    """A run's silver rows, then their ids: ids that are known have rows."""
+    silver = lake.silver(context)
+    silver.write(good.withColumn("cleaned_month", F.date_format("cleaned_at", "yyyy-MM")), seq, run_id)
+    lake.silver_ids(context).write(dedupe(id_rows(silver.run(run_id)), ["id"], ["id"]), seq, run_id)
+
+
 def promote_silver(lake: Lake, run_id: str, seq: int, context: str = "posts", mask_first: bool = False,
                    detector: Callable[[str], str] | None = None) -> int:
     silver = lake.silver(context)
     posts = mappers.posts_of_raw(lake.raw(context).run(run_id))
-    seen = silver.without_run(run_id).select("id")
+    seen = known_ids(lake, posts, run_id, seq, context)
     good, _ = layers.to_silver(posts, seen, run_id, F.current_timestamp(), mask_first=mask_first, detector=detector)
-    silver.write(good.withColumn("cleaned_month", F.date_format("cleaned_at", "yyyy-MM")), seq, run_id)
+    store_silver(lake, good, run_id, seq, context)
     return silver.count_run(run_id)
 
 
@@ -165,7 +196,7 @@ def compact(lake: Lake, context: str = "posts") -> None:
     """Fold the folders of the layer and bookkeeping tables; for a quiet hour, as it reads each table once."""
     seq = now_micros()
     for table in (lake.raw(context), lake.silver(context), lake.gold(), lake.reports(), lake.quarantine(),
-                  lake.raw_files(context)):
+                  lake.raw_files(context), lake.silver_ids(context)):
         table.compact(seq)
 
 
@@ -311,27 +342,40 @@ def load_contexts(lake: Lake, since: Column | None = None) -> DataFrame:
 
 def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None = None,
                  momentum: DataFrame | None = None, period: tuple[str, str] | None = None,
-                 since: Column | None = None) -> dict[str, DataFrame]:
+                 since: Column | None = None, resume: bool = False) -> dict[str, DataFrame]:
     """Standardise, score, aggregate in windows and build the feature table.
 
-    Scored posts are written once and read back, so every later step starts from stored columns.
+    Scored posts are written once and read back, so every later step starts from stored columns. With ``resume`` only posts
+    from the stored high-water mark on are scored; they join the scored posts of earlier runs, and both are stored anew.
     """
-    path = f"{lake.root.rstrip('/')}/analysis/{new_run_id()}"
-    rows = layers.with_intention(layers.standardise(load_contexts(lake, since)))
-    scorers.with_sentiment(rows, scorer).write.parquet(f"{path}/scored")
-    scored = lake.spark.read.parquet(f"{path}/scored")
+    root = lake.root.rstrip("/")
+    path = f"{root}/analysis/{new_run_id()}"
+    marks, states = f"{root}/ops/high_water_mark", f"{root}/analysis/scored"
 
     def stored(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
         return lake.spark.read.parquet(f"{path}/{name}")
 
+    if resume and since is None and files.exists(lake.spark, f"{marks}/*/_SUCCESS"):
+        mark = tables.read_daily(lake.spark, marks).first()["ultima_fecha"]
+        since = None if mark is None else F.lit(mark)
+    contexts = stored("contexts", load_contexts(lake, since))
+    rows = layers.with_intention(layers.standardise(contexts))
+    scored = stored("new_scored", scorers.with_sentiment(rows, scorer))
+    if resume:
+        if files.exists(lake.spark, f"{states}/*/_SUCCESS"):
+            scored = stored("scored", tables.merged_checkpoint(tables.read_daily(lake.spark, states), scored, ["id"]))
+        tables.refresh_daily(scored, states)
+        tables.refresh_daily(files.high_water_mark(contexts).select(F.greatest(
+            F.col("ultima_fecha"), F.lit(None).cast("timestamp") if since is None else since.cast("timestamp")).alias("ultima_fecha")).coalesce(1), marks)
+
     by_candidate = stored("scores_candidato_red", windows.windowed_scores(scored, "candidatos"))
     by_party = stored("scores_partido_red", windows.windowed_scores(scored, "partidos"))
     out = {
         "scored": scored, "scores_candidato_red": by_candidate, "scores_partido_red": by_party,
         "features": stored("features", feature_table.build_feature_table(by_candidate, by_party, polls, momentum)),
         "ranking": windows.ranking(by_candidate),
-        "ultima_fecha": files.high_water_mark(load_contexts(lake, since)),
+        "ultima_fecha": files.high_water_mark(contexts),
     }
     if period:
         out["parlamentarias_candidato_red"] = windows.period_scores(scored, "candidatos", *period)

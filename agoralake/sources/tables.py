@@ -158,8 +158,14 @@ def merged_checkpoint(existing: DataFrame, new: DataFrame, order_by: Sequence[st
 
 
 def refresh_daily(view: DataFrame, path: str) -> None:
-    """Materialise a view as a table that readers load instead of computing it. The new state is written aside."""
+    """Materialise a view as a table that ``read_daily`` loads instead of computing it.
+
+    The new state is written aside; the one before it stays for readers that have begun, older ones are deleted.
+    """
     view.write.parquet(f"{path}/state={time.time_ns() // 1000:020d}")
+    fs, pattern = hadoop_path(view.sparkSession, f"{path}/state=*/_SUCCESS")
+    for f in sorted(fs.globStatus(pattern), key=lambda f: f.getPath().toString())[:-2]:
+        fs.delete(f.getPath().getParent(), True)
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:

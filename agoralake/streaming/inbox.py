@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from agoralake import schemas
 from agoralake.operators.dedupe import dedupe
 from agoralake.plans import layers
-from agoralake.plans.jobs import Lake, quarantine_rows, verdict_of
+from agoralake.plans.jobs import Lake, known_ids, quarantine_rows, store_silver, verdict_of
 from agoralake.plans.ledger import now_micros
 from agoralake.operators.quality import report, summary
 from agoralake.sources import files, mappers, media
@@ -80,9 +80,10 @@ def post_batch(lake: Lake, source: str, context: str = "posts", stream: str = "i
             lake.quarantine().write(quarantine_rows(bad, run_id, source), seq, run_id)
             unique = dedupe(good, ["id"], ["file_path", "file_order"])
             raw.write(mappers.raw_rows(unique, run_id, F.current_timestamp()), seq, run_id)
-            seen = silver.without_run(run_id).select("id")
-            fresh, _ = layers.to_silver(mappers.posts_of_raw(raw.run(run_id)), seen, run_id, F.current_timestamp())
-            silver.write(fresh.withColumn("cleaned_month", F.date_format("cleaned_at", "yyyy-MM")), seq, run_id)
+            posts = mappers.posts_of_raw(raw.run(run_id))
+            seen = known_ids(lake, posts, run_id, seq, context)
+            fresh, _ = layers.to_silver(posts, seen, run_id, F.current_timestamp())
+            store_silver(lake, fresh, run_id, seq, context)
             row = report(silver.run(run_id), ledger.runs(), run_id, "silver", F.current_timestamp())
             reports.write(row, seq, f"silver-{run_id}")
             found = summary(reports.run(f"silver-{run_id}")).first().asDict()

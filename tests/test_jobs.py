@@ -1,11 +1,12 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from agoralake.plans import jobs, layers, scorers, views
 from agoralake.plans.jobs import Lake
-from agoralake.sources import files
+from agoralake.sources import files, tables
 
 NOW = dt.datetime(2026, 5, 20)
 
@@ -42,7 +43,7 @@ def test_pass_reaches_gold(lake, tmp_path):
     # the last of two equal ids in a file wins in raw
     gold = {r["id"]: r for r in lake.gold().latest().collect()}
     assert gold["tw_0"]["engagement"]["likes"] == 99 and gold["tw_0"]["days_until_election"] == 11
-    daily = lake.spark.read.parquet(f"{lake.root}/public/v_sentiment_daily").collect()
+    daily = tables.read_daily(lake.spark, f"{lake.root}/public/v_sentiment_daily").collect()
     assert [(r["source"], r["posts"]) for r in daily] == [("twitter", 12)]
     report = lake.reports().latest().collect()
     assert len(report) == 1 and report[0]["overall"] == "PASS" and len(report[0]["checks"]) == 5
@@ -204,3 +205,37 @@ def test_model_scorer_survives_a_bad_batch(spark):
     got = scorers.with_sentiment(df, scorers.ModelScorer(Picky(), batch=1)).collect()
     assert [(r["score"], r["sentimiento"]) for r in got] == [(0.9, "positivo"), (0.0, "neutro"), (0.9, "positivo")]
     assert scorers.ModelScorer(Picky()).info() == {"model_name": "unknown", "version": "0.0"}
+
+
+def test_a_second_analysis_scores_only_new_posts(spark, lake, tmp_path):
+    def load(name, start, day):
+        path = tmp_path / name
+        path.write_text("id,content,datetime,username,likes\n" + "".join(
+            f"{start + i},texto {start + i} de cepeda bien,{day} 10:00:00,u,1\n" for i in range(4)))
+        jobs.run_batch(lake, str(path), "twitter")
+
+    scorer = scorers.LexiconScorer(["bien"], ["mal"])
+    load("one.csv", 0, "2026-05-18")
+    first = jobs.run_analysis(lake, scorer, resume=True)
+    assert first["scored"].count() == 4 and first["features"].count() == 1
+    load("two.csv", 10, "2026-05-19")
+    again = jobs.run_analysis(lake, scorer, resume=True)
+    newly = (tmp_path / "lake" / "analysis").glob("*/new_scored")
+    counts = sorted(spark.read.parquet(str(p)).count() for p in newly)
+    assert again["scored"].count() == 8 and counts == [4, 4]
+    assert again["scores_candidato_red"].agg(F.sum("menciones")).first()[0] == 8
+
+
+def test_a_small_batch_reads_the_buckets_of_its_ids(spark, lake, tmp_path):
+    tweets(tmp_path / "a.csv")
+    jobs.run_batch(lake, str(tmp_path / "a.csv"), "twitter")
+    posts = spark.createDataFrame([("tw_1",)], "id string")
+    known = jobs.known_ids(lake, posts, "other", 1)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    bucket = jobs.id_rows(posts).first()["bucket"]
+    assert re.search(rf"PartitionFilters: \[[^]]*\(bucket#\d+ = {bucket}\)", plan), plan
+    assert [r["id"] for r in known.where("id = 'tw_1'").collect()] == ["tw_1"]
+    # a lake from before the id table gets one
+    fs, path = files.hadoop_path(spark, lake.silver_ids().path)
+    fs.delete(path, True)
+    assert jobs.known_ids(lake, posts, "other", 1).count() >= 1
