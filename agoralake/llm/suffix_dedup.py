@@ -40,8 +40,8 @@ END = 255                       # no byte of UTF-8: stands before a segment's fi
 NONE = np.iinfo(np.int64).max
 
 
-def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+def _pack(a: np.ndarray, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(a.tobytes())
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:
@@ -58,7 +58,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([len(data)]), pa.array([_pack(np.array(docs, dtype=np.int64))], pa.binary()),
              pa.array([_pack(np.array([len(t) for t in texts], dtype=np.int64))], pa.binary()),
-             pa.array([_pack(np.frombuffer(data, dtype=np.uint8))], pa.binary())], names=["block", "bytes", "docs", "sizes", "data"])
+             pa.array([_pack(np.frombuffer(data, dtype=np.uint8), 6)], pa.binary())], names=["block", "bytes", "docs", "sizes", "data"])
 
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
@@ -116,19 +116,20 @@ def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _unpack(row["docs"], np.int64), _unpack(row["sizes"], np.int64), _unpack(row["data"], np.uint8)
 
 
-def _bucket(minimizer: np.ndarray, buckets: int) -> np.ndarray:
-    return ((minimizer >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+def _codes(minimizer: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 31 bits of the minimizer. A bucket has a fixed share of text, so few minimizers share their 31 bits, and
+    those that do only send segments in vain."""
+    return (((minimizer >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32)) | (minimizer & np.uint64(0xFFFFFFFE))
 
 
-def _by_bucket(minimizer: np.ndarray, doc_ids: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Per bucket the distinct minimizers of a block in order, their last bit set if two documents of the block share it."""
-    key = minimizer & ~np.uint64(1)
-    order = np.lexsort((doc_ids, key, _bucket(minimizer, buckets)))
-    key, ids = key[order], doc_ids[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    last = np.concatenate((first[1:], [len(key)])) - 1
-    shared = key[first] | (ids[first] != ids[last]).astype(np.uint64)
-    own = _bucket(key[first], buckets)
+def _by_bucket(codes: np.ndarray, doc_ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Per bucket the distinct codes of a block in order, the last bit set if two documents of the block share one."""
+    order = np.lexsort((doc_ids, codes))
+    code, ids = codes[order], doc_ids[order]
+    first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    last = np.concatenate((first[1:], [len(code)])) - 1
+    shared = code[first] | (ids[first] != ids[last]).astype(np.uint64)
+    own = (shared >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1], [True])))
     for a, b in zip(cuts[:-1], cuts[1:]):
         yield int(own[a]), shared[a:b]
@@ -141,64 +142,64 @@ def _announced(buckets: int):
                 row = batch.slice(i, 1).to_pylist()[0]
                 docs, sizes, data = _read(row)
                 m, _, _, doc = _segments(data, sizes)
-                found = list(_by_bucket(m, docs[doc], buckets)) if len(m) else []
+                found = list(_by_bucket(_codes(m, buckets), docs[doc])) if len(m) else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["block"]] * len(found), pa.int64()), pa.array([b for b, _ in found], pa.int64()),
-                     pa.array([k.tobytes() for _, k in found], pa.binary())], names=["block", "bucket", "keys"])
+                     pa.array([k.astype(np.uint32).tobytes() for _, k in found], pa.binary())], names=["block", "bucket", "keys"])
     return announced
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """For the keys that blocks sent to one bucket: bits that say which of them two documents share."""
-    sent = [np.frombuffer(k, dtype=np.uint64) for k in table["keys"].to_pylist()]
-    keys, where, count = np.unique(np.concatenate(sent) >> np.uint64(1), return_inverse=True, return_counts=True)
+    """For the codes that blocks sent to one bucket: bits that say which of them two documents share."""
+    sent = [np.frombuffer(k, dtype=np.uint32) for k in table["keys"].to_pylist()]
+    every = np.concatenate(sent)
+    _, where, count = np.unique(every >> np.uint32(1), return_inverse=True, return_counts=True)
     yes = count > 1
-    yes[where[(np.concatenate(sent) & np.uint64(1)) == 1]] = True
+    yes[where[(every & np.uint32(1)) == 1]] = True
     parts = np.split(yes[where], np.cumsum([len(k) for k in sent])[:-1])
     return pa.table({"block": table["block"], "bucket": table["bucket"], "bits": pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())})
 
 
+class Marked:
+    """The distinct segments of a block that may match, in the order of their buckets, and where they stand."""
+
+    def __init__(self, row: dict, buckets: int):
+        self.docs, self.sizes, self.data = _read(row)
+        m, start, windows, doc = _segments(self.data, self.sizes)
+        codes, bits, shared = _codes(m, buckets), {x["bucket"]: x["bits"] for x in row["found"] or []}, [np.empty(0, dtype=np.uint64)]
+        for b, own in _by_bucket(codes, self.docs[doc]) if len(m) else ():
+            yes = np.unpackbits(np.frombuffer(bits[b], dtype=np.uint8), count=len(own)).astype(bool)
+            shared.append(own[yes] & ~np.uint64(1))
+        shared = np.concatenate(shared)  # in order, as buckets lead the codes
+        at = np.minimum(np.searchsorted(shared, codes), max(len(shared) - 1, 0))
+        some = np.flatnonzero(shared[at] == codes) if len(shared) else np.empty(0, dtype=np.int64)
+        some = some[np.argsort(codes[some], kind="stable")]
+        self.start, self.windows, owner = start[some], windows[some], self.docs[doc[some]]
+        text, seen, least, number, code = self.data.tobytes(), {}, [], np.empty(len(some), dtype=np.int64), []
+        for k, (s, w, d, c) in enumerate(zip(self.start.tolist(), self.windows.tolist(), owner.tolist(), codes[some].tolist())):
+            j = seen.setdefault(text[s:s + w + WINDOW - 1], len(least))
+            if j == len(least):
+                least.append(d)
+                code.append(c)
+            elif d < least[j]:
+                least[j] = d
+            number[k] = j
+        self.segments, self.number, self.least, self.code = list(seen), number, np.array(least, dtype=np.int64), np.array(code, dtype=np.uint64)
+
+
 def _sent(buckets: int):
-    """Per block: the distinct segments that may match, by bucket; and, as bucket -1, where each of them stands."""
+    """Per block and bucket the distinct segments that may match."""
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                docs, sizes, data = _read(row)
-                m, start, windows, doc = _segments(data, sizes)
-                bits = {x["bucket"]: x["bits"] for x in row["found"]}
-                shared = []
-                for b, keys in _by_bucket(m, docs[doc], buckets):
-                    yes = np.unpackbits(np.frombuffer(bits[b], dtype=np.uint8), count=len(keys)).astype(bool)
-                    shared.append(keys[yes] & ~np.uint64(1))
-                shared = np.sort(np.concatenate(shared))
-                at = np.searchsorted(shared, m & ~np.uint64(1)) if len(shared) else np.zeros(len(m), dtype=np.int64)
-                some = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == (m & ~np.uint64(1))) if len(shared) else np.empty(0, dtype=np.int64)
-                own = _bucket(m[some] & ~np.uint64(1), buckets)
-                text, seen, least, number = data.tobytes(), {}, [], np.empty(len(some), dtype=np.int64)
-                for k, (s, w, d) in enumerate(zip(start[some].tolist(), windows[some].tolist(), docs[doc[some]].tolist())):
-                    j = seen.setdefault(text[s:s + w + WINDOW - 1], len(least))
-                    if j == len(least):
-                        least.append(d)
-                    elif d < least[j]:
-                        least[j] = d
-                    number[k] = j
-                owner = np.empty(len(least), dtype=np.int64)
-                owner[number] = own
-                minimizer = np.empty(len(least), dtype=np.uint64)
-                minimizer[number] = m[some]
-                segments, least = list(seen), np.array(least, dtype=np.int64)
-                size = np.array([len(s) for s in segments], dtype=np.int64)
-                out = []
-                for b in np.unique(owner).tolist():
-                    mine = np.flatnonzero(owner == b)
-                    out.append((b, _pack(minimizer[mine]), _pack(size[mine].astype(np.uint8)), _pack(least[mine]),
-                                zstandard.ZstdCompressor(level=1).compress(b"".join([segments[x] for x in mine.tolist()]))))
-                order = np.argsort(owner, kind="stable")  # buckets in order, segments as sent
-                place = np.empty(len(order), dtype=np.int64)
-                place[order] = np.arange(len(order))
-                out.append((-1, _pack(size[order].astype(np.uint8)), _pack(place[number]), _pack(start[some]), b""))
-                columns = list(zip(*out))
+                got = Marked(row, buckets)
+                size = np.array([len(x) for x in got.segments], dtype=np.uint8)
+                bucket = (got.code >> np.uint64(32)).astype(np.int64)
+                cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))).tolist() if len(bucket) else [0]
+                out = [(int(bucket[a]), _pack(got.code[a:b].astype(np.uint32)), _pack(size[a:b]), _pack(got.least[a:b]),
+                        zstandard.ZstdCompressor(level=3).compress(b"".join(got.segments[a:b]))) for a, b in zip(cuts[:-1], cuts[1:])]
+                columns = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["block"]] * len(out), pa.int64()), pa.array(columns[0], pa.int64()),
                      *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["block", "bucket", "a", "b", "c", "d"])
@@ -265,7 +266,7 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
     merged: dict[bytes, int] = {}
     minimizer, least, sent = [], [], []
     for row in table.to_pylist():
-        m, size, docs = _unpack(row["a"], np.uint64), _unpack(row["b"], np.uint8).astype(np.int64), _unpack(row["c"], np.int64)
+        m, size, docs = _unpack(row["a"], np.uint32), _unpack(row["b"], np.uint8).astype(np.int64), _unpack(row["c"], np.int64)
         text, ends, own = zstandard.ZstdDecompressor().decompress(row["d"]), np.cumsum(size), []
         for a, b, d, v in zip((ends - size).tolist(), ends.tolist(), docs.tolist(), m.tolist()):
             j = merged.setdefault(text[a:b], len(least))
@@ -276,7 +277,7 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
                 least[j] = d
             own.append(j)
         sent.append(np.array(own))
-    segments, least, minimizer = list(merged), np.array(least, dtype=np.int64), np.array(minimizer, dtype=np.uint64)
+    segments, least, minimizer = list(merged), np.array(least, dtype=np.int64), np.array(minimizer, dtype=np.uint32)
     size = np.array([len(s) for s in segments], dtype=np.int64)
     windows = size - WINDOW + 1
     result, base = np.empty(int(windows.sum()), dtype=np.int64), np.cumsum(windows) - windows
@@ -293,7 +294,7 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
         lo = hi
     return pa.table({
         "block": table["block"], "bucket": table["bucket"],
-        "a": pa.array([_pack(result[_ranges(base[own], windows[own])]) for own in sent], pa.binary())})
+        "minima": pa.array([_pack(result[_ranges(base[own], windows[own])]) for own in sent], pa.binary())})
 
 
 def _ranges(first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -302,39 +303,42 @@ def _ranges(first: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(first - (total - length), length)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block, its segments' places and their windows' least documents: the removed bytes of every document."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            docs, sizes, data = _read(row)
-            hit = np.zeros(len(data) + 1, dtype=np.int32)
-            parts = sorted((x["bucket"], x["a"], x["b"], x["c"]) for x in row["found"] or [])
-            if len(parts) > 1:
-                _, size, number, start = parts[0]
-                windows = _unpack(size, np.uint8).astype(np.int64) - WINDOW + 1
-                number, start = _unpack(number, np.int64), _unpack(start, np.int64)
-                lowest, base = np.concatenate([_unpack(a, np.int64) for _, a, _, _ in parts[1:]]), np.cumsum(windows) - windows
-                places = _ranges(start, windows[number])
-                own = docs[np.searchsorted(np.cumsum(sizes), places, side="right")]
-                hit[places[lowest[_ranges(base[number], windows[number])] < own]] = 1
-            seen = np.cumsum(hit[:-1])
-            covered = seen.copy()
-            covered[WINDOW:] -= seen[:-WINDOW]
-            gone = covered > 0
-            text, ends = data.tobytes(), np.cumsum(sizes)
-            removed, spans, digests, kept = [], [], [], []
-            for a, b in zip((ends - sizes).tolist(), ends.tolist()):
-                mine = gone[a:b]
-                n = int(np.count_nonzero(mine))
-                removed.append(n)
-                spans.append(int(np.count_nonzero(mine[1:] & ~mine[:-1]) + mine[0]) if n else 0)
-                left = data[a:b][~mine].tobytes() if n else text[a:b]
-                digests.append(hashlib.sha256(left).hexdigest())
-                kept.append(left)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs), pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests),
-                 pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+def _cut(buckets: int):
+    """A block, which of its codes repeat, and its windows' least documents: the removed bytes of every document."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                yield _report(Marked(row, buckets), [x["minima"] for x in sorted(row["found"] or [], key=lambda x: x["bucket"]) if x["minima"]])
+    return cut
+
+
+def _report(got: Marked, minima: list[bytes]) -> pa.RecordBatch:
+    docs, sizes, data = got.docs, got.sizes, got.data
+    hit = np.zeros(len(data) + 1, dtype=np.int32)
+    if minima:
+        windows = np.array([len(x) for x in got.segments], dtype=np.int64) - WINDOW + 1
+        lowest, base = np.concatenate([_unpack(m, np.int64) for m in minima]), np.cumsum(windows) - windows
+        places = _ranges(got.start, got.windows)
+        own = docs[np.searchsorted(np.cumsum(sizes), places, side="right")]
+        hit[places[lowest[_ranges(base[got.number], got.windows)] < own]] = 1
+    seen = np.cumsum(hit[:-1])
+    covered = seen.copy()
+    covered[WINDOW:] -= seen[:-WINDOW]
+    gone = covered > 0
+    text, ends = data.tobytes(), np.cumsum(sizes)
+    removed, spans, digests, kept = [], [], [], []
+    for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+        mine = gone[a:b]
+        n = int(np.count_nonzero(mine))
+        removed.append(n)
+        spans.append(int(np.count_nonzero(mine[1:] & ~mine[:-1]) + mine[0]) if n else 0)
+        left = data[a:b][~mine].tobytes() if n else text[a:b]
+        digests.append(hashlib.sha256(left).hexdigest())
+        kept.append(left)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(docs), pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests),
+         pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -353,17 +357,15 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     blocks = stored(known.mapInArrow(_blocks, "block long, bytes long, docs binary, sizes binary, data binary"), "blocks")
     total = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET_BYTES))
-    bits = blocks.mapInArrow(_announced(buckets), "block long, bucket long, keys binary").groupBy("bucket").applyInArrow(
-        _repeated, "block long, bucket long, bits binary")
-    bits = bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("found"))
-    sent = stored(blocks.join(bits, "block").mapInArrow(
-        _sent(buckets), "block long, bucket long, a binary, b binary, c binary, d binary"), "segments")
-    minima = sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(_sorted_bucket, "block long, bucket long, a binary")
-    nothing = F.lit(None).cast("binary")
-    found = minima.select("block", "bucket", "a", nothing.alias("b"), nothing.alias("c")).union(
-        sent.filter("bucket < 0").select("block", "bucket", "a", "b", "c")).groupBy("block").agg(
-        F.collect_list(F.struct("bucket", "a", "b", "c")).alias("found"))
+    bits = stored(blocks.mapInArrow(_announced(buckets), "block long, bucket long, keys binary").groupBy("bucket").applyInArrow(
+        _repeated, "block long, bucket long, bits binary"), "repeated-minimizers")
+    asked = bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("found"))
+    minima = stored(blocks.join(asked, "block").mapInArrow(
+        _sent(buckets), "block long, bucket long, a binary, b binary, c binary, d binary").groupBy("bucket").applyInArrow(
+        _sorted_bucket, "block long, bucket long, minima binary"), "window-minima")
+    found = bits.join(minima, ["block", "bucket"], "left").groupBy("block").agg(
+        F.collect_list(F.struct("bucket", "bits", "minima")).alias("found"))
     unknown = documents.filter("doc_id is null").select(
         "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), text.alias("kept"))
-    return blocks.join(found, "block", "left").mapInArrow(_cut, REPORT).unionByName(unknown)
+    return blocks.join(found, "block", "left").mapInArrow(_cut(buckets), REPORT).unionByName(unknown)
