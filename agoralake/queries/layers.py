@@ -541,7 +541,7 @@ def landing_rows(t: Tables) -> DataFrame:
 
 
 @query("""with u as (select o_custkey, o_orderkey, case o_orderstatus when 'O' then 1 when 'P' then 2 else 3 end as v from orders)
-select o_custkey, max_by(o_orderkey, v * 1000000000 + o_orderkey) as o_orderkey, cast(count(distinct v) as int) as n from u
+select o_custkey, max_by(o_orderkey, v * 1000000000::bigint + o_orderkey) as o_orderkey, cast(count(distinct v) as int) as n from u
 group by 1""")
 def compacted_twice(t: Tables) -> DataFrame:
     """Three batches with a compaction after the first and the second; the second is then repeated; runs stay apart."""
