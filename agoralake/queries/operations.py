@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from agoralake.functions import pii
 from agoralake.operators import quality
 from agoralake.plans import ledger, scorers, views
 from agoralake.queries.layers import V_SILVER, gold_posts, silver_posts
 from agoralake.queries.registry import V_POSTS, V_RUNS, Tables, as_of, ctes, query, scale, shown
-from agoralake.queries.text import NEGATIVE, POSITIVE, lexicon_sql
+from agoralake.queries.text import EMAIL, NEGATIVE, PHONE, POSITIVE, lexicon_sql
 from agoralake.sources import files
 
 # --- quality gate -----------------------------------------------------------------------------------------------------
@@ -47,8 +46,8 @@ V_MEASURES = f"""m as (select source, count(*) as total,
     count(*) filter (where datetime_utc < timestamp '{GATE_TIME}' - interval 20 day) as stale,
     count(*) filter (where datetime_utc is null) as unparseable,
     count(*) filter (where source_id is null) as invalid,
-    count(*) filter (where pii_detected and (regexp_matches(text_original, '{pii.EMAIL}')
-      or regexp_matches(text_original, '{pii.PHONE}'))) as leaked_text,
+    count(*) filter (where pii_detected and (regexp_matches(text_original, '{EMAIL}')
+      or regexp_matches(text_original, '{PHONE}'))) as leaked_text,
     count(*) filter (where names_left) as leaked_metadata
   from faulty group by 1)"""
 _V_GATE = ",\n".join([V_POSTS, V_SILVER, V_FAULTY, V_MEASURES])
@@ -127,7 +126,7 @@ def gate_report(t: Tables) -> DataFrame:
 
 
 @query(ctes(_V_GATE) + f"""select * from (select 'text_leak:' || id as violation from faulty where pii_detected
-    and (regexp_matches(text_original, '{pii.EMAIL}') or regexp_matches(text_original, '{pii.PHONE}'))
+    and (regexp_matches(text_original, '{EMAIL}') or regexp_matches(text_original, '{PHONE}'))
   union all select 'meta_leak:' || id from faulty where names_left
   union all select 'schema:' || id from faulty where source_id is null) order by 1 limit 3""")
 def gate_violations(t: Tables) -> DataFrame:

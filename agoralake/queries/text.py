@@ -27,9 +27,18 @@ DICTIONARIES = {"aliases": ALIASES, "party_aliases": PARTY_ALIASES, "party_of":
 
 # --- oracle fragments -------------------------------------------------------------------------------------------------
 
-S, W = text.SPACES, text.WORD
+# Patterns of the SQL, written out here so that a wrong pattern of the package shows.
+S = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+W = r"\p{L}\p{N}_"
+URL = rf"(?i)https?://[^{S}]+|www\.[^{S}]+"
+EMOJI = (r"[\x{1F1E0}-\x{1F1FF}\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F900}-\x{1FAFF}"
+         r"\x{2700}-\x{27BF}]")
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+PHONE = rf"(?:\+57[{S}]?)?(?:\(?\p{{Nd}}{{1,3}}\)?[{S}.-]?)?\p{{Nd}}{{3}}[{S}.-]?\p{{Nd}}{{4}}"
+SPANISH = ("de la el en los las un una por con para que del al se es no su más pero colombia país gobierno presidente "
+           "candidato").split()
 _CLEAN = (
-    f"trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace({{x}}, '{text.URL}', '', 'g'), "
+    f"trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace({{x}}, '{URL}', '', 'g'), "
     f"'@[{W}]+', '', 'g'), '#[{W}]+', '', 'g')), '[{S}]+', ' ', 'g'))"
 )
 _NORM = (
@@ -37,8 +46,8 @@ _NORM = (
     f"'áéíóúàèìòùüñ', 'aeiouaeiouun'), '([aeiou])\\x{{{{301}}}}', '\\1', 'g'), '[^{W}]+', ' ', 'g'))"
 )
 _MASK = (
-    f"regexp_replace(regexp_replace({{x}}, '{pii.EMAIL}', '[EMAIL]', 'g'), "
-    f"'{pii.PHONE.replace('{', '{{').replace('}', '}}')}', '[PHONE]', 'g')"
+    f"regexp_replace(regexp_replace({{x}}, '{EMAIL}', '[EMAIL]', 'g'), "
+    f"'{PHONE.replace('{', '{{').replace('}', '}}')}', '[PHONE]', 'g')"
 )
 
 
@@ -111,16 +120,16 @@ def normalised_posts(t: Tables) -> DataFrame:
 # --- cleaning ---------------------------------------------------------------------------------------------------------
 
 @query(ctes(V_POSTS) + f"""select id, md5({clean_sql('text')}) as text_clean_md5, length({clean_sql('text')}) as n,
-  regexp_matches(text, '#[{W}]+') as has_hashtags, regexp_matches(text, '{text.EMOJI}') as has_emojis,
-  regexp_matches(text, '{text.URL}') as has_urls_original from posts""")
+  regexp_matches(text, '#[{W}]+') as has_hashtags, regexp_matches(text, '{EMOJI}') as has_emojis,
+  regexp_matches(text, '{URL}') as has_urls_original from posts""")
 def text_normalise(t: Tables) -> DataFrame:
     rows = t.posts().select("id", text.normalized(F.col("text")).alias("n")).select("id", "n.*")
     return rows.select("id", F.md5("text_clean").alias("text_clean_md5"), F.length("text_clean").alias("n"),
                        "has_hashtags", "has_emojis", "has_urls_original")
 
 
-@query(f"""select page_id, md5(regexp_replace(html, '{text.URL}', '', 'g')) as left_md5,
-  regexp_matches(html, '{text.URL}') as has_url from pages""")
+@query(f"""select page_id, md5(regexp_replace(html, '{URL}', '', 'g')) as left_md5,
+  regexp_matches(html, '{URL}') as has_url from pages""")
 def strip_urls_of_pages(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.md5(text.strip_urls(F.col("html"))).alias("left_md5"),
                           text.has_url(F.col("html")).alias("has_url"))
@@ -134,7 +143,7 @@ def strip_signs_of_pages(t: Tables) -> DataFrame:
                           text.has_hashtag(html).alias("has_hashtag"))
 
 
-_ES = "[" + ", ".join(f"'{w}'" for w in text.lexicon.SPANISH_KEYWORDS) + "]"
+_ES = "[" + ", ".join(f"'{w}'" for w in SPANISH) + "]"
 _LANG = f"""words as (select id, text, list_filter(list_distinct(regexp_split_to_array(lower(text), '[{S}]+')), lambda x: x <> '')
     as w from posts),
 langs as (select id, case when length(regexp_replace(text, '^[{S}]+|[{S}]+$', '', 'g')) < 3 then null
@@ -157,8 +166,8 @@ def language_fallback(t: Tables) -> DataFrame:
 
 
 @query(ctes(V_POSTS) + f"""select id, md5({mask_sql('text')}) as masked_md5, {mask_sql('text')} <> text as pii_detected,
-  concat_ws(',', case when regexp_matches(text, '{pii.EMAIL}') then 'email' end,
-    case when regexp_matches(regexp_replace(text, '{pii.EMAIL}', '[EMAIL]', 'g'), '{pii.PHONE}') then 'phone' end)
+  concat_ws(',', case when regexp_matches(text, '{EMAIL}') then 'email' end,
+    case when regexp_matches(regexp_replace(text, '{EMAIL}', '[EMAIL]', 'g'), '{PHONE}') then 'phone' end)
   as pii_types from posts""")
 def pii_mask(t: Tables) -> DataFrame:
     rows = pii.with_masking(t.posts().select("id", "text"), "text")
