@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str,
-              values: Sequence[str], block_days: int = 30, fallback_first: bool = False) -> DataFrame:
+              values: Sequence[str], block_days: int = 30, fallback_first: bool = False,
+              block_seconds: int = 3600) -> DataFrame:
     """Left join of ``values`` from the latest right row with ``right_time <= left_time`` and equal ``by``.
 
-    The time axis of every key is cut into blocks of ``block_days``. Inside a block the answer is a running ``last`` over
+    The time axis of every key is cut into blocks: of ``block_days`` for dates, of ``block_seconds`` where both times are
+    timestamps, so a busy key's day is spread too. Inside a block the answer is a running ``last`` over
     the rows of both sides; across blocks a small table carries the last right row of each block forward. A key that
     holds most rows is thus spread over its blocks, and each side is first reduced to one row per (key, time).
 
@@ -19,7 +21,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
     """
     by = list(by)
     day = lambda c: F.col(c).cast("date")
-    block = lambda c: F.floor(F.datediff(day(c), F.lit("1970-01-01").cast("date")) / block_days)
+    if all(df.schema[c].dataType.typeName().startswith("timestamp") for df, c in ((left, left_time), (right, right_time))):
+        block = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / (block_seconds * 1_000_000))
+    else:
+        block = lambda c: F.floor(F.datediff(day(c), F.lit("1970-01-01").cast("date")) / block_days)
 
     packed = F.struct(F.col(right_time).alias("_at"), *[F.col(v) for v in values])
     right_rows = (

@@ -13,6 +13,8 @@ MIN_TOKEN = 5
 CUTOFF = 85.0
 # Up to this many aliases are searched one by one; the word runs of a text are looked up in a larger dictionary.
 INLINE_ALIASES = 500
+# Up to this many fuzzy targets have an expression each; more are joined on pieces, with the same rows.
+INLINE_TARGETS = 64
 
 
 def _padded(c: Column) -> Column:
@@ -130,6 +132,36 @@ def close_targets(tokens: DataFrame, targets: Mapping[str, str] = lexicon.FUZZY_
         "token", F.col("_best.entity").alias("entity"), F.col("_best.ratio").alias("ratio"))
 
 
+def close_targets_by_join(tokens: DataFrame, targets: Mapping[str, str], cutoff: float = CUTOFF) -> DataFrame:
+    """As ``close_targets`` for thousands of targets: an equi-join on pieces instead of an expression per target.
+
+    A token at the cutoff is at most d insertions and deletions from a target of given length. Cut into d + 1 pieces, the
+    target has one that no edit touches; it stands in the token at most d places from its own place. So every close pair
+    shares a piece, and only pairs that do are compared.
+    """
+    spark, rows = tokens.sparkSession, []
+    for rank, (target, entity) in enumerate(targets.items()):
+        most = int(_allowed_edits(_longest(target, cutoff), target, cutoff))
+        cuts = [i * len(target) // (most + 1) for i in range(most + 2)]
+        rows += [(target, entity, rank, most, a, target[a:b]) for a, b in zip(cuts, cuts[1:]) if a < b]
+    pieces = spark.createDataFrame(rows, "target string, entity string, rank int, most int, at int, piece string")
+
+    def runs_of(n: int) -> Column:
+        starts = F.when(F.length("token") >= n, F.sequence(F.lit(0), F.length("token") - n)).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.col("token").substr(i + 1, F.lit(n)).alias("piece")))
+
+    runs = F.concat(*[runs_of(n) for n in sorted({len(r[5]) for r in rows})])
+    found = tokens.select("token", F.explode(F.array_distinct(runs)).alias("r")).select("token", "r.pos", "r.piece").join(
+        pieces, "piece").where(F.abs(F.col("pos") - F.col("at")) <= F.col("most"))
+    spare = F.abs(F.length("token") - F.length("target")) <= F.floor(
+        (F.length("token") + F.length("target")) * ((100.0 - cutoff) / 100.0) + 1e-9)
+    pairs = found.where(spare).select("token", "target", "entity", "rank").distinct().withColumn(
+        "ratio", lcs_ratio(F.col("token"), F.col("target"))).where(F.col("ratio") >= cutoff)
+    best = pairs.groupBy("token").agg(F.max(F.struct("ratio", (-F.col("rank")).alias("rank"), "entity")).alias("b"))
+    return best.select("token", F.col("b.entity").alias("entity"), F.col("b.ratio").alias("ratio"))
+
+
 def fuzzy_in_row(text: Column, targets: Mapping[str, str] = lexicon.FUZZY_TARGETS, cutoff: float = CUTOFF,
                  min_length: int = MIN_TOKEN) -> Column:
     """Entities of the fuzzy tokens of one normalised text, without leaving the row: no shuffle, no second scan."""
@@ -159,7 +191,8 @@ def fuzzy_entities(df: DataFrame, key: str, text: str, targets: Mapping[str, str
     Worth its two scans and shuffles when the targets are many; for a handful ``fuzzy_in_row`` is faster.
     """
     tokens = post_tokens(df, key, text)
-    vocabulary = close_targets(tokens.select("token").distinct(), targets, cutoff)
+    close = close_targets if len(targets) <= INLINE_TARGETS else close_targets_by_join
+    vocabulary = close(tokens.select("token").distinct(), targets, cutoff)
     return tokens.join(vocabulary, "token").select(key, "entity").distinct()
 
 

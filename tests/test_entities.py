@@ -115,3 +115,22 @@ def test_intention(one):
     got = one(entities.stated_intention, "Voto por Paloma", "según la encuesta voto por ella", "mi voto es para él", "devoto por",
               "", "mi voto para", "¡que gane!")
     assert got == [1, 0, 1, 0, 0, 1, 1]
+
+
+def test_close_targets_by_join_equal_those_by_expression(spark):
+    import random
+    r = random.Random(7)
+    word = lambda n: "".join(r.choice("abcde") for _ in range(n))
+    targets = {word(r.randint(5, 14)): f"e{i % 9}" for i in range(40)}
+    tokens = {word(r.randint(4, 16)) for _ in range(60)}
+    for t in targets:
+        for _ in range(3):
+            c = list(t)
+            for _ in range(r.randint(0, 2)):
+                k = r.randrange(len(c))
+                c[k:k + r.randint(0, 1)] = r.choice([[], ["z"], [c[k], "a"]])
+            tokens.add("".join(c))
+    df = spark.createDataFrame([(t,) for t in sorted(tokens) if t], "token string")
+    rows = lambda out: sorted((x["token"], x["entity"], round(x["ratio"], 9)) for x in out.collect())
+    one, two = rows(entities.close_targets(df, targets)), rows(entities.close_targets_by_join(df, targets))
+    assert one == two and len(one) > 60
