@@ -357,6 +357,34 @@ def test_lines_against_all_pairs(spark, monkeypatch, part):
     assert got.columns == [*documents(spark).columns, "n_lines", "n_removed"]
 
 
+def test_short_lines_by_edits_alone(spark):
+    r = random.Random(18)
+    pool = []
+    for n in [2, 3, 5, 5, 6, 7, 8, 9, 10, 10, 11, 12, 13, 14, 15, 16, 17, 18, 20, 20] * 2:
+        line = prose(r, n)
+        pool.append(line)
+        for changes in (1, 1, max(1, len(line) // 10), max(1, len(line) // 20)):
+            c = list(line)
+            for at in r.sample(range(len(c)), changes):
+                c[at] = r.choice(["", "q", c[at] + "x"])
+            pool.append("".join(c))
+    pool = [p for p in dict.fromkeys(pool) if p]
+    plain = [b" ".join(fuzzy_lines.normalise(x).split()) for x in pool]
+    known = sorted(set(plain))
+    number = {p: i for i, p in enumerate(known)}
+    links = [(number[a], number[b]) for a in known for b in known if a < b and len(b) <= len(a) / 0.9 + 1 and len(a) <= len(b) / 0.9 + 1
+             and plain_distance(a, b) <= max(len(a), len(b)) // 10]
+    group = groups_of(range(len(known)), links)
+    r.shuffle(pool)
+    rows = [(None if i == 3 else i, x, "", "", 0, "") for i, x in enumerate(pool)]
+    seen, want = set(), Counter()
+    for d, t, *_ in sorted(rows, key=lambda x: -1 if x[0] is None else x[0]):
+        g = group[number[b" ".join(fuzzy_lines.normalise(t).split())]]
+        want[d, "" if g in seen else t] += 1
+        seen.add(g)
+    assert Counter((x["doc_id"], x["text"]) for x in fuzzy_lines.dedup_lines(documents(spark, rows)).collect()) == want and len(links) > 60
+
+
 def test_awkward_lines(spark):
     assert fuzzy_lines.dedup_lines(documents(spark)).count() == len(awkward())
     assert fuzzy_lines.dedup_lines(documents(spark, [])).count() == 0
