@@ -515,6 +515,23 @@ def csv_scan_of_unlike_headers(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, f"{path}/*", columns).select("id", F.md5("content").alias("content_md5"), "likes")
 
 
+@query(ctes(V_POSTS) + f"""select case when lang = 'en' then 'ext_' || seq end as id, md5({TEXT}) as text_md5, {_AT} as datetime_utc,
+  case when lang <> 'es' then username end as username from posts""")
+def external_exports_of_unlike_headers(t: Tables) -> DataFrame:
+    """Generic exports that name their columns in other words, read together; only one has ids."""
+    path = new_work_path(t.spark, "external")
+    rows = t.posts().select(_text("seq").alias("id"), "text", shown("datetime_utc").alias("date"), "username", "lang")
+    layouts = {"en": ["id", "text", "date", "username"], "es": ["fecha", "mensaje"], "": ["usuario", "datetime", "content"]}
+    for lang, names in layouts.items():
+        own = rows.where(F.col("lang") == lang if lang else ~F.col("lang").isin("en", "es"))
+        for name, column in {"fecha": "date", "mensaje": "text", "usuario": "username", "datetime": "date", "content": "text"}.items():
+            own = own.withColumn(name, F.col(column))
+        _write_exports(own.select(*names), f"{path}/{lang or 'other'}", 2)
+    good, _ = mappers.map_posts(files.read_csv(t.spark, f"{path}/*"), "external")
+    known = F.col("id").rlike("^ext_[0-9]+$") & (F.length("id") < 15)
+    return good.select(F.when(known, F.col("id")).alias("id"), F.md5("text").alias("text_md5"), "datetime_utc", "username")
+
+
 @query(ctes(V_POSTS) + """select source, count(*) as filas, min(seq) as primera, max(seq) as ultima from posts
   where source <> 'other' group by 1""")
 def jsonl_store_and_scan(t: Tables) -> DataFrame:

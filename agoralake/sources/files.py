@@ -15,6 +15,8 @@ from agoralake.functions.text import repair_mojibake, trim_spaces
 # Quoting of the exported files, and line breaks besides the usual ones.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 _ODD_BREAKS = r"[\x{0B}\x{0C}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
+# Columns of a scan that are no cells of the file.
+FILE_COLUMNS = ("file_path", "file_order", "file_header")
 _BOM = r"^[ï»¿\x{FEFF}]+"
 
 
@@ -75,7 +77,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
 
     Files are read in groups of one header; a column that a file lacks is null. ``columns`` chooses columns by name (case
     is ignored where no name fits exactly), else all that occur are given. Adds ``file_path`` and ``file_order``; the latter
-    rises along each file. Where records may span lines a file is read by one task and parallelism comes from the number of
+    rises along each file. Where all columns are given, ``file_header`` has the names the row's own file has. Where records may span lines a file is read by one task and parallelism comes from the number of
     files; ``multi_line=False`` lets Spark split large files.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -89,13 +91,14 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
             chosen = [c if c in names else low.get(c.lower()) for c in columns]
         cells = [F.col(f"`{n}`").alias(c) if n else F.lit(None).cast("string").alias(c)
                  for n, c in zip(chosen, columns if columns is not None else names)]
+        header = [F.array(*map(F.lit, names)).alias("file_header")] if columns is None else []
         df = df.select(*cells, F.col("_metadata.file_path").alias("file_path"),
-                       F.monotonically_increasing_id().alias("file_order"))
+                       F.monotonically_increasing_id().alias("file_order"), *header)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         return spark.createDataFrame([], schemas.text_schema([*(columns or []), "file_path"])).withColumn(
             "file_order", F.lit(None).cast("bigint"))
-    extra = ["file_path", "file_order"]
+    extra = [c for c in FILE_COLUMNS if c in out.columns]
     return out.select(*[f"`{c}`" for c in out.columns if c not in extra], *extra)
 
 
@@ -216,7 +219,7 @@ def fingerprints(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def landing_rows(df: DataFrame, run_id: str, source: str) -> DataFrame:
     """Whole rows kept as JSON with file name and row number; empty cells become null."""
-    data = [c for c in df.columns if c not in ("file_path", "file_order")]
+    data = [c for c in df.columns if c not in FILE_COLUMNS]
     payload = F.to_json(F.struct(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in data]),
                         {"ignoreNullFields": "false"})
     return with_row_numbers(df).select(
@@ -234,7 +237,7 @@ def polls(df: DataFrame) -> DataFrame:
 def window_momentum(df: DataFrame) -> DataFrame:
     """Media momentum per window: ``ventana`` and one numeric column per candidate."""
     from agoralake.functions.casting import lenient_double, lenient_int
-    data = [c for c in df.columns if c not in ("ventana", "file_path", "file_order")]
+    data = [c for c in df.columns if c not in ("ventana", *FILE_COLUMNS)]
     return df.select(lenient_int(F.col("ventana")).cast("int").alias("ventana"),
                      *[lenient_double(F.col(f"`{c}`")).alias(c) for c in data])
 

@@ -11,6 +11,7 @@ from agoralake.functions.casting import lenient_int, text_or, text_or_null
 from agoralake.functions.text import drop_first, ensure_prefix, trim_spaces
 
 _ORDER = ["file_path", "file_order"]
+_HEADER = "file_header"
 
 
 def _cell(df: DataFrame, name: str) -> Column:
@@ -18,8 +19,13 @@ def _cell(df: DataFrame, name: str) -> Column:
 
 
 def _first_present(df: DataFrame, names: Sequence[str]) -> Column:
-    """The first of these columns the file has, whatever its cells hold."""
-    return _cell(df, next((n for n in names if n in df.columns), names[0]))
+    """The first of these columns the row's own file has, whatever its cells hold."""
+    if _HEADER not in df.columns:
+        return _cell(df, next((n for n in names if n in df.columns), names[0]))
+    out = F.lit(None).cast("string")
+    for n in reversed([n for n in names if n in df.columns]):
+        out = F.when(F.array_contains(_HEADER, n), F.col(f"`{n}`")).otherwise(out)
+    return out
 
 
 def _counts(df: DataFrame, fields: Mapping[str, str]) -> Column:
@@ -115,12 +121,10 @@ EXTERNAL_USER = ["username", "author", "usuario"]
 
 
 def map_external(df: DataFrame) -> DataFrame:
-    """Generic export. Without an id column the id is a hash of the row, so a retry gives the same one."""
-    if "id" in df.columns:
-        raw = text_or(_cell(df, "id"))
-    else:
-        data = [c for c in df.columns if c not in _ORDER]
-        raw = F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in data])), 256), 1, 12)
+    """Generic export. A row without an id gets a hash of its cells, so a retry gives the same one."""
+    given, data = text_or(_cell(df, "id")), sorted(c for c in df.columns if c not in (*_ORDER, _HEADER))
+    own = F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in data])), 256), 1, 12)
+    raw = F.when(given != "", given).otherwise(own)
     return _post(
         df, id=ensure_prefix(raw, "ext_"), source="other", source_id=drop_first(raw, "ext_"),
         at=text_or_null(_first_present(df, EXTERNAL_DATE)), username=text_or_null(_first_present(df, EXTERNAL_USER)),

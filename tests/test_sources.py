@@ -191,6 +191,22 @@ def test_cells_follow_the_header_of_their_own_file(spark, tmp_path):
     assert sorted((r["id"], r["text"], r["username"]) for r in good.collect()) == [("ext_1", "uno", "ana"), ("ext_2", "dos", "bea")]
 
 
+def test_external_files_with_unlike_names_are_mapped_each_by_its_header(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.csv").write_text("id,text,date,author\n1,uno,2024-01-01,ana\n,sin,2024-01-03,\n")
+    (tmp_path / "x" / "b.csv").write_text("mensaje,fecha,usuario\ndos,2024-01-02,bea\ntres,,\n")
+    (tmp_path / "x" / "c.csv").write_text("body,datetime,text,username\nno,2024-01-04,cuatro,eva\n")
+    good, bad = mappers.map_posts(files.read_csv(spark, str(tmp_path / "x" / "*.csv")), "external")
+    rows = {r["text"]: r for r in good.collect()}
+    assert {t: (r["datetime_utc"], r["username"]) for t, r in rows.items()} == {
+        "uno": ("2024-01-01", "ana"), "sin": ("2024-01-03", None), "dos": ("2024-01-02", "bea"), "tres": (None, None),
+        "cuatro": ("2024-01-04", "eva")}
+    assert rows["uno"]["id"] == "ext_1" and "ext_" not in {r["id"] for r in rows.values()}
+    assert len({r["id"] for r in rows.values()}) == 5 and bad.count() == 0
+    landed = files.landing_rows(files.read_csv(spark, str(tmp_path / "x" / "b.csv")), "r", "external").orderBy("row_number")
+    assert landed.first()["payload"] == '{"mensaje":"dos","fecha":"2024-01-02","usuario":"bea"}'
+
+
 def test_rows_of_a_split_file_are_numbered_on(spark, tmp_path):
     (tmp_path / "big.csv").write_text("k,v\n" + "".join(f"{i},{'x' * 90}\n" for i in range(20_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")

@@ -91,3 +91,15 @@ def test_rejected_rows_of_a_stream_are_kept(spark, tmp_path):
     bad = lake.quarantine().latest().collect()
     assert len(bad) == 1 and "sin id" in bad[0]["payload"] and bad[0]["error"] == "comment_id missing"
     assert lake.raw().latest().count() + len(bad) == 2
+
+
+def test_streamed_external_files_with_unlike_names(spark, tmp_path):
+    lake = Lake(spark, f"file:{tmp_path}/lake")
+    day = tmp_path / "inbox/external/2026-05-19"
+    day.mkdir(parents=True)
+    (day / "a.csv").write_text("id,text,date\n1,hola a todos,2026-05-19 10:00:00\n")
+    (day / "b.csv").write_text("mensaje,fecha,usuario\nbuenas tardes,2026-05-19 11:00:00,bea\nhasta luego,2026-05-19 12:00:00,eva\n")
+    inbox.stream_posts(lake, f"file:{tmp_path}/inbox", "external", f"file:{tmp_path}/checkpoint").awaitTermination()
+    got = {r["text_clean"]: r for r in lake.silver().latest().collect()}
+    assert set(got) == {"hola a todos", "buenas tardes", "hasta luego"} and got["hola a todos"]["id"] == "ext_1"
+    assert all(r["datetime_utc"] is not None for r in got.values())
