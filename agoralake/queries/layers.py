@@ -532,6 +532,17 @@ def external_exports_of_unlike_headers(t: Tables) -> DataFrame:
     return good.select(F.when(known, F.col("id")).alias("id"), F.md5("text").alias("text_md5"), "datetime_utc", "username")
 
 
+@query(ctes(V_POSTS) + f"""select md5({TEXT}) as text_md5, 2 * count(*) as filas, 2 * count(*) as ids from posts group by 1""")
+def external_export_without_ids(t: Tables) -> DataFrame:
+    """A generic export without ids that holds every row twice: each row keeps its place and gets an id of its own."""
+    path = new_work_path(t.spark, "external")
+    rows = t.posts().select(F.col("text").alias("mensaje"), shown("datetime_utc").alias("fecha"))
+    _write_exports(rows.unionByName(rows).repartition(4, "mensaje"), path, 4)
+    good, _ = mappers.map_posts(files.read_csv(t.spark, path), "external")
+    return good.groupBy(F.md5("text").alias("text_md5")).agg(
+        F.count(F.lit(1)).alias("filas"), F.count_distinct("id").alias("ids"))
+
+
 @query(ctes(V_POSTS) + """select source, count(*) as filas, min(seq) as primera, max(seq) as ultima from posts
   where source <> 'other' group by 1""")
 def jsonl_store_and_scan(t: Tables) -> DataFrame:

@@ -209,10 +209,10 @@ FILE_SCHEMA = schemas.T.StructType(
     [schemas.T.StructField(c, schemas.S) for c in ("source_sha256", "file_path", "run_id")])
 
 
-def fingerprints(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file_path, source_sha256) of whole files. A file is hashed in one task, so it must be below 2 GB."""
+def fingerprints(spark: SparkSession, paths: str | Sequence[str], path: Column | None = None) -> DataFrame:
+    """(file_path, source_sha256) of whole files; ``path`` gives their names another spelling. A file is hashed in one task, so it must be below 2 GB."""
     df = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return df.select(F.col("path").alias("file_path"), F.sha2("content", 256).alias("source_sha256"))
+    return df.select((F.col("path") if path is None else path).alias("file_path"), F.sha2("content", 256).alias("source_sha256"))
 
 
 # --- other tables ------------------------------------------------------------------------------------------------------

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from agoralake import schemas
 from agoralake.functions.casting import lenient_int, text_or, text_or_null
 from agoralake.functions.text import drop_first, ensure_prefix, trim_spaces
+from agoralake.sources import files
 
 _ORDER = ["file_path", "file_order"]
 _HEADER = "file_header"
@@ -120,11 +122,35 @@ EXTERNAL_DATE = ["date", "datetime", "fecha"]
 EXTERNAL_USER = ["username", "author", "usuario"]
 
 
+def _with_row_ids(df: DataFrame) -> DataFrame:
+    """``_row_id``: the digest of the bytes of a row's file, its position there and its cells.
+
+    Equal rows differ in it, and a file read again, or under another name, gives the same ones. Rows that come from no scan
+    of files have no position; there equal rows are counted through.
+    """
+    data = sorted(c for c in df.columns if c not in (*_ORDER, _HEADER))
+    cells = F.to_json(F.struct(*[F.col(f"`{c}`") for c in data])) if data else F.lit("{}")
+    scanned = [unquote(p) for p in df.inputFiles()] if set(_ORDER) <= set(df.columns) else []
+    if scanned:
+        hashed = files.fingerprints(df.sparkSession, scanned, F.col("_metadata.file_path")).withColumnsRenamed(
+            {"file_path": "_file", "source_sha256": "_sha256"})
+        placed = files.with_row_numbers(df, "_row").join(hashed, F.col("file_path") == F.col("_file"), "left")
+        own = F.concat_ws("\n", F.coalesce("_sha256", "file_path"), F.col("_row").cast("string"), cells)
+        return placed.withColumn("_row_id", F.sha2(own, 256)).drop("_row", "_file", "_sha256")
+    path = F.coalesce(F.col("file_path"), F.lit("")) if "file_path" in df.columns else F.lit("")
+    alike = df.withColumn("_alike", F.sha2(F.concat_ws("\n", path, cells), 256))
+    turn = F.row_number().over(Window.partitionBy("_alike").orderBy(F.lit(1)))
+    return alike.withColumn("_row_id", F.sha2(F.concat_ws("\n", F.col("_alike"), turn.cast("string")), 256)).drop("_alike")
+
+
 def map_external(df: DataFrame) -> DataFrame:
-    """Generic export. A row without an id gets a hash of its cells, so a retry gives the same one."""
-    given, data = text_or(_cell(df, "id")), sorted(c for c in df.columns if c not in (*_ORDER, _HEADER))
-    own = F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in data])), 256), 1, 12)
-    raw = F.when(given != "", given).otherwise(own)
+    """Generic export. Rows without an id all stay: each gets an id of its own, which a retry gives again."""
+    given = text_or(_cell(df, "id"))
+    rest = _with_row_ids(df).where(given == "")
+    return _external_posts(df.where(given != ""), given).unionByName(_external_posts(rest, F.col("_row_id")))
+
+
+def _external_posts(df: DataFrame, raw: Column) -> DataFrame:
     return _post(
         df, id=ensure_prefix(raw, "ext_"), source="other", source_id=drop_first(raw, "ext_"),
         at=text_or_null(_first_present(df, EXTERNAL_DATE)), username=text_or_null(_first_present(df, EXTERNAL_USER)),
@@ -153,7 +179,7 @@ def map_posts(df: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """(posts, rejected) for one source. An unknown source has no posts."""
     mapper = MAPPERS.get(source)
     if mapper is None:
-        empty = map_external(df).where(F.lit(False))
+        empty = _external_posts(df, F.lit("")).where(F.lit(False))
         return empty.drop("_error"), empty.withColumnRenamed("_error", "error")
     mapped = with_valid_source(mapper(df))
     good = mapped.where(F.col("_error").isNull()).drop("_error")

@@ -207,6 +207,19 @@ def test_external_files_with_unlike_names_are_mapped_each_by_its_header(spark, t
     assert landed.first()["payload"] == '{"mensaje":"dos","fecha":"2024-01-02","usuario":"bea"}'
 
 
+def test_equal_external_rows_without_ids_all_stay(spark, tmp_path):
+    for name in ("a b.csv", "copy.csv"):
+        (tmp_path / name).write_text("body,fecha\nuno,2026-01-01\nuno,2026-01-01\ndos,\n")
+    (tmp_path / "other.csv").write_text("id,text\n,uno\n,uno\n7,tres\n")
+    ids = lambda name: sorted((r["text"], r["id"]) for r in mappers.map_posts(files.read_csv(spark, str(tmp_path / name)), "external")[0].collect())
+    one = ids("a b.csv")
+    assert len(set(one)) == 3 and one == ids("copy.csv") and all(len(i) == 4 + 64 for _, i in one)
+    other = ids("other.csv")
+    assert len({i for _, i in other}) == 3 and ("tres", "ext_7") in other and sorted(ids("*.csv")) == sorted(one * 2 + other)
+    plain = mappers.map_posts(spark.createDataFrame([("x",), ("x",)], "text string"), "external")[0]
+    assert plain.select("id").distinct().count() == 2
+
+
 def test_rows_of_a_split_file_are_numbered_on(spark, tmp_path):
     (tmp_path / "big.csv").write_text("k,v\n" + "".join(f"{i},{'x' * 90}\n" for i in range(20_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
