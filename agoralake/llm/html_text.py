@@ -2,7 +2,8 @@
 
 A tolerant pass over the tags gives the DOM as flat lists (nodes in page order, with their parents), so nesting of any
 depth needs no recursion. Elements that are never article text (menus, forms, scripts, adverts, reader comments and the
-like) are cut by tag, role and class. For every node that is left the density is its characters per tag, adjusted by the
+like) are cut by tag, role and class; a class counts by its first and last word, and neither class nor form cuts what holds
+most of the unlinked text of its article, or of a page without one. For every node that is left the density is its characters per tag, adjusted by the
 share of link text; a node's sum is that of its children's densities. The node with the largest sum fixes a threshold, the
 smallest density on its path to the body; walking down from the body, each node at or over the threshold gives its
 largest-sum descendant as content. Content inside an article or main element stands for that whole element.
@@ -42,8 +43,8 @@ CLOSED_BY = {  # a start tag of the key ends an open element of the values
 FENCES = frozenset("article aside body button dialog div footer form header main nav section table td th ul ol".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 NAMES = re.compile(r"[^\s]+")
 
@@ -117,14 +118,36 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds[i]:
                 holds[self.parent[i]] = True
-        out = [False] * n
+        out, share = [False] * n, self._shares(main)
         for i in range(1, n):
             inside[i] = main[i] or inside[self.parent[i]]
-            out[i] = out[self.parent[i]] or self._furniture(i, holds[i], inside[i])
+            out[i] = out[self.parent[i]] or self._furniture(i, holds[i], inside[i], share[i])
         return out
 
-    def _furniture(self, i: int, holds_main: bool, in_main: bool) -> bool:
+    def _shares(self, main: list[bool]) -> list[float]:
+        """Each node's share of the unlinked text of the article or main element around it, else of the body.
+
+        Beside an article or main element that is no comment, nodes outside it have no share.
+        """
+        n = len(self.tag)
+        apart, scope, chars = [False] * n, [0] * n, [0] * n
+        body = next((i for i in range(n) if self.tag[i] == "body"), 0)
+        for i in range(1, n):
+            p = self.parent[i]
+            apart[i] = apart[p] or self.tag[i] == "a" or self.tag[i] in CUT_TAGS and self.tag[i] not in ("form", "header")
+            scope[i] = p if main[p] else body if p == body else scope[p]
+        for node, text in self.events:
+            if text is not None and not apart[node]:
+                chars[node] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        beside = any(main[i] and chars[i] and not COMMENT_WORDS & {w.lower() for w in WORDS.findall(self.attrs[i])} for i in range(n))
+        return [0.0 if beside and not main[scope[i]] else chars[i] / max(chars[scope[i]], 1) for i in range(n)]
+
+    def _furniture(self, i: int, holds_main: bool, in_main: bool, share: float) -> bool:
         tag = self.tag[i]
+        if tag == "form" and share > 0.5:
+            return False
         if tag in CUT_TAGS and not (tag == "header" and in_main) and not (holds_main and tag in ("form", "header")):
             return True
         if not self.attrs[i] or tag in ("html", "body"):
@@ -135,17 +158,17 @@ class Page:
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 return not holds_main
             if name == "role" and value.lower() in CUT_ROLES:
-                return not holds_main
+                return not holds_main and not (value.lower() == "form" and share > 0.5)
             if name in ("class", "id"):
                 for one in NAMES.findall(value):
                     parts = [w.lower() for w in WORDS.findall(one)]
                     if parts and parts[0] not in ("has", "with", "no", "without"):
-                        words.update(parts)
+                        words.update((parts[0], parts[-1]))
                     if parts in (["header"], ["site", "header"], ["page", "header"]) and not in_main:
                         words.add("masthead")
-        if words & COMMENT_WORDS:
+        if words & COMMENT_WORDS and share < 0.9:
             return tag != "main" and not (holds_main and tag not in ("article", "section", "div", "ol", "ul", "li"))
-        return bool(words & CUT_WORDS) and not holds_main
+        return bool(words & CUT_WORDS) and not holds_main and share <= 0.5
 
     def content(self, cut: list[bool]) -> list[bool]:
         """Which nodes are content: the subtrees chosen by their sums of densities."""

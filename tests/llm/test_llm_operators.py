@@ -289,6 +289,21 @@ def test_main_text(page):
     assert main_text(page) == "A & B\n\nFirst bold words of a paragraph, long enough to be dense in this page.\n\nSecond é part with more words, for it is an article."
 
 
+@pytest.mark.parametrize("page", [
+    f"<body><nav><a href=x>m</a></nav><article><div class='elementor-widget elementor-widget-text-editor'>{ARTICLE}</div><div class='social'>s</div></article>",
+    f"<body><ul class=menu><li>m</ul><div class='market-share'>{ARTICLE}</div><div class='share'>buy</div>",
+    f"<body><div class='nav'>m</div><article class='social-science'>{ARTICLE}<div class='ad'>buy</div></article>",
+    f"<body><article><div class='post widget'><div class='all-related-work'>{ARTICLE}</div></div></article><div class=ad>buy {'more ' * 60}</div>",
+    f"<body><form action=x><input><div class='navbar'>m</div><div>{ARTICLE}</div></form>",
+    f"<body><form role=form><div class='post'>{ARTICLE}</div></form><div class=comments><article class=comment>Nice</article></div>",
+    f"<body><article><img alt=\"12\" screen\">{ARTICLE}<p class=\"ad\">buy</p></article>",
+    f"<body><article><p title='it's'></p>{ARTICLE}<p data-class='x' class='ad' title='a > b'>buy</p></article>",
+    f"<body><article><p title=\"class='ad' > \"></p><div data-id=share>{ARTICLE}</div></article>",
+])
+def test_main_text_of_other_page_forms(page):
+    test_main_text(page)
+
+
 def test_pages(spark):
     deep = "<div>" * 5000 + "deep text of some length" + "</div>" * 5000
     rows = [(1, "u", None), (2, "u", ""), (3, None, "plain words"), (4, "u", "<p>a<p>b"), (5, "u", deep), (6, "u", "<p title=\"a"), (6, "u", "<p title=\"a"), (7, "u", "<script>x")]
