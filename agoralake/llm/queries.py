@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralake.llm import (
-    decontaminate, embedding_dups, fuzzy_lines, html_text, mixing, quality, sharding, simhash, suffix_dedup, token_counts)
+    decontaminate, embedding_dups, fuzzy_lines, hard_negatives, html_text, mixing, prefix_trie, quality, sharding, simhash,
+    substring_dedup, suffix_dedup, token_counts)
 from agoralake.session import configure, new_work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +138,68 @@ def op9_column_wise_suffix_dedup(spark, table):
 @query()
 def op10_simhash_anchor_covering(spark, table):
     return simhash.near_duplicates(table("documents"))
+
+
+# The checksum is CRC-32, bit by bit.
+OP11_SQL = r"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first) as idx
+    from conversations where conv_id is not null),
+c as (select conv_id, count(*) as n, conv_id - conv_id % 100 as base, (4294967295 - list_reduce(list_concat([4294967295::bigint],
+    list_transform(split(cast(conv_id as varchar), ''), lambda x: ascii(x)::bigint)), lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+    lambda x, i: xor(x >> 1, 3988292384::bigint * (x & 1))))) % 6 as h from t group by conv_id),
+r as (select c.conv_id, t.idx as depth, role, text from c join t on t.conv_id = c.base and t.idx <= c.h
+  union all select c.conv_id, t.idx - c.h + least(c.h, coalesce(b.n, 0)), role, text from c join t using (conv_id) left join c b on b.conv_id = c.base where t.idx > c.h),
+p as (select conv_id, depth, string_agg(length(role) || ':' || role || length(text) || ':' || text, '|') over (partition by conv_id order by depth rows unbounded preceding) as k, length(text) as chars from r
+  union all select conv_id, 0, '', 0 from c),
+e as (select conv_id, max(depth) as n from p group by conv_id),
+nodes as (select depth, k, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(chars) as saved,
+    coalesce(string_agg(case when n = depth then cast(conv_id as varchar) end, ',' order by conv_id), '') as ends from p join e using (conv_id) group by depth, k),
+up as (select a.depth, a.k, b.conv_id as parent_conv_id, b.k as pk from nodes a join p q on q.conv_id = a.conv_id and q.depth = a.depth - 1 join nodes b on b.depth = q.depth and b.k = q.k),
+ch as (select depth - 1 as depth, pk as k, count(*) as n_children from up group by 1, 2),
+w as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join ch using (depth, k)),
+s as (select q.depth, q.k, count_if(w.n_children = 0) as n_leaves, sum(w.saved) as saved_tokens from w join p q on q.conv_id = w.conv_id and q.depth <= w.depth group by 1, 2)
+select w.conv_id, w.depth, up.parent_conv_id, w.n_convs, w.n_children, s.n_leaves, cast(s.saved_tokens as bigint) as saved_tokens, sha256(w.ends) as ends_sha256
+from w join s using (depth, k) left join up using (depth, k)
+"""
+
+
+@query(OP11_SQL)
+def op11_conversation_prefix_trie(spark, table):
+    return prefix_trie.prefix_trie(table("conversations"))
+
+
+OP12_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+v as (select doc_id, i, array_to_string(list_slice(w, i + 1, i + 50), ' ') as s from (select doc_id, w, unnest(range(0, len(w) - 49)) as i from d)),
+m as (select s, min(doc_id) as f from v group by s),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from v join m using (s) where f < doc_id),
+x as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) - 1 as p from d),
+k as (select doc_id, string_agg(word, ' ' order by p) as t from x anti join gone using (doc_id, p) group by doc_id),
+g as (select doc_id, count(*) as n from gone group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join k using (doc_id) left join g using (doc_id)
+"""
+
+
+@query(OP12_SQL)
+def op12_relative_lz_substring_dedup(spark, table):
+    return substring_dedup.remove_passages(table("documents")).drop("kept")
+
+
+OP13_SQL = r"""
+with v as (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings where vec_id is not null and label is not null
+    and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.r as ar, a.vec_id as anchor_id, v.r, v.vec_id, a.label = v.label as alike, cast(list_inner_product(a.e, v.e) as bigint) as score
+    from v a join v on len(a.e) = len(v.e) and a.r <> v.r where a.vec_id % 100 = 0),
+p as (select ar, anchor_id, r, vec_id, score from s where alike qualify row_number() over (partition by ar order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id as positive_id, cast(row_number() over w as int) as rank, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score
+from p join s on s.ar = p.ar and not s.alike and 80 * p.score <= 100 * s.score and s.score <= p.score
+window w as (partition by p.ar, p.r order by s.score desc, s.vec_id) qualify row_number() over w <= 5
+"""
+
+
+@query(OP13_SQL)
+def op13_four_russians_hard_negatives(spark, table):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table("embeddings"), label=label)
