@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -29,10 +29,14 @@ def _run_of(version: str) -> str:
 
 
 class VersionedTable:
+    """``arrange`` puts rows in the order they are stored in, ``options`` are passed to the Parquet writer."""
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                 partition_by: Sequence[str] = ()):
+                 partition_by: Sequence[str] = (), arrange: Callable[[DataFrame], DataFrame] | None = None,
+                 options: dict[str, str] | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.partition_by = list(keys), list(partition_by)
+        self.arrange, self.options = arrange or (lambda df: df), options or {}
 
     @staticmethod
     def version(seq: int, run_id: str) -> str:
@@ -79,7 +83,8 @@ class VersionedTable:
     def _write(self, df: DataFrame, version: str, extra: Sequence[str] = ()) -> str:
         name = f"{version}~{time.time_ns() // 1000:020d}"
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        df.select(*columns, *extra).write.mode("errorifexists").partitionBy(*self.partition_by).parquet(self._folder(name))
+        self.arrange(df.select(*columns, *extra)).write.options(**self.options).mode("errorifexists").partitionBy(
+            *self.partition_by).parquet(self._folder(name))
         return name
 
     def write(self, df: DataFrame, seq: int, run_id: str) -> None:
@@ -106,11 +111,38 @@ class VersionedTable:
         """Answered from the Parquet footers."""
         return self.run(run_id).count()
 
-    def latest(self) -> DataFrame:
-        """One row per key, the newest version winning."""
-        rows = self._rows()
+    def runs(self) -> list[str]:
+        """Runs in the order of their versions, compacted ones included."""
+        _, rest, covered = self._state()
+        return list(dict.fromkeys(_run_of(v) for v in sorted([v for v in covered if v] + rest)))
+
+    def latest(self, wanted: Callable[[str], bool] = lambda run: True) -> DataFrame:
+        """One row per key, the newest version winning; ``wanted`` chooses runs.
+
+        A filter on key columns passes below the choice of the newest row, so where partition columns are part of the key it
+        reaches the scan and prunes folders.
+        """
+        rows = self._rows(wanted)
         return (rows if len(self.versions()) < 2 else dedupe(rows, self.keys, ["version"])).drop("version")
 
+    def has_run(self, run_id: str) -> bool:
+        """Whether a run has a finished version."""
+        return run_id in self.runs()
+
+    def compact_when_due(self, seq: int, loose: int = 16, most: int = 512) -> bool:
+        """Fold the folders once many are loose and they hold a quarter of what the full version holds: as each fold grows the
+        full version by a fixed share, a row is rewritten a number of times that does not follow the number of batches."""
+        full, rest, _ = self._state()
+        if len(rest) < loose:
+            return False
+        def size(version: str) -> int:
+            fs, path = hadoop_path(self.spark, self._folder(version))
+            return fs.getContentSummary(path).getLength()
+        if full and len(rest) < most and 4 * sum(map(size, rest)) < size(full):
+            return False
+        self.compact(seq)
+        return True
+
     def compact(self, seq: int) -> None:
         """Write the newest row of every key as a new full version. It counts once its list of covered versions is there;
         what came meanwhile is not on the list and is read beside it."""
@@ -124,12 +156,13 @@ class VersionedTable:
         write_small_text(self.spark, f"{self._folder(name)}/{_COVERS}", "\n".join(listed))
 
     def vacuum(self) -> None:
-        """Delete folders that no reader that starts now would use. Call it when earlier readers are done."""
+        """Delete folders that no reader that starts now would use, those of broken writes among them. Call it when earlier
+        readers and writers are done."""
         used = set(self.versions())
-        for v in self._found("_SUCCESS"):
-            if v not in used:
-                fs, path = hadoop_path(self.spark, self._folder(v))
-                fs.delete(path, True)
+        fs, pattern = hadoop_path(self.spark, f"{self.path}/version=*")  # folders of broken writes have no mark
+        for f in fs.globStatus(pattern) or []:
+            if f.getPath().getName().split("=", 1)[1] not in used:
+                fs.delete(f.getPath(), True)
 
 
 def append_jsonl(posts: DataFrame, path: str, ingest_date: str) -> None:

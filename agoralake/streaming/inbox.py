@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from agoralake import schemas
 from agoralake.operators.dedupe import dedupe
 from agoralake.plans import layers
-from agoralake.plans.jobs import Lake, known_ids, quarantine_rows, store_silver, verdict_of
+from agoralake.plans.jobs import Lake, known_ids, quarantine_rows, resume_runs, store_silver, take_files, verdict_of
 from agoralake.plans.ledger import now_micros
 from agoralake.operators.quality import report, summary
 from agoralake.sources import files, mappers, media
@@ -106,14 +106,30 @@ def _by_file(lake: Lake, videos: bool, columns: Sequence[str], handle: Callable[
     return read
 
 
+def _new_files_only(lake: Lake, source: str, context: str, stream: str, read: Callable[[DataFrame, int], None]):
+    """Hand on only files whose bytes no run, of a stream or a batch job, has loaded; finish runs that broke off with them."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        paths, run_id, seq = _of_kind(batch, False), f"{stream}_{source}_{batch_id}", now_micros()
+        if not paths:
+            return
+        resume_runs(lake, take_files(lake, paths, run_id, seq, context), context)
+        log = lake.files(context)
+        new = [r["file_path"] for r in log.files_of(run_id).select("file_path").collect()]  # a trigger's paths are few
+        if new:
+            read(batch.sparkSession.createDataFrame([(p,) for p in new], "path string"), batch_id)
+        log.reach(run_id, "done", seq)
+    return handle
+
+
 def stream_posts(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,
                  files_per_trigger: int | None = None, archive: str | None = None,
                  context: str = "posts") -> StreamingQuery:
     """Comment files of one source into raw and silver."""
     paths = inbox_stream(lake.spark, inbox, source, files_per_trigger, archive)
-    handle = post_batch(lake, source, context, f"inbox-{stream_id(lake.spark, checkpoint)}")
+    stream = f"inbox-{stream_id(lake.spark, checkpoint)}"
     columns = [] if source == "external" else schemas.COMMENT_CSV[source]
-    return _start(paths.writeStream.foreachBatch(_by_file(lake, False, columns, handle)), checkpoint, once, every)
+    read = _by_file(lake, False, columns, post_batch(lake, source, context, stream))
+    return _start(paths.writeStream.foreachBatch(_new_files_only(lake, source, context, stream, read)), checkpoint, once, every)
 
 
 def stream_videos(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,

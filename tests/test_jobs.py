@@ -226,16 +226,165 @@ def test_a_second_analysis_scores_only_new_posts(spark, lake, tmp_path):
     assert again["scores_candidato_red"].agg(F.sum("menciones")).first()[0] == 8
 
 
-def test_a_small_batch_reads_the_buckets_of_its_ids(spark, lake, tmp_path):
-    tweets(tmp_path / "a.csv")
-    jobs.run_batch(lake, str(tmp_path / "a.csv"), "twitter")
-    posts = spark.createDataFrame([("tw_1",)], "id string")
-    known = jobs.known_ids(lake, posts, "other", 1)
-    plan = known._jdf.queryExecution().executedPlan().toString()
-    bucket = jobs.id_rows(posts).first()["bucket"]
-    assert re.search(rf"PartitionFilters: \[[^]]*\(bucket#\d+ = {bucket}\)", plan), plan
-    assert [r["id"] for r in known.where("id = 'tw_1'").collect()] == ["tw_1"]
-    # a lake from before the id table gets one
-    fs, path = files.hadoop_path(spark, lake.silver_ids().path)
+def scan_rows(df):
+    """Rows that the first file scan of a query gave."""
+    df.collect()
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop(0)
+        if "Scan parquet" in node.nodeName():
+            return node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    raise AssertionError("no scan")
+
+
+def test_a_small_batch_reads_the_pages_of_its_ids(spark, lake):
+    ids = lake.ids()
+    many = spark.range(1_000_000).select(F.concat(F.lit("tw_"), "id").alias("id"))
+    ids.add(many, "one", 1)
+    posts = spark.range(999_850, 1_000_150).select(F.concat(F.lit("tw_"), "id").alias("id"))
+    held = ids.table.without_run("two").where(F.col("h").isin([r["h"] for r in posts.select(F.xxhash64("id").alias("h")).collect()]))
+    ids.known(posts.limit(0), "two")
+    assert ids.known(posts, "two").count() == 150 and ids.known(many, "two").count() == 1_000_000
+    assert ids.known(posts, "one").count() == 0
+    assert scan_rows(held.select("id")) < 150_000  # of 10^6
+    ids.add(many.limit(500), "two", 2)
+    ids.table.compact(3)
+    assert ids.known(posts, "two").count() == 150
+
+
+def test_a_lake_from_before_the_id_index_gets_one(spark, lake, tmp_path):
+    jobs.run_batch(lake, tweets(tmp_path / "a.csv"), "twitter")
+    fs, path = files.hadoop_path(spark, lake.ids().table.path)
     fs.delete(path, True)
-    assert jobs.known_ids(lake, posts, "other", 1).count() >= 1
+    assert jobs.known_ids(lake, spark.createDataFrame([("tw_1",), ("x",)], "id string"), "other", 1).collect() == [("tw_1",)]
+
+
+STEPS = ["store_bronze", "raw", "quarantine", "promote_silver", "silver", "ids", "run_gate", "reports", "promote_gold", "gold", "refresh_views", "ledger"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("as_inbox", [False, True])
+def test_a_broken_run_is_finished_by_the_next(lake, tmp_path, monkeypatch, step, as_inbox):
+    if as_inbox and step not in ("promote_silver", "gold"):
+        pytest.skip("the batch job shows it")
+    path = tmp_path / "inbox/twitter/2026-05-19/a.csv"
+    tweets(path)
+    go = (lambda: jobs.run_inbox(lake, f"file:{tmp_path}/inbox", skip_gold=False, as_of=as_of())) if as_inbox else (
+        lambda: jobs.run_batch(lake, str(path), "twitter", skip_gold=False, as_of=as_of()))
+    broken = {"left": 1}
+
+    def once(real, when=lambda *a: True):
+        def call(*a, **k):
+            if broken["left"] and when(*a):
+                broken["left"] -= 1
+                raise RuntimeError(f"{step} is down")
+            return real(*a, **k)
+        return call
+
+    if hasattr(jobs, step):
+        monkeypatch.setattr(jobs, step, once(getattr(jobs, step)))
+    elif step == "ledger":
+        monkeypatch.setattr(jobs.Ledger, "finish", once(jobs.Ledger.finish))
+    else:  # the write itself is done, the step after it is not
+        folder = {"raw": "raw/posts", "silver": "silver/posts", "ids": "ops/silver_ids_posts", "reports": "ops/quality_reports",
+                  "quarantine": "ops/quarantine", "gold": "gold/features"}[step]
+        real = tables.VersionedTable.write
+
+        def write(table, *a, **k):
+            real(table, *a, **k)
+            if broken["left"] and table.path.endswith(folder):
+                broken["left"] -= 1
+                raise RuntimeError(f"{step} is down")
+        monkeypatch.setattr(tables.VersionedTable, "write", write)
+    if as_inbox:
+        assert go()[0]["status"] == "failed"
+    else:
+        with pytest.raises(RuntimeError, match="is down"):
+            go()
+    first = set(statuses(lake))
+    again = go()
+    if step in ("store_bronze", "quarantine"):  # nothing was stored: the files are new to the second run
+        assert again["rows_gold"] == 12
+    else:
+        again = again[0] if as_inbox else again
+        assert [r["run_id"] for r in again["resumed"]] == list(first) and again["rows_bronze"] == 0
+        assert statuses(lake)[list(first)[0]]["status"] == "success"
+    assert lake.raw().latest().count() == lake.silver().latest().count() == lake.gold().latest().count() == 12
+    daily = tables.read_daily(lake.spark, f"{lake.root}/public/v_sentiment_daily").collect()
+    assert [(r["source"], r["posts"]) for r in daily] == [("twitter", 12)]
+    assert lake.files().state().where("stage <> 'done'").count() == 0 and lake.ids().table.latest().count() == 12
+    third = go()
+    third = third[0] if as_inbox else third
+    assert third["resumed"] == [] and third["rows_bronze"] == 0 and lake.gold().latest().count() == 12
+
+
+def test_runs_can_be_finished_without_their_files(lake, tmp_path, monkeypatch):
+    path = tmp_path / "a.csv"
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "run_gate", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_batch(lake, tweets(path), "twitter", skip_gold=False, as_of=as_of())
+    path.unlink()
+    done = jobs.resume_runs(lake, as_of=as_of())
+    assert [(r["status"], r["rows_silver"], r["rows_gold"]) for r in done] == [("success", 12, 12)] and jobs.resume_runs(lake) == []
+
+
+def test_scores_reach_gold_and_the_daily_view(spark, lake, tmp_path):
+    jobs.run_batch(lake, tweets(tmp_path / "a.csv", text="el pacto historico va bien hoy {i}"), "twitter", skip_gold=False, as_of=as_of())
+    jobs.run_batch(lake, tweets(tmp_path / "b.csv", day="2026-05-18", start=20, text="el pacto historico va mal hoy {i}"), "twitter", skip_gold=False, as_of=as_of())
+    scorer = scorers.LexiconScorer(["bien"], ["mal"])
+    for _ in range(2):
+        jobs.run_analysis(lake, scorer, resume=True)
+        gold = lake.gold().latest()
+        assert {(r["event_day"], r["sentiment_label"], r["sentiment_score"]) for r in gold.collect()} == {
+            ("2026-05-19", "positive", 1.0), ("2026-05-18", "negative", -1.0)}
+        daily = {str(r["day"]): tuple(r)[2:] for r in tables.read_daily(spark, f"{lake.root}/public/v_sentiment_daily").collect()}
+        assert daily == {"2026-05-19": (12, 12, 0, 0, 1.0), "2026-05-18": (12, 0, 12, 0, -1.0)}
+    want = sorted(map(tuple, views.sentiment_daily(lake.gold().latest()).collect()))
+    assert sorted((r[0], r[1], *r[2:]) for r in daily_rows(lake)) == want
+
+
+def daily_rows(lake):
+    return [tuple(r) for r in tables.read_daily(lake.spark, f"{lake.root}/public/v_sentiment_daily").collect()]
+
+
+def test_the_second_analysis_prunes_days_and_finds_late_posts(spark, lake, tmp_path):
+    for i, day in enumerate(["2026-04-10", "2026-05-17", "2026-05-18"]):
+        jobs.run_batch(lake, tweets(tmp_path / f"{i}.csv", day=day, start=20 * i, text="el pacto historico va bien hoy {i}"), "twitter")
+    scorer = scorers.LexiconScorer(["bien"], ["mal"])
+    assert jobs.run_analysis(lake, scorer, resume=True)["scored"].count() == 36
+    since = F.lit("2026-05-18 00:00:00").cast("timestamp")
+    plan = jobs.load_contexts(lake, since)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*event_day#\d+ >= 2026-05-18", plan), plan
+    late = jobs.load_contexts(lake, since, F.lit("2026-05-20 00:00:00").cast("timestamp"))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*event_day#\d+ >= 2026-05-18\) OR \(cleaned_month#\d+ >= 2026-05", late), late
+    jobs.run_batch(lake, tweets(tmp_path / "late.csv", day="2026-04-11", start=100, text="el pacto historico va mal hoy {i}"), "twitter")
+    again = jobs.run_analysis(lake, scorer, resume=True)
+    assert again["scored"].count() == 48  # the late posts are older than the mark and still there
+    newly = sorted(spark.read.parquet(str(p)).count() for p in (tmp_path / "lake" / "analysis").glob("*/new_scored"))
+    assert newly == [24, 36]  # 12 late ones and the 12 at the mark
+
+
+def test_tables_are_folded_by_rule(spark, lake, tmp_path):
+    table = lake._table("t", files.schemas.T.StructType([files.schemas.T.StructField("id", files.schemas.S)]), ["id"])
+    one = spark.createDataFrame([("a",)], "id string")
+    for i in range(16):
+        assert not table.compact_when_due(i)
+        table.write(one, i, f"r{i}")
+    assert table.compact_when_due(99) and len(table.versions()) == 1 and table.runs() == [f"r{i}" for i in range(16)]
+    broken = tmp_path / "lake/t/version=00000000000000000098-x~1"
+    broken.mkdir()
+    table.vacuum()
+    assert not broken.exists() and table.latest().count() == 1
+
+
+def test_landing_and_alerts_are_stored(lake, tmp_path):
+    out = jobs.run_landing(lake, tweets(tmp_path / "a.csv"), "twitter")
+    assert out["rows"] == 12 and lake.landing().latest().count() == 12
+    jobs.run_batch(lake, tweets(tmp_path / "b.csv", day="2026-06-01"), "twitter", as_of=as_of())
+    assert [(r["severity"], r["delivered"]) for r in lake.alerts().latest().collect()] == [("CRITICAL", False)]
