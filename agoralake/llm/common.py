@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from agoralake.session import stored
+from agoralake.session import new_work_path, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,11 +24,31 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYT
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def packed(documents: DataFrame) -> DataFrame:
+    """Whole rows as one column ``row``, so that no column of theirs can meet a name of an operator's own."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **own: Column) -> DataFrame:
+    """``columns`` of packed rows again. ``own`` columns take the place of those of their name, or follow."""
+    kept = [own.pop(c).alias(c) if c in own else F.col("row")[c].alias(c) for c in columns]
+    return rows.select(*kept, *[c.alias(name) for name, c in own.items()])
+
+
 def parts_for(spark: SparkSession, total_bytes: int, each: int) -> int:
     """Partitions so that each holds about ``each`` bytes, and no fewer than the session's setting."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // each))
 
 
+def stored_by(df: DataFrame, name: str, key: str, parts: int) -> DataFrame:
+    """As ``stored``, in ``parts`` buckets of ``key``: later joins on it leave these rows where they are and move the other side."""
+    spark = df.sparkSession
+    path = new_work_path(spark, name)
+    table = "work_" + path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(parts, key).write.bucketBy(parts, key).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long); component is the smallest node reachable.
 

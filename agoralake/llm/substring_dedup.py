@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from agoralake.llm.common import parts_for, stored_by
 from agoralake.llm.suffix_dedup import _blocks, _by_bucket, _pack, _ranges, _read, _repeated, _unpack
 from agoralake.session import stored
 
@@ -219,16 +220,18 @@ class Stretches:
 
 
 def _stretch_rows(buckets: int):
-    """Rows (block, ref, target, texts): what a block refers others to, and what it seeks in a reference."""
+    """Rows (block, ref, target, texts, places): what a block refers others to, and what it seeks in a reference, with the first
+    words of the places where each text stands."""
     def stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             got, out = Stretches(row, buckets), []
             for target, runs in ((False, got.referred), (True, got.sought)):
-                out += [(ref, target, list(texts)) for ref, texts in got.by_reference(runs).items()]
-            columns = list(zip(*out)) or [()] * 3
+                out += [(ref, target, list(texts), list(texts.values()) if target else None) for ref, texts in got.by_reference(runs).items()]
+            columns = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["block"]] * len(out), pa.int64()), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()),
-                 pa.array(columns[2], pa.list_(pa.binary()))], names=["block", "ref", "target", "texts"])
+                 pa.array(columns[2], pa.list_(pa.binary())), pa.array(columns[3], pa.list_(pa.list_(pa.int64())))],
+                names=["block", "ref", "target", "texts", "places"])
     return stretch_rows
 
 
@@ -313,33 +316,33 @@ class Reference:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, ref, digest, sought, held): per stretch of ``sought`` the spans that ``held`` has."""
+    """Rows (block, ref, digest, sought, places, held): word ranges of the block that ``held`` covers, joined where they touch."""
     last, reference = None, None
     for row in _rows(batches):
         if (row["ref"], row["digest"]) != last:
             last, reference = (row["ref"], row["digest"]), Reference(row["held"])
-        spans = [[x for pair in reference.spans(t) for x in pair] for t in row["sought"]]
-        yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([row["ref"]]), pa.array([spans], pa.list_(pa.list_(pa.int64())))],
-                                         names=["block", "ref", "spans"])
+        found: list[list[int]] = []
+        for text, places in zip(row["sought"], row["places"]):
+            spans = reference.spans(text)
+            found += [[first + lo, first + hi] for first in places for lo, hi in spans]
+        flat: list[int] = []
+        for lo, hi in sorted(found):
+            if flat and lo <= flat[-1]:
+                flat[-1] = max(flat[-1], hi)
+            else:
+                flat += [lo, hi]
+        yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([np.array(flat, dtype=np.int64).tobytes()], pa.binary())],
+                                         names=["block", "spans"])
 
 
-def _cut(buckets: int):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            if row["parsed"]:
-                got = Stretches(row, buckets)
-                words, places = got.words, got.by_reference(got.sought)
-            else:
-                words, places = Words(row), {}
-            change = np.zeros(len(words.start) + 1, dtype=np.int64)
-            for x in row["parsed"] or []:
-                for firsts, spans in zip(places[x["ref"]].values(), x["spans"]):
-                    for lo, hi in zip(spans[::2], spans[1::2]):
-                        for first in firsts:
-                            change[first + lo] += 1
-                            change[first + hi] -= 1
-            yield _report(words, np.cumsum(change[:-1]) > 0)
-    return cut
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        words = Words(row)
+        change = np.zeros(len(words.start) + 1, dtype=np.int64)
+        for spans in row["parsed"] or []:
+            np.add.at(change, np.frombuffer(spans, dtype=np.int64)[::2], 1)
+            np.add.at(change, np.frombuffer(spans, dtype=np.int64)[1::2], -1)
+        yield _report(words, np.cumsum(change[:-1]) > 0)
 
 
 def _report(words: Words, gone: np.ndarray) -> pa.RecordBatch:
@@ -373,28 +376,29 @@ def remove_passages(documents: DataFrame, share: int = SHARE, bucket_bytes: int
     nothing and take nothing from others. An empty table gives no rows; other columns are not read.
     """
     known = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = stored(known.mapInArrow(_blocks, "block long, bytes long, docs binary, sizes binary, data binary"), "passage-blocks")
-    buckets = max(1, -(-blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] // bucket_bytes))
+    size = documents.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    buckets = max(1, -(-size // bucket_bytes))
+    blocks = stored_by(known.mapInArrow(_blocks, "block long, bytes long, docs binary, sizes binary, data binary"), "passage-blocks", "block",
+                       parts_for(documents.sparkSession, size, 64 << 20))
     bits = blocks.mapInArrow(_announce(buckets), "block long, bucket long, keys binary").groupBy("bucket").applyInArrow(
         _repeated, "block long, bucket long, bits binary")
     asked = stored(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("found")), "shared-minimizers")
-    marked = blocks.join(asked, "block")
-    firsts = marked.mapInArrow(_ask(buckets), "block long, bucket long, hashes binary, docs binary, several binary").groupBy("bucket").applyInArrow(
+    firsts = blocks.join(asked, "block").mapInArrow(
+        _ask(buckets), "block long, bucket long, hashes binary, docs binary, several binary").groupBy("bucket").applyInArrow(
         _firsts, "block long, bucket long, firsts binary")
-    answers = stored(firsts.groupBy("block").agg(F.collect_list(F.struct("bucket", "firsts")).alias("answers")), "first-documents")
-    known_windows = blocks.join(asked, "block", "left").join(answers, "block", "left")
-    stretches = stored(known_windows.mapInArrow(
-        _stretch_rows(buckets), "block long, ref long, target boolean, texts array<binary>"), "stretches")
+    answers = firsts.groupBy("block").agg(F.collect_list(F.struct("bucket", "firsts")).alias("answers"))
+    stretches = stored(blocks.join(asked, "block").join(answers, "block").mapInArrow(
+        _stretch_rows(buckets), "block long, ref long, target boolean, texts array<binary>, places array<array<bigint>>"), "stretches")
     # One copy of a reference for every ``share`` blocks that need it.
     needs = stretches.where("target").groupBy("ref").agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("copies"))
     held = stretches.where("not target").select("ref", F.xxhash64("texts").alias("digest"), F.col("texts").alias("held")).distinct()
     held = held.join(needs, "ref").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    sought = stretches.where("target").select("block", "ref", F.col("texts").alias("sought")).join(needs, "ref").withColumn(
+    sought = stretches.where("target").select("block", "ref", F.col("texts").alias("sought"), "places").join(needs, "ref").withColumn(
         "copy", F.pmod(F.xxhash64("block"), F.col("copies")).cast("int")).drop("copies")
-    spans = stored(sought.join(held, ["ref", "copy"]).select("block", "ref", "digest", "sought", "held").mapInArrow(
-        _parse, "block long, ref long, spans array<array<bigint>>"), "duplicate-spans")
-    parsed = spans.groupBy("block").agg(F.collect_list(F.struct("ref", "spans")).alias("parsed"))
-    done = known_windows.join(parsed, "block", "left").mapInArrow(_cut(buckets), REPORT)
+    spans = sought.join(held, ["ref", "copy"]).select("block", "ref", "digest", "sought", "places", "held").mapInArrow(
+        _parse, "block long, spans binary")
+    parsed = stored(spans.groupBy("block").agg(F.collect_list("spans").alias("parsed")), "duplicate-spans")
+    done = blocks.join(parsed, "block", "left").mapInArrow(_cut, REPORT)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     unknown = documents.where("doc_id is null").select(
