@@ -2,8 +2,10 @@
 
 A tolerant pass over the tags gives the DOM as flat lists (nodes in page order, with their parents), so nesting of any
 depth needs no recursion. Elements that are never article text (menus, forms, scripts, adverts, reader comments and the
-like) are cut by tag, role and class; a class counts by its first and last word, and neither class nor form cuts what holds
-most of the unlinked text of its article, or of a page without one. For every node that is left the density is its characters per tag, adjusted by the
+like) are cut by tag, role and class. Names cut by themselves only where they are plain ("sidebar", "ad"); words that name content
+as well ("share", "related", "widget"), and within an article all parts of longer names, cut only what is mostly links or a
+scrap of text. Neither names nor forms cut where all elements of that name together hold most of the unlinked text of their
+article, or of a page without one. For every node that is left the density is its characters per tag, adjusted by the
 share of link text; a node's sum is that of its children's densities. The node with the largest sum fixes a threshold, the
 smallest density on its path to the body; walking down from the body, each node at or over the threshold gives its
 largest-sum descendant as content. Content inside an article or main element stands for that whole element.
@@ -30,11 +32,12 @@ CUT_TAGS = frozenset(
     "aside button canvas datalist dialog footer form head header iframe input menu nav noscript object option script search "
     "select style svg template textarea title".split())
 CUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-CUT_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies dialog footer gdpr "
-    "login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup "
-    "promo promoted promotion recommended related share sharing sidebar signup social sponsor sponsored subscribe "
-    "subscription toolbar widget".split())
+PLAIN_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent cookie cookies footer gdpr login masthead menu "
+    "modal nav navbar navigation newsletter pager pagination popup sidebar signup sponsor sponsored subscribe subscription toolbar".split())
+DOUBTFUL_WORDS = frozenset(
+    "banner dialog notice notices notification overlay promo promoted promotion recommended related share sharing social widget".split())
+SCRAP = 25  # characters; a doubtful element with less is no part of an article
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond".split())
 CLOSED_BY = {  # a start tag of the key ends an open element of the values
     **{t: ("p",) for t in BLOCKS - {"html", "body", "li", "dt", "dd", "option", "tr", "td", "th", "tbody", "thead", "tfoot"}},
@@ -48,6 +51,11 @@ ATTRIBUTE = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 NAMES = re.compile(r"[^\s]+")
 
+FURNITURE = PLAIN_WORDS | DOUBTFUL_WORDS
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NO_WORDS: frozenset[str] = frozenset()
+NOTHING = (False, "", NO_WORDS, NO_WORDS)
+
 
 class Page:
     """The DOM of a page as lists, and its text pieces and block borders in page order."""
@@ -118,33 +126,63 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds[i]:
                 holds[self.parent[i]] = True
-        out, share = [False] * n, self._shares(main)
+        out, named = [False] * n, [self._named(i) if self.attrs[i] else NOTHING for i in range(n)]
+        share, kinds, linked = self._shares(main, named)
         for i in range(1, n):
             inside[i] = main[i] or inside[self.parent[i]]
-            out[i] = out[self.parent[i]] or self._furniture(i, holds[i], inside[i], share[i])
+            out[i] = out[self.parent[i]] or self._furniture(i, holds[i], inside[i], share[i], kinds[i], linked[i], named[i])
         return out
 
-    def _shares(self, main: list[bool]) -> list[float]:
-        """Each node's share of the unlinked text of the article or main element around it, else of the body.
+    def _named(self, i: int) -> tuple[bool, str, frozenset[str], frozenset[str]]:
+        """Of an element's attributes: hidden or not, its role, its whole names, first and last words of names."""
+        hidden, role, whole, words = False, "", set(), set()
+        for m in ATTRIBUTE.finditer(self.attrs[i]):
+            name, value = m[1].lower(), (m[2] or "").strip("\"'")
+            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
+                hidden = True
+            elif name == "role":
+                role = value.lower()
+            elif name in ("class", "id"):
+                for one in NAMES.findall(value):
+                    parts = [w.lower() for w in WORDS.findall(one)]
+                    if parts and parts[0] not in ("has", "with", "no", "without"):
+                        words.update((parts[0], parts[-1]))
+                        whole.add("".join(parts))
+        return hidden, role, frozenset(whole), frozenset(words)
+
+    def _shares(self, main: list[bool], named: list[tuple]) -> tuple[list[float], list[float], list[tuple[int, int, bool]]]:
+        """For each node its share of the unlinked text of the article or main element around it, else of the body; the share
+        of all elements there that have one of its furniture words; and (characters in links, others, outside all articles).
 
         Beside an article or main element that is no comment, nodes outside it have no share.
         """
         n = len(self.tag)
-        apart, scope, chars = [False] * n, [0] * n, [0] * n
+        apart, scope, chars, linked = [False] * n, [0] * n, [0] * n, [0] * n
         body = next((i for i in range(n) if self.tag[i] == "body"), 0)
         for i in range(1, n):
             p = self.parent[i]
             apart[i] = apart[p] or self.tag[i] == "a" or self.tag[i] in CUT_TAGS and self.tag[i] not in ("form", "header")
             scope[i] = p if main[p] else body if p == body else scope[p]
         for node, text in self.events:
-            if text is not None and not apart[node]:
-                chars[node] += len(text.strip())
+            if text is not None:
+                (linked if apart[node] else chars)[node] += len(text.strip())
         for i in range(n - 1, 0, -1):
             chars[self.parent[i]] += chars[i]
+            linked[self.parent[i]] += linked[i]
+        above, together = [NO_WORDS] * n, {}
+        for i in range(1, n):
+            own = named[i][3] & FURNITURE
+            above[i] = above[self.parent[i]] if main[self.parent[i]] is False else NO_WORDS
+            for w in own - above[i]:  # an element within one of its kind is counted with that one
+                together[scope[i], w] = together.get((scope[i], w), 0) + chars[i]
+            above[i] = above[i] | own if own else above[i]
         beside = any(main[i] and chars[i] and not COMMENT_WORDS & {w.lower() for w in WORDS.findall(self.attrs[i])} for i in range(n))
-        return [0.0 if beside and not main[scope[i]] else chars[i] / max(chars[scope[i]], 1) for i in range(n)]
+        none = [beside and not main[scope[i]] for i in range(n)]
+        kinds = [0.0 if none[i] else max((together.get((scope[i], w), 0) for w in named[i][3] & FURNITURE), default=0) / max(chars[scope[i]], 1)
+                 for i in range(n)]
+        return [0.0 if none[i] else chars[i] / max(chars[scope[i]], 1) for i in range(n)], kinds, list(zip(linked, chars, none))
 
-    def _furniture(self, i: int, holds_main: bool, in_main: bool, share: float) -> bool:
+    def _furniture(self, i: int, holds_main: bool, in_main: bool, share: float, kind: float, text: tuple[int, int, bool], named: tuple) -> bool:
         tag = self.tag[i]
         if tag == "form" and share > 0.5:
             return False
@@ -152,23 +190,23 @@ class Page:
             return True
         if not self.attrs[i] or tag in ("html", "body"):
             return False
-        words: set[str] = set()
-        for m in ATTRIBUTE.finditer(self.attrs[i]):
-            name, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-                return not holds_main
-            if name == "role" and value.lower() in CUT_ROLES:
-                return not holds_main and not (value.lower() == "form" and share > 0.5)
-            if name in ("class", "id"):
-                for one in NAMES.findall(value):
-                    parts = [w.lower() for w in WORDS.findall(one)]
-                    if parts and parts[0] not in ("has", "with", "no", "without"):
-                        words.update((parts[0], parts[-1]))
-                    if parts in (["header"], ["site", "header"], ["page", "header"]) and not in_main:
-                        words.add("masthead")
+        hidden, role, whole, words = named
+        if hidden:
+            return not holds_main
+        if role in CUT_ROLES:
+            return not holds_main and not (role == "form" and share > 0.5)
         if words & COMMENT_WORDS and share < 0.9:
             return tag != "main" and not (holds_main and tag not in ("article", "section", "div", "ol", "ul", "li"))
-        return bool(words & CUT_WORDS) and not holds_main and share <= 0.5
+        if whole & {"header", "siteheader", "pageheader"} and not in_main:
+            words = words | {"masthead"}
+        if not words & FURNITURE or holds_main or tag in HEADINGS:
+            return False
+        if max(share, kind) > 0.5:
+            return False
+        linked, plain, outside = text
+        if outside or whole & PLAIN_WORDS or words & PLAIN_WORDS and not in_main:
+            return True
+        return linked > plain or linked + plain < SCRAP
 
     def content(self, cut: list[bool]) -> list[bool]:
         """Which nodes are content: the subtrees chosen by their sums of densities."""
