@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from agoralake.llm.common import unpacked
+
 SLOTS = 4096
 SHARDS = 40
+GROWN = 5       # one of so many shards is added by an edit of the slot table
 ROW_BYTES = 16  # counted for each record besides its text
 
 
@@ -102,7 +105,8 @@ def positions(records: DataFrame, mapping: DataFrame) -> DataFrame:
 def shard_documents(documents: DataFrame, path: str, version: int = 1, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot) for every row of ``documents``.
 
-    The thin rows are written once under ``path`` with the slot table, so whole texts are read once. A null text has no
+    The thin rows are written once under ``path``, so whole texts are read once, and with them two versions of the slot table:
+    one for a fifth fewer shards, and that one edited for all of them, which decides. A null text has no
     bytes and check sum 0; an empty table gives no rows; rows that repeat each other share a slot and keep a place each;
     other columns are not read.
     """
@@ -111,7 +115,10 @@ def shard_documents(documents: DataFrame, path: str, version: int = 1, shards: i
         "doc_id", (text_bytes(F.col("text")) + ROW_BYTES).alias("size"), text_crc(F.col("text")).alias("text_crc32"),
         record_slot(slots).alias("virtual_slot")).write.parquet(f"{path}/records")
     thin = spark.read.schema("doc_id long, size long, text_crc32 long, virtual_slot int").parquet(f"{path}/records")
-    save_map(slot_map(slot_totals(thin, slots), shards), f"{path}/map", version)
+    # The table is dealt for fewer shards first and then edited, as when shards are added: rows move with their slots only.
+    totals, before = slot_totals(thin, slots), max(1, shards - shards // GROWN)
+    save_map(slot_map(totals, before), f"{path}/map", version - 1)
+    save_map(slot_map(totals, shards, load_map(spark, f"{path}/map", version - 1)), f"{path}/map", version)
     mapping = load_map(spark, f"{path}/map", version)
     return positions(assign(thin, mapping), mapping).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -119,7 +126,14 @@ def shard_documents(documents: DataFrame, path: str, version: int = 1, shards: i
 
 
 def sharded_documents(documents: DataFrame, path: str, version: int = 1, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """``documents`` with virtual_slot and shard; the slot table is stored under ``path``. Texts are not shuffled."""
-    sized = documents.select((text_bytes(F.col("text")) + ROW_BYTES).alias("size"), record_slot(slots).alias("virtual_slot"))
+    """``documents`` with virtual_slot and shard; the slot table is stored under ``path``. Texts are not shuffled.
+
+    Columns of these two names are replaced, others may have any name. A null text has no bytes, rows that repeat each other
+    share a slot, and an empty table gives no rows.
+    """
+    slot = record_slot(slots).alias("virtual_slot")
+    sized = documents.select((text_bytes(F.col("text")) + ROW_BYTES).alias("size"), slot)
     save_map(slot_map(slot_totals(sized, slots), shards), path, version)
-    return assign(documents.withColumn("virtual_slot", record_slot(slots)), load_map(documents.sparkSession, path, version))
+    mapping = load_map(documents.sparkSession, path, version)
+    rows = documents.select(slot, F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    return unpacked(assign(rows, mapping), documents.columns, virtual_slot=F.col("virtual_slot"), shard=F.col("shard"))
