@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from agoralake.llm.common import ascii_lower, broadcast_if_small
+from agoralake.llm.common import ascii_lower, broadcast_if_small, packed, unpacked
 from agoralake.session import stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -140,12 +140,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` without a benchmark window, all columns kept.
+    """The rows of ``documents`` without a benchmark window, all columns kept, whatever their names.
 
     Contaminated rows are found by their key; only keys are joined against, and texts are shuffled only if those keys are
     too many to be broadcast.
     """
     _, matches = find_matches(documents, benchmark)
     bad = stored(matches.select(F.col("row_key").alias("_row"), F.col("doc_key").alias("_doc")).distinct(), "contaminated")
-    return documents.join(broadcast_if_small(bad, 32), (F.xxhash64("doc_id", "text") == F.col("_row")) & (
-        F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("_doc")), "left_anti")
+    clean = packed(documents).join(broadcast_if_small(bad, 32), (F.xxhash64("row.doc_id", "row.text") == F.col("_row")) & (
+        F.coalesce("row.doc_id", F.lit(-(1 << 63))) == F.col("_doc")), "left_anti")
+    return unpacked(clean, documents.columns)

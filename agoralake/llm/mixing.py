@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from agoralake.llm.common import broadcast_if_small
+from agoralake.llm.common import broadcast_if_small, packed, unpacked
 from agoralake.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -105,10 +105,11 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int
 def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
     """The rows of ``documents``, each whole and as often as the mix takes it, all columns kept.
 
-    Rows without words are left out. Rows that repeat each other whole are taken equally often.
+    Rows without words are left out. Rows that repeat each other whole are taken equally often. An empty table gives no rows,
+    null texts and sources are as in ``mix``, and columns may have any name.
     """
     picks = mix(documents, **settings).filter("copies > 0").groupBy(
         F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_row")).agg(F.max("copies").alias("_copies"))
-    same = documents["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(documents["text"]) == F.col("_row"))
-    taken = documents.join(broadcast_if_small(stored(picks, "mix-picks"), 40), same)
-    return taken.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*documents.columns)
+    same = F.col("row.doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("row.text") == F.col("_row"))
+    taken = packed(documents).join(broadcast_if_small(stored(picks, "mix-picks"), 40), same)
+    return unpacked(taken.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))), documents.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from agoralake.llm.common import broadcast_if_small, components
+from agoralake.llm.common import broadcast_if_small, components, packed, unpacked
 from agoralake.session import stored
 
 SHINGLE = 4
@@ -173,17 +173,18 @@ def near_duplicates(documents: DataFrame, most: int = BITS) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame, most: int = BITS) -> DataFrame:
-    """One row of each component of ``documents``, one with the smallest doc_id, all columns kept.
+    """One row of each component of ``documents``, one with the smallest doc_id, all columns kept, whatever their names.
 
     If rows share that doc_id, one of them stays. Rows without a doc_id stay unless they are like a row that has one.
     """
     rows = stored(grouped(documents, most), "grouped")
-    key = (documents["doc_id"].eqNullSafe(F.col("_doc"))) & (F.xxhash64(documents["text"]) == F.col("_hash"))
+    key = (F.col("row.doc_id").eqNullSafe(F.col("_doc"))) & (F.xxhash64("row.text") == F.col("_hash"))
     out = rows.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_hash")).distinct()
-    kept = documents.join(broadcast_if_small(stored(out, "near-duplicates"), 32), key, "left_anti")
+    kept = packed(documents).join(broadcast_if_small(stored(out, "near-duplicates"), 32), key, "left_anti")
     shared = rows.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(shared.select(F.col("doc_id").alias("_doc")), "shared-ids")
     if shared.isEmpty():
-        return kept
-    same = kept["doc_id"].eqNullSafe(F.col("_doc"))
-    return kept.join(shared, same, "left_anti").unionByName(kept.join(shared, same, "left_semi").dropDuplicates(["doc_id"]))
+        return unpacked(kept, documents.columns)
+    same = F.col("row.doc_id").eqNullSafe(F.col("_doc"))
+    apart, alike = (unpacked(kept.join(shared, same, how), documents.columns) for how in ("left_anti", "left_semi"))
+    return apart.unionByName(alike.dropDuplicates(["doc_id"]))

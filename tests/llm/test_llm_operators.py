@@ -304,6 +304,46 @@ def test_main_text_of_other_page_forms(page):
     test_main_text(page)
 
 
+def paragraph(k, n=20):
+    return " ".join(f"This is sentence {k * 100 + i} of the article with some words." for i in range(n))
+
+
+P = [f"<p>{paragraph(k)}</p>" for k in range(5)]
+
+
+@pytest.mark.parametrize("page,kept", [
+    (f"<body><article>{P[1]}<section class='related-work'>{P[2]}</section>{P[3]}</article></body>", (1, 2, 3)),
+    (f"<body><article>{P[1]}<div class='market-share'>{P[2]}</div>{P[3]}</article></body>", (1, 2, 3)),
+    (f"<body><div class=content>{P[1]}<div id='social-science'>{P[2]}</div>{P[3]}</div></body>", (1, 2, 3)),
+    ("<body>" + "".join(f"<div class='elementor-widget'>{p}</div>" for p in P) + "</body>", range(5)),
+    ("<body><div class=wrap>" + "".join(f"<div class='elementor-widget'>{p}</div>" for p in P) + "</div></body>", range(5)),
+    ("<body><article>" + "".join(f"<div class='widget'>{p}</div>" for p in P[:3]) + "</article></body>", range(3)),
+    (f"<body><article>{P[1]}<div class='related'><a href=a>One other story here</a> <a href=b>Two other stories</a></div>{P[2]}"
+     "<div class=social><a href=x>Share this on the network</a></div></article></body>", (1, 2)),
+    (f"<body><article>{P[1]}<div class='sidebar'>{P[2]}</div>{P[3]}<div class='ad'>{P[4][:90]}</p></div></article></body>", (1, 3)),
+    (f"<body><article>{P[1]}</article><div class='promo'>{P[2]}</div><div class='comments'>{P[3]}</div></body>", (1,)),
+])
+def test_names_cut_no_article_text(page, kept):
+    assert main_text(page) == "\n\n".join(paragraph(k) for k in kept)
+
+
+def test_headings_stay_whatever_their_class():
+    assert main_text(f"<body><article><h2 class='notice'>Notice of meeting</h2>{P[1]}</article></body>") == "Notice of meeting\n\n" + paragraph(1)
+
+
+def test_generated_pages_with_known_articles():
+    r = random.Random(17)
+    names = ["widget", "related-work", "market-share", "social", "promo-text", "notice", "overlay", "banner", "elementor-widget", "share", "intro", "body"]
+    furniture = ["<nav><ul><li><a href=a>Home page</a></li><li><a href=b>All news</a></li></ul></nav>", "<aside><p>See also this</p></aside>",
+                 "<div class='ad'>Buy this thing now for less.</div>", "<footer>All rights of the site</footer>", "<div class='menu'><a href=c>Top</a></div>"]
+    for _ in range(200):
+        parts = [paragraph(r.randrange(900), r.randint(3, 12)) for _ in range(r.randint(2, 6))]
+        wrapped = [f"<{t} class='{r.choice(names)}'><p>{p}</p></{t}>" if r.random() < 0.5 else f"<p>{p}</p>" for p in parts for t in [r.choice(["div", "section"])]]
+        inner = "".join(w + (r.choice(furniture[1:3]) if r.random() < 0.2 else "") for w in wrapped)
+        page = "<body>" + "".join(r.sample(furniture, 2)) + f"<article>{inner}</article>" + r.choice(furniture) + "</body>"
+        assert main_text(page) == "\n\n".join(parts)
+
+
 def test_pages(spark):
     deep = "<div>" * 5000 + "deep text of some length" + "</div>" * 5000
     rows = [(1, "u", None), (2, "u", ""), (3, None, "plain words"), (4, "u", "<p>a<p>b"), (5, "u", deep), (6, "u", "<p title=\"a"), (6, "u", "<p title=\"a"), (7, "u", "<script>x")]
@@ -440,6 +480,18 @@ def test_repeats_against_all_strings(spark, monkeypatch, block):
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
 
 
+def test_one_string_in_many_surroundings_is_not_built():
+    r = random.Random(31)
+    stem = b"https://example/path"
+    segments = [bytes(r.choice(b"abcdefgh") for _ in range(30)) + stem + bytes(r.choice(b"abcdefgh") for _ in range(30)) for _ in range(20_000)]
+    segments += [segments[5][2:72] for _ in range(3)]
+    windows = np.array([len(s) - 49 for s in segments])
+    runs = suffix_dedup._shared_runs(b"".join(segments), windows)
+    assert runs[:, 1].sum() < 200  # of some 600,000
+    first = np.cumsum(windows) - windows
+    assert {tuple(x) for x in runs.tolist()} == {(first[5] + 2, 21), *[(f, 21) for f in first[-3:]]}
+
+
 # --- 10: SimHash
 
 def plain_print(text):
@@ -489,3 +541,32 @@ def test_random_fingerprints_at_every_distance(spark):
     links = [(x["a"], x["b"]) for x in simhash.links(df).collect()]
     true = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
     assert groups_of(range(len(prints)), links) == groups_of(range(len(prints)), true)
+
+
+# --- extra columns that clash, and empty tables, for the forms that keep documents whole
+
+OWN_NAMES = ["removed", "n_lines", "n_removed", "shard", "virtual_slot", "_doc", "_row", "_copies", "_hash", "_again", "row", "copies", "score", "doc_key", "row_key", "fp", "rep", "size"]
+
+
+def with_own_names(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in OWN_NAMES)
+    return spark.createDataFrame([(*r[:4], *[f"{n}!" for n in OWN_NAMES]) for r in rows], schema).repartition(3)
+
+
+@pytest.mark.parametrize("name", ["quality", "near", "clean", "mixed", "sharded", "lines"])
+def test_columns_of_any_name_are_kept(spark, tmp_path, name):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, " ".join(awkward()[2][1].split()[:14]))], "item_id long, text string")
+    run = {
+        "quality": lambda d, p: quality.keep_good(d, labels), "near": lambda d, p: simhash.drop_near_duplicates(d),
+        "clean": lambda d, p: decontaminate.clean_documents(d, items), "mixed": lambda d, p: mixing.mixed_documents(d),
+        "sharded": lambda d, p: sharding.sharded_documents(d, p), "lines": lambda d, p: fuzzy_lines.dedup_lines(d)}[name]
+    own = {"sharded": {"shard", "virtual_slot"}, "lines": {"n_lines", "n_removed"}}.get(name, set())
+    docs = with_own_names(spark, awkward())
+    got = run(docs, str(tmp_path / "a"))
+    assert got.columns == docs.columns
+    rows, plain = got.collect(), run(documents(spark), str(tmp_path / "b")).collect()
+    assert Counter((x["doc_id"], x["text"]) for x in rows) == Counter((x["doc_id"], x["text"]) for x in plain)
+    assert all(x[n] == f"{n}!" for x in rows for n in OWN_NAMES if n not in own) and len(rows) > 5
+    assert all(x[n] != f"{n}!" for x in rows for n in own)
+    assert run(docs.limit(0), str(tmp_path / "c")).count() == 0
