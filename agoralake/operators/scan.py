@@ -7,6 +7,7 @@ of the pieces before it. The largest group any task sees is a piece, never a key
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -43,35 +44,34 @@ def running(rows: DataFrame, by: Sequence[str], order: Sequence[str], values: di
     ``inclusive=False`` the row itself is left out. ``per_key`` holds columns of one row per key that are wanted beside:
     they travel with the pieces, so a long key is not joined whole. An empty table gives no rows.
     """
-    by = list(by)
+    by, own = list(by), f"_{uuid.uuid4().hex[:8]}"  # a prefix that no column of the caller has
     ordered = [F.col(c).asc_nulls_first() for c in order]
     place = F.struct(*order)
     inner = Window.partitionBy(*by, PIECE).orderBy(*ordered).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     before = Window.partitionBy(*by).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     totals, carries, inside = [], [], {}
-    for out, (kind, column) in values.items():
+    for i, (kind, column) in enumerate(values.values()):
         c = F.lit(1).cast("bigint") if kind == "number" else F.col(column)
         if kind == "last":
-            totals.append(F.max_by(c, F.when(c.isNotNull(), place)).alias(f"_t_{out}"))
-            carries.append(F.last(f"_t_{out}", ignorenulls=True).over(before).alias(f"_c_{out}"))
-            inside[f"_i_{out}"] = F.last(c, ignorenulls=True).over(inner)
+            totals.append(F.max_by(c, F.when(c.isNotNull(), place)).alias(f"{own}_t{i}"))
+            carries.append(F.last(f"{own}_t{i}", ignorenulls=True).over(before).alias(f"{own}_c{i}"))
+            inside[f"{own}_i{i}"] = F.last(c, ignorenulls=True).over(inner)
         else:
             total = F.bit_xor if kind == "bit_xor" else F.sum
-            totals.append(total(c).alias(f"_t_{out}"))
-            carries.append(total(f"_t_{out}").over(before).alias(f"_c_{out}"))
-            inside[f"_i_{out}"] = total(c).over(inner)
-    pieces = rows.groupBy(*by, PIECE).agg(*totals)
+            totals.append(total(c).alias(f"{own}_t{i}"))
+            carries.append(total(f"{own}_t{i}").over(before).alias(f"{own}_c{i}"))
+            inside[f"{own}_i{i}"] = total(c).over(inner)
+    carried = rows.groupBy(*by, PIECE).agg(*totals).select(*by, PIECE, *carries)
     extra = [] if per_key is None else [c for c in per_key.columns if c not in by]
-    carried = pieces.select(*by, PIECE, *carries)
     if per_key is not None:
         carried = carried.join(per_key, by, "left")
-    carried = carried.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(by)], F.col(PIECE).alias("_p"),
-                             *[f"_c_{out}" for out in values], *extra)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(by)], F.col(PIECE) == F.col("_p"))
+    carried = carried.select(*[F.col(c).alias(f"{own}_k{i}") for i, c in enumerate(by)], F.col(PIECE).alias(f"{own}_p"),
+                             *[f"{own}_c{i}" for i in range(len(values))], *extra)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{own}_k{i}")) for i, c in enumerate(by)], F.col(PIECE) == F.col(f"{own}_p"))
     joined = rows.withColumns(inside).join(carried, same)
     return joined.select(*rows.columns, *extra, *[
-        _combined(kind, F.col(f"_c_{out}"), F.col(f"_i_{out}")).alias(out) for out, (kind, _) in values.items()])
+        _combined(kind, F.col(f"{own}_c{i}"), F.col(f"{own}_i{i}")).alias(out) for i, (out, (kind, _)) in enumerate(values.items())])
 
 
 def fill_forward(df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

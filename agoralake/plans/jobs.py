@@ -10,7 +10,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from agoralake import schemas
 from agoralake.operators import feature_table, windows
@@ -535,6 +535,7 @@ def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None
     Scored posts are written once and read back, so every later step starts from stored columns. With ``resume`` only posts
     from the stored high-water marks on are scored (by time of the post, and late ones by time of cleaning); they join the
     scored posts of earlier runs. Scores go back to the gold rows of the days that were scored, and the daily view follows.
+    Texts the scorer fails on go to the quarantine, weigh in no mean, and their number is in the ledger.
     """
     root, run_id = lake.root.rstrip("/"), new_run_id()
     path, marks = f"{root}/analysis/{run_id}", f"{root}/ops/high_water_mark"
@@ -550,7 +551,13 @@ def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None
         cleaned_after = None if mark["ultima_limpieza"] is None else F.lit(mark["ultima_limpieza"])
     contexts = stored("contexts", load_contexts(lake, since, cleaned_after))
     rows = layers.with_intention(layers.standardise(contexts))
-    scored = stored("new_scored", scorers.with_sentiment(rows, scorer))
+    counted = Observation(f"scored-{run_id}")
+    every = stored("judged", scorers.with_sentiment(rows, scorer).observe(
+        counted, F.count(F.lit(1)).alias("rows"), F.count("score_error").alias("failed")))
+    scored = stored("new_scored", every.where("score_error is null").drop("score_error"))
+    failed = every.where("score_error is not null")
+    lake.quarantine().write(quarantine_rows(failed.withColumn("error", F.col("score_error")), run_id, "analysis"), now_micros(), f"analysis-{run_id}")
+    lake.ledger().start("analysis", rows_in=counted.get["rows"], run_id=run_id)
     if write_back:
         days = [r["event_day"] for r in contexts.select("event_day").distinct().collect()]
         write_scores(lake, model_results(scored), days, run_id)
@@ -574,4 +581,6 @@ def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None
     if period:
         out["parlamentarias_candidato_red"] = windows.period_scores(scored, "candidatos", *period)
         out["parlamentarias_partido_red"] = windows.period_scores(scored, "partidos", *period)
+    n, bad = counted.get["rows"], counted.get["failed"]
+    lake.ledger().finish(run_id, "success", rows_out=n - bad, quality_summary={"texts_failed": bad})
     return out

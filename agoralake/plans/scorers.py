@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from agoralake.functions import scoring
 from agoralake.functions.text import first_chars
 
-RESULT = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
+RESULT = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("error", T.StringType())])
 BATCH = 64
 
 
@@ -67,8 +67,23 @@ class BatchModel:
         raise NotImplementedError
 
 
+def judged(model: BatchModel, texts: list[str]) -> list[tuple[str, float, str | None]]:
+    """(label, probability, error) per text. A batch the model fails on is halved until the texts at fault are alone; they are
+    neutral, 0, and have the error. ``k`` such texts among ``n`` cost about 2 k log2(n) further calls."""
+    try:
+        found = [(str(label), float(p), None) for label, p in model.predict(texts)]
+        if len(found) != len(texts):
+            raise ValueError("a model must return one result per text")
+        return found
+    except Exception as exc:  # noqa: BLE001 - a failing text must not end the job, nor take others with it
+        if len(texts) == 1:
+            return [("NEU", 0.0, f"{type(exc).__name__}: {exc}"[:500])]
+        half = len(texts) // 2
+        return judged(model, texts[:half]) + judged(model, texts[half:])
+
+
 class ModelScorer(TextScorer):
-    """Runs a ``BatchModel`` in Arrow batches. A batch the model fails on is scored neutral, 0.
+    """Runs a ``BatchModel`` in Arrow batches; the result has a third field, ``error``, for texts the model fails on.
 
     ``max_chars`` is for a model with an input limit of its own; by default it gets whole texts.
     """
@@ -84,24 +99,17 @@ class ModelScorer(TextScorer):
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             model.load()
             for texts in batches:
-                texts = texts.fillna("")
-                rows: list[tuple[str, float]] = []
-                for start in range(0, len(texts), size):
-                    part = texts.iloc[start:start + size].tolist()
-                    try:
-                        found = [(str(label), float(p)) for label, p in model.predict(part)]
-                        if len(found) != len(part):
-                            raise ValueError("a model must return one result per text")
-                    except Exception:  # noqa: BLE001 - a failing batch must not end the job
-                        found = [("NEU", 0.0)] * len(part)
-                    rows.extend(found)
-                yield pd.DataFrame(rows, columns=["label", "score"])
+                texts = texts.fillna("").tolist()
+                rows = [r for start in range(0, len(texts), size) for r in judged(model, texts[start:start + size])]
+                yield pd.DataFrame(rows, columns=["label", "score", "error"])
 
         return score(text if self.max_chars is None else first_chars(text, self.max_chars))
 
 
 def with_sentiment(rows: DataFrame, scorer: TextScorer, text: str = "texto_usuario_norm") -> DataFrame:
-    """Add ``score`` (sign times probability) and ``sentimiento`` to rows that have a date."""
+    """Add ``score`` (sign times probability), ``sentimiento`` and ``score_error`` to rows that have a date. A row whose text the
+    scorer failed on is neutral, 0, and has an error; who takes means should leave it out."""
     scored = rows.where(F.col("fecha").isNotNull()).withColumn("_r", scorer.result(F.col(text)))
-    scored = scored.withColumn("score", scoring.signed_score(F.col("_r.label"), F.col("_r.score"))).drop("_r")
+    error = F.col("_r.error") if "error" in scored.schema["_r"].dataType.names else F.lit(None).cast("string")
+    scored = scored.withColumns({"score": scoring.signed_score(F.col("_r.label"), F.col("_r.score")), "score_error": error}).drop("_r")
     return scored.withColumn("sentimiento", scoring.sentiment_class(F.col("score")))

@@ -204,6 +204,8 @@ def test_model_scorer_survives_a_bad_batch(spark):
     df = spark.createDataFrame([(t, NOW) for t in ("uno", "malo", "tres")], "texto_usuario_norm string, fecha timestamp").coalesce(1)
     got = scorers.with_sentiment(df, scorers.ModelScorer(Picky(), batch=1)).collect()
     assert [(r["score"], r["sentimiento"]) for r in got] == [(0.9, "positivo"), (0.0, "neutro"), (0.9, "positivo")]
+    whole = scorers.with_sentiment(df, scorers.ModelScorer(Picky())).collect()  # one batch: only the text at fault is lost
+    assert [(r["score"], r["score_error"]) for r in whole] == [(0.9, None), (0.0, "ValueError: "), (0.9, None)]
     assert scorers.ModelScorer(Picky()).info() == {"model_name": "unknown", "version": "0.0"}
 
 
@@ -383,6 +385,22 @@ def test_tables_are_folded_by_rule(spark, lake, tmp_path):
     assert not broken.exists() and table.latest().count() == 1
 
 
+def test_texts_a_model_fails_on_are_counted_and_kept_apart(lake, tmp_path):
+    class Picky(scorers.BatchModel):
+        def predict(self, texts):
+            if any("seven" in t for t in texts):
+                raise ValueError("seven")
+            return [("POS", 0.5)] * len(texts)
+    extra = "70,paz,2026-05-19 11:00:00,u,el pacto historico va por el seven hoy,1,1,1\n"
+    jobs.run_batch(lake, tweets(tmp_path / "a.csv", extra=extra), "twitter")
+    got = jobs.run_analysis(lake, scorers.ModelScorer(Picky()))
+    assert got["scored"].count() == 12 and got["ranking"].first()["menciones_total"] == 12
+    kept = lake.quarantine().latest().where("source = 'analysis'").collect()
+    assert len(kept) == 1 and kept[0]["error"] == "ValueError: seven" and "tw_70" in kept[0]["payload"]
+    run = [r for r in statuses(lake).values() if r["flow_name"] == "analysis"][0]
+    assert (run["rows_in"], run["rows_out"], run["quality_summary"]) == (13, 12, {"texts_failed": "1"})
+
+
 def test_landing_and_alerts_are_stored(lake, tmp_path):
     out = jobs.run_landing(lake, tweets(tmp_path / "a.csv"), "twitter")
     assert out["rows"] == 12 and lake.landing().latest().count() == 12
