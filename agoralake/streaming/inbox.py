@@ -132,6 +132,24 @@ def stream_posts(lake: Lake, inbox: str, source: str, checkpoint: str, once: boo
     return _start(paths.writeStream.foreachBatch(_new_files_only(lake, source, context, stream, read)), checkpoint, once, every)
 
 
+def unique_rows(rows: DataFrame, keys: Sequence[str], arrived: str, within: str) -> DataFrame:
+    """A stream without rows whose keys came before within a span of time. The state holds the keys of that span only; repeats
+    of older ones are for the table to find."""
+    return rows.withWatermark(arrived, within).dropDuplicatesWithinWatermark(list(keys))
+
+
+def stream_rows(lake: Lake, rows: DataFrame, source: str, checkpoint: str, keys: Sequence[str], arrived: str, within: str = "2 days",
+                once: bool = True, every: str = RESCAN, context: str = "posts") -> StreamingQuery:
+    """A stream of rows in a source's layout, with a time of arrival, into raw and silver.
+
+    Repeats that follow each other closely never reach a batch; those that come after ``within`` are dropped by the ids of silver.
+    """
+    handle = post_batch(lake, source, context, f"rows-{stream_id(rows.sparkSession, checkpoint)}")
+    if "file_path" not in rows.columns:
+        rows = rows.withColumn("file_path", F.lit(None).cast("string"))
+    return _start(unique_rows(rows, keys, arrived, within).drop(arrived).writeStream.foreachBatch(handle), checkpoint, once, every)
+
+
 def stream_videos(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,
                   files_per_trigger: int | None = None) -> StreamingQuery:
     """Video files (``*_videos.csv``) of one source into its video table; other files are left to ``stream_posts``."""
