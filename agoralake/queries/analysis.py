@@ -275,7 +275,7 @@ def _means(kind: int, names: list[str], source: str) -> dict[str, str]:
 _MEANS = {**_means(1, SEGMENTS, "p1"), **_means(2, REGIONS, "p2")}
 V_MOMENTUM = "mom as (select ventana, " + ", ".join(
     f"avg(case when candidato = '{c}' then menciones end) as \"M_{c}\"" for c in SEGMENTS) + f"""
-  from (select *, cast((fecha - {ORIGIN}) // 3 as int) as ventana from mentions where medio = '5-LOW') group by 1)"""
+  from (select *, cast((fecha - {ORIGIN}) // 3 as int) as ventana from mentions) group by 1)"""
 _FILLED = {f"ENC_{c}": f"""last_value("ENC_{c}" ignore nulls) over (order by coalesce(p1.ventana, p2.ventana)
   rows unbounded preceding)""" for c in SEGMENTS}
 _FEATURES = [*_C1, *_C2, *_MEANS, *_FILLED, *[f"M_{c}" for c in SEGMENTS]]
@@ -296,7 +296,7 @@ V_FEATURES = ",\n".join([
 
 def window_momentum(t: Tables) -> DataFrame:
     start = wn.first_day(t.opinions(), "fecha")
-    rows = t.mentions().where(F.col("medio") == "5-LOW").withColumn("_o", start)
+    rows = t.mentions().withColumn("_o", start)
     rows = rows.withColumn("ventana", timefn.window_index(F.col("fecha"), F.col("_o")))
     wide = rows.withColumn("c", F.concat(F.lit("M_"), "candidato")).groupBy("ventana").pivot(
         "c", [f"M_{c}" for c in SEGMENTS]).agg(F.avg("menciones"))

@@ -55,9 +55,22 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_MADE: list[str] = []  # work paths of this process
+
+
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _MADE[-1]
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete the work folders this process has made, once nothing that reads them is still to run. Returns how many there were."""
+    n = len(_MADE)
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
