@@ -10,7 +10,9 @@ transform by symbol, read and rewritten from front to back; common prefixes (up
 where they are 1 plus the least common prefix between two equal symbols. At most 80 rounds are needed, and a collection is
 cut at minimizer borders to about PIECE bytes, so the transform stays in memory and no local files are written.
 
-Only segments whose minimizer two documents share are built, and equal segments are built once. Work moves between tasks
+Only segments whose minimizer two documents share are sent, and equal segments are sent once a block. Of these the
+transform is built over the stretches whose windows have a hash that occurs twice, equal stretches once: a string that stands in
+always different surroundings costs its own length and not theirs. Work moves between tasks
 as packed arrays: texts are kept in stored blocks, a block sends each bucket its distinct minimizers (so a passage that a
 third of all documents hold arrives once a block), gets back which of them repeat, sends the segments that may match, and
 gets back the least doc_id of every window.
@@ -35,7 +37,7 @@ SPAN = WINDOW - PART + 1        # parts in a window; also the most windows in a
 BLOCK_BYTES = 2 << 20           # texts packed into one row
 BUCKET_BYTES = 4 << 20          # text for which one bucket is made
 STRIP = 1 << 16                 # windows hashed at a time
-PIECE = 1 << 19                 # bytes of segments sorted together
+PIECE = 1 << 20                 # bytes of segments looked at together
 END = 255                       # no byte of UTF-8: stands before a segment's first byte
 NONE = np.iinfo(np.int64).max
 
@@ -261,6 +263,55 @@ def window_minima(segments: list[bytes], least: np.ndarray) -> np.ndarray:
     return out
 
 
+def _shared_runs(text: bytes, windows: np.ndarray) -> np.ndarray:
+    """(first window, windows) of the runs of windows whose hash occurs twice, in segments that follow each other in ``text``.
+
+    A window whose hash no other has is like no other, so its least document is its segment's; the transform decides on the rest.
+    """
+    n = int(windows.sum())
+    places = _ranges(np.cumsum(windows + WINDOW - 1) - windows - WINDOW + 1, windows)
+    factor = np.full(len(text) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    factor[:1] = 1
+    power = np.cumprod(factor)
+    back = np.full(len(text) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), dtype=np.uint64)
+    back[:1] = 1
+    back = np.cumprod(back)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((np.frombuffer(text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)) * power[:-1])))
+    h = (sums[places + WINDOW] - sums[places]) * back[places]
+    order = np.argsort(h ^ (h >> np.uint64(32)), kind="stable")
+    alike = np.zeros(n + 1, dtype=bool)
+    alike[1:n] = h[order][1:] == h[order][:-1]
+    shared = np.empty(n, dtype=bool)
+    shared[order] = alike[:n] | alike[1:]
+    begins = np.zeros(n, dtype=bool)
+    begins[(np.cumsum(windows) - windows)] = True
+    first = np.flatnonzero(shared & (begins | np.concatenate(([True], ~shared[:-1]))))
+    last = np.flatnonzero(shared & np.concatenate((begins[1:] | ~shared[1:], [True])))
+    return np.stack((first, last - first + 1), axis=1)
+
+
+def _least_of_windows(segments: list[bytes], least: np.ndarray) -> np.ndarray:
+    """As ``window_minima``, which is asked only about stretches that may repeat, equal ones once."""
+    windows = np.array([len(s) for s in segments], dtype=np.int64) - WINDOW + 1
+    text, result = b"".join(segments), np.repeat(least, windows)
+    runs = _shared_runs(text, windows)
+    if not len(runs):
+        return result
+    owner = np.searchsorted(np.cumsum(windows), runs[:, 0], side="right")
+    start = runs[:, 0] + owner * (WINDOW - 1)  # in bytes: each segment has so many more of them than windows
+    parts, lowest, number = {}, [], np.empty(len(runs), dtype=np.int64)
+    for k, (s, n, d) in enumerate(zip(start.tolist(), runs[:, 1].tolist(), least[owner].tolist())):
+        j = number[k] = parts.setdefault(text[s:s + n + WINDOW - 1], len(lowest))
+        if j == len(lowest):
+            lowest.append(d)
+        elif d < lowest[j]:
+            lowest[j] = d
+    count = np.array([len(p) for p in parts], dtype=np.int64) - WINDOW + 1
+    found = window_minima(list(parts), np.array(lowest, dtype=np.int64))
+    result[_ranges(runs[:, 0], runs[:, 1])] = found[_ranges((np.cumsum(count) - count)[number], runs[:, 1])]
+    return result
+
+
 def _sorted_bucket(table: pa.Table) -> pa.Table:
     """All segments sent to a bucket: for each block, the least doc_id of every window of its segments."""
     merged: dict[bytes, int] = {}
@@ -289,8 +340,7 @@ def _sorted_bucket(table: pa.Table) -> pa.Table:
         while hi < len(order) and minimizer[order[hi]] == minimizer[order[hi - 1]]:
             hi += 1
         mine = order[lo:hi]
-        minima = window_minima([segments[k] for k in mine.tolist()], least[mine])
-        result[_ranges(base[mine], windows[mine])] = minima
+        result[_ranges(base[mine], windows[mine])] = _least_of_windows([segments[k] for k in mine.tolist()], least[mine])
         lo = hi
     return pa.table({
         "block": table["block"], "bucket": table["bucket"],
