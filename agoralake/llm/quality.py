@@ -166,9 +166,8 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` with a score of THRESHOLD or more, all columns kept, whatever their names.
 
-    Statistics for the fit are made of labelled documents only. Null, empty and repeated texts are scored as by
+    Texts are read twice, for the fit and for their scores, and never shuffled. Null, empty and repeated texts are scored as by
     ``score_documents``; without labels all scores are equal and below THRESHOLD, so nothing stays; an empty table gives no rows.
     """
-    labelled = documents.select("doc_id", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    model = fit(stored(document_statistics(labelled), "document-statistics"), labels)
+    model = fit(stored(document_statistics(documents), "document-statistics"), labels)
     return documents.filter(text_score(model)(F.col("text")) >= THRESHOLD)
