@@ -51,12 +51,28 @@ fill as (select 0 as step, source, s, w, 2 * s as cap, false as capped, 0::doubl
   select step + 1, source, s, w, cap, capped or share >= cap, least(cap, share) from (
     select *, case when capped then cap else w * (1.5 * sum(s) over () - coalesce(sum(case when capped then cap end) over (), 0)) / sum(case when not capped then w end) over () end as share from fill where step < (select count(*) from src))),
 goal as (select source, s, t, case when s > 0 then cast(round(t / s * 512) as bigint) else 0 end as q from fill where step = (select count(*) from src)),
-run as (select d.*, cast(s as bigint) as s, t, (q * cast(s as bigint)) // 512 as drawn,
+run as (select d.*, cast(s as bigint) as s, t,
   cast(sum(size) over (partition by d.source order by h, doc_id, size rows unbounded preceding) as bigint) - size as pos
-  from d join goal on d.source is not distinct from goal.source)
-select doc_id, cast(size as bigint) as size, s as source_size, round(t, 6) as target,
-  cast(greatest(0, least(size, drawn - pos)) + greatest(0, least(size, drawn - s - pos)) as bigint) as taken
-from run
+  from d join goal on d.source is not distinct from goal.source),
+u0 as (select source, 0 as shard, unnest(range(q)) as draw from goal),
+u1 as (select source, draw, shard * 2 + (row_number() over (partition by shard order by md5('7:0:' || draw || coalesce('=' || source, '')), source nulls first, draw)
+  > ceil(count(*) over (partition by shard) / 2))::int as shard from u0),
+u2 as (select source, draw, shard * 2 + (row_number() over (partition by shard order by md5('7:1:' || draw || coalesce('=' || source, '')), source nulls first, draw)
+  > ceil(count(*) over (partition by shard) / 2))::int as shard from u1),
+u3 as (select source, draw, shard * 2 + (row_number() over (partition by shard order by md5('7:2:' || draw || coalesce('=' || source, '')), source nulls first, draw)
+  > ceil(count(*) over (partition by shard) / 2))::int as shard from u2),
+u4 as (select source, draw, shard * 2 + (row_number() over (partition by shard order by md5('7:3:' || draw || coalesce('=' || source, '')), source nulls first, draw)
+  > ceil(count(*) over (partition by shard) / 2))::int as shard from u3),
+u5 as (select source, draw, shard * 2 + (row_number() over (partition by shard order by md5('7:4:' || draw || coalesce('=' || source, '')), source nulls first, draw)
+  > ceil(count(*) over (partition by shard) / 2))::int as shard from u4),
+hit as (select run.doc_id, run.h, u5.draw, u5.shard, least(pos + size, (u5.draw % 512 + 1) * s // 512) - greatest(pos, (u5.draw % 512) * s // 512) as words
+  from run join u5 on run.source is not distinct from u5.source
+    and (u5.draw % 512) between ((pos + 1) * 512 - 1) // s and ((pos + size) * 512 - 1) // s where size > 0),
+own as (select doc_id, cast(sum(words) as bigint) as taken, string_agg(draw || ':' || shard || ':' || words, ',' order by draw) as draws,
+    arg_min(shard, draw) as shard, arg_min(md5('place' || h || draw), draw) as place from hit where words > 0 group by doc_id)
+select run.doc_id, cast(size as bigint) as size, s as source_size, round(t, 6) as target, coalesce(taken, 0) as taken,
+  cast(own.shard as int) as shard, own.place, coalesce(draws, '') as draws
+from run left join own using (doc_id)
 """
 
 
@@ -83,8 +99,10 @@ def op2_benchmark_decontamination(spark, table):
 
 @query(OP3_SQL)
 def op3_source_mixing(spark, table):
+    first = F.get("draws", F.lit(0))
     return mixing.mix(table("documents")).select(
-        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", first["shard"].alias("shard"), first["place"].alias("place"),
+        F.array_join(F.transform("draws", lambda x: F.concat_ws(":", x["draw"], x["shard"], x["words"])), ",").alias("draws"))
 
 
 @query()

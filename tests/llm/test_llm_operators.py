@@ -159,6 +159,32 @@ def test_mixing_reaches_targets(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [7, 512])
+def test_dealt_blocks_decide_what_is_taken(spark, blocks):
+    r = random.Random(9)
+    rows = [(i, prose(r, r.randint(0, 40)), None, r.choice(["a"] * 6 + ["b", None]), 0, "") for i in range(300)]
+    whole = [x.asDict(True) for x in mixing.mix(documents(spark, rows), blocks=blocks, levels=3).collect()]
+    words = defaultdict(int)
+    for x in whole:
+        assert x["taken"] == sum(d["words"] for d in x["draws"])
+        for d in x["draws"]:
+            words[x["source"], d["draw"]] += d["words"]
+            assert 0 <= d["shard"] < 8
+    quota = {x["source"]: round(x["target"] / x["source_size"] * blocks) for x in whole}
+    for s, q in quota.items():  # every drawn block gives all of its words, no other gives any
+        size = next(x["source_size"] for x in whole if x["source"] == s)
+        for d in range(q + 3):
+            k = d % blocks
+            assert words[s, d] == ((k + 1) * size // blocks - k * size // blocks if d < q else 0)
+    copies = mixing.copies_of(mixing.mix(documents(spark, rows), blocks=blocks, levels=3), blocks).collect()
+    at = {x["doc_id"]: x for x in whole}
+    assert Counter(c["doc_id"] for c in copies) == Counter({x["doc_id"]: x["copies"] for x in whole if x["copies"]})
+    for c in copies:
+        own = [d for d in at[c["doc_id"]]["draws"] if d["draw"] // blocks == c["copy"]]
+        assert max(own, key=lambda d: d["words"])["words"] == next(d["words"] for d in own if d["place"] == c["place"])
+        assert (c["shard"], c["place"]) in {(d["shard"], d["place"]) for d in own}
+
+
 def test_splitting_tree_keeps_quotas(spark):
     quotas = spark.createDataFrame([("a", 300), (None, 41), ("z", 0)], "source string, quota long")
     units = mixing.split_quotas(quotas, levels=3).collect()
@@ -242,6 +268,20 @@ def test_vocabulary_counts(spark, tmp_path):
     assert token_counts.maintained_counts(documents(spark, []), str(tmp_path / "e")).count() == 0
 
 
+def test_maintained_counts_against_plain_totals(spark, tmp_path):
+    rows = awkward(n=200) + [(5000 + i, f"line {i % 9}\nmore words", "en", "web", 0, "") for i in range(80)]
+    first = {}
+    for d, t, *_ in rows:
+        if d is not None and t is not None:
+            first[t] = min(d, first.get(t, d))
+    gone = {d for d, t, *_ in rows if d is not None and t is not None and first[t] < d}
+    want = plain_totals([x for x in rows if x[0] not in gone])
+    got = token_counts.maintained_counts(documents(spark, rows), str(tmp_path / "m")).filter("tokenizer = 'words@1'").collect()
+    assert {(x["source"], x["lang"]): (x["docs"], x["tokens"]) for x in got} == want
+    entries = spark.read.parquet(str(tmp_path / "m/entries/batch=revisions"))
+    assert {x["source"] for x in entries.filter("docs < 0").select("source").distinct().collect()} == {"draft"} and entries.filter("docs > 0").count()
+
+
 # --- 6: sharding
 
 def test_slots_and_growth(spark, tmp_path):
