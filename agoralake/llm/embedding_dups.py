@@ -1,9 +1,12 @@
 """Near-duplicate vectors with a forest of random-projection trees.
 
-Vectors are unit length. Every tree splits them again and again by a random direction; a node's split value is a quantile
-of a bounded sample, chosen where few vectors lie near it. Vectors within MARGIN of the split go to both sides, so close
-pairs are seldom parted, and TREES trees with other directions make up for those that are. All vectors are indexed. How
-deep a vector goes follows from the size of its label, so labels of up to LEAF vectors are compared whole.
+Vectors are unit length. Every tree splits them again and again near the median of a random direction; a node takes one of FAN
+directions of its tree and level. Split values come from a bounded sample: a label with enough sampled vectors has trees of
+its own, the others share those of all. Where a node's sample ends, the medians of its last sampled ancestor over all
+deeper directions serve. Vectors within MARGIN of the split go to both sides, so close pairs are seldom parted. How often
+a pair at the threshold is parted all the same is estimated per level from the sample, and there are as many trees as make
+it miss all leaves in MISS of all cases. All vectors are indexed. How deep a vector goes follows from the size of its
+label; labels of up to LEAF vectors are compared whole, in one leaf.
 
 Vectors meet in leaves of one label and are compared by their cosine. A pair that shares several leaves is counted in the
 first of them only: each vector carries the list of its leaves. A leaf gives for each vector its number of links and one
@@ -13,7 +16,9 @@ own. Equal vectors of a label are one node with a weight.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from math import ceil, erf, exp, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -23,82 +28,157 @@ from agoralake.llm.common import components
 from agoralake.session import stored
 
 COSINE = 0.93
-TREES = 4
+MISS = 1e-4       # share of pairs at the threshold that may meet in no leaf, by which the number of trees follows
 LEAF = 256
-MARGIN = 0.5      # in standard deviations of the projected difference of two vectors at the threshold
-SAMPLE = 20_000   # vectors the split values are fitted to, at any size of the input
-NODE_SAMPLE = 64  # nodes with fewer of them use the level's common split value
+MARGIN = 0.25     # in standard deviations of the projected difference of two vectors at the threshold
+SAMPLE = 20_000   # vectors of one length the split values are fitted to, at any size of the input
+NODE_SAMPLE = 64  # nodes with fewer of them on a side use their ancestor's medians
+FAN = 4           # directions a level of a tree has
 PART = 4096
 SEED = 11
 
 
-def direction(tree: int, level: int, dim: int) -> np.ndarray:
-    r = np.random.default_rng((SEED, tree, level, dim)).standard_normal(dim)
-    return r / np.linalg.norm(r)
+def spread(dim: int, cosine: float) -> float:
+    """Standard deviation of the projected difference of two vectors at the threshold."""
+    return sqrt((2 - 2 * cosine) / dim)
 
 
-def margin(dim: int, cosine: float) -> float:
-    return MARGIN * np.sqrt(2 - 2 * cosine) / np.sqrt(dim)
+def directions(tree: int, depth: int, dim: int) -> np.ndarray:
+    """Unit columns: FAN directions for each level of a tree."""
+    r = np.random.default_rng((SEED, tree, dim)).standard_normal((max(depth, 1) * FAN, dim))
+    return (r / np.linalg.norm(r, axis=1, keepdims=True)).T
+
+
+def _direction_of(node: np.ndarray, level: int) -> np.ndarray:
+    """Which direction a node takes, by its heap number."""
+    return FAN * level + ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % FAN
 
 
 def _split_value(at: np.ndarray, near: float) -> float:
-    """Among the middle quantiles the one with the fewest values near it."""
+    """Of a few quantiles next to the median the one with the fewest values near it."""
     at = np.sort(at)
-    tried = np.quantile(at, [0.5, 0.45, 0.55, 0.4, 0.6, 0.35, 0.65, 0.3, 0.7])
+    tried = np.quantile(at, [0.5, 0.475, 0.525, 0.45, 0.55])
     return float(tried[np.argmin(np.searchsorted(at, tried + near) - np.searchsorted(at, tried - near))])
 
 
-def fit_forest(sample: np.ndarray, depth: int, trees: int, cosine: float) -> dict:
-    """Split values: per tree and level the common one, and per node (heap number) its own where the sample is large enough."""
-    dim, near = sample.shape[1], margin(sample.shape[1], cosine)
-    common, own = np.zeros((trees, depth)), [dict() for _ in range(trees)]
-    for t in range(trees):
-        nodes = {1: np.arange(len(sample))}
+def _fit_tree(at: np.ndarray, depth: int, near: float, wide: float) -> tuple[dict, dict, np.ndarray]:
+    """For projections of a sample on a tree's directions: split values by node, medians by node where the sample ends,
+    and per level how many values lie within half of ``wide`` on either side of the split."""
+    values, ends, dense = {}, {}, np.zeros((depth, 2))
+    nodes = {1: np.arange(len(at))}
+    for level in range(depth):
+        below = {}
+        for node, rows in nodes.items():
+            if len(rows) < 2 * NODE_SAMPLE:
+                ends[node] = np.median(at[rows], axis=0) if len(rows) else np.zeros(at.shape[1])
+                continue
+            x = at[rows, int(_direction_of(np.array([node]), level)[0])]
+            values[node] = value = _split_value(x, near)
+            dense[level] += np.count_nonzero(np.abs(x - value) < wide / 2), len(x)
+            for child, own in ((2 * node, rows[x < value]), (2 * node + 1, rows[x >= value])):
+                below[child] = own if len(own) >= NODE_SAMPLE // 4 else rows
+        nodes = below
+    return values, ends, dense
+
+
+def _met(dense: np.ndarray, depth: int) -> float:
+    """Estimated share of pairs at the threshold that stay together in one tree of this depth."""
+    z = 2 * MARGIN  # a pair is parted if its two vectors lie farther apart than both margins
+    over = 2 * (exp(-z * z / 2) / sqrt(2 * pi) - z * (1 - erf(z / sqrt(2))) / 2)
+    share, met = 0.0, 1.0
+    for level in range(depth):
+        if level < len(dense) and dense[level, 1]:
+            share = dense[level, 0] / dense[level, 1]
+        met *= max(1 - over * share, 0.01)
+    return met
+
+
+def trees_for(dense: np.ndarray, depth: int, miss: float) -> int:
+    """Trees with which a pair at the threshold meets nowhere in ``miss`` of all cases. Labels of one leaf need one."""
+    return 1 if depth == 0 else max(2, ceil(log(miss) / log(max(1 - _met(dense, depth), 1e-9))))
+
+
+def fit_forest(sample: np.ndarray, depth: int, cosine: float, miss: float = MISS) -> dict:
+    """Trees of split values over a sample of unit vectors, for labels up to ``depth`` levels deep."""
+    dim = sample.shape[1]
+    wide = spread(dim, cosine)
+
+    def tree(t: int) -> tuple[dict, dict, np.ndarray]:
+        return _fit_tree(sample @ directions(t, depth, dim), depth, MARGIN * wide, wide)
+
+    fitted = [tree(0)]
+    dense = fitted[0][2]
+    fitted += [tree(t) for t in range(1, trees_for(dense, depth, miss))]
+    arrays = []
+    for values, ends, _ in fitted:
+        split, end = sorted(values), sorted(ends)
+        arrays.append((np.array(split, dtype=np.int64), np.array([values[n] for n in split]), np.array(end, dtype=np.int64),
+                       np.array([ends[n] for n in end], dtype=np.float32).reshape(len(end), max(depth, 1) * FAN)))
+    return {"trees": arrays, "dense": dense, "depth": depth, "near": MARGIN * wide, "dim": dim, "miss": miss}
+
+
+def fit_forests(sample: np.ndarray, labels: list, depth: int, cosine: float, miss: float) -> dict:
+    """A forest for each label that two nodes' samples come from (so a bounded number), and one of all under None."""
+    forests = {None: fit_forest(sample, depth, cosine, miss)}
+    rows: dict[object, list[int]] = {}
+    for i, label in enumerate(labels):
+        rows.setdefault(label, []).append(i)
+    for label, own in rows.items():
+        if len(own) >= 2 * NODE_SAMPLE and len(own) < len(labels):
+            forests[label] = fit_forest(sample[own], depth, cosine, miss)
+    return forests
+
+
+def _row_of(sorted_nodes: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Where each node stands among sorted ones, -1 if it does not."""
+    if not len(sorted_nodes):
+        return np.full(len(node), -1)
+    i = np.minimum(np.searchsorted(sorted_nodes, node), len(sorted_nodes) - 1)
+    return np.where(sorted_nodes[i] == node, i, -1)
+
+
+def leaves_of(forest: dict, x: np.ndarray, depth: int) -> list[list[int]]:
+    """The leaves of unit vectors of one label that is ``depth`` levels deep, as tree and heap number in one integer, in order."""
+    out = [[] for _ in range(len(x))]
+    for t in range(trees_for(forest["dense"], depth, forest["miss"])):
+        split, value, end, median = forest["trees"][t]
+        row, node, last = np.arange(len(x)), np.ones(len(x), dtype=np.int64), np.full(len(x), -1)
+        at = x @ directions(t, forest["depth"], forest["dim"]) if depth else None
         for level in range(depth):
-            at = sample @ direction(t, level, dim)
-            common[t, level] = np.median(at) if len(at) else 0.0
-            below = {}
-            for node, rows in nodes.items():
-                if len(rows) < NODE_SAMPLE:
-                    continue
-                own[t][node] = value = _split_value(at[rows], near)
-                below[2 * node], below[2 * node + 1] = rows[at[rows] < value], rows[at[rows] >= value]
-            nodes = below
-    return {"common": common, "own": own, "trees": trees, "cosine": cosine, "dim": dim}
-
-
-def leaves_of(forest: dict, x: np.ndarray, depth: np.ndarray) -> list[list[int]]:
-    """The leaves of each unit vector, as tree and heap number in one integer, in order."""
-    near, out = margin(forest["dim"], forest["cosine"]), [[] for _ in range(len(x))]
-    for t in range(forest["trees"]):
-        row, node, level = np.arange(len(x)), np.ones(len(x), dtype=np.int64), 0
-        while True:
-            ends = depth[row] <= level
-            for r, n in zip(row[ends].tolist(), node[ends].tolist()):
-                out[r].append((t << 48) | n)
-            row, node = row[~ends], node[~ends]
-            if not len(row):
-                break
-            at = (x @ direction(t, level, forest["dim"]))[row]
-            own = forest["own"][t]
-            value = np.array([own.get(n, forest["common"][t, level]) for n in node.tolist()])
-            left, right = at < value + near, at >= value - near
-            row, node = np.concatenate((row[left], row[right])), np.concatenate((2 * node[left], 2 * node[right] + 1))
-            level += 1
+            ended = _row_of(end, node)
+            last = np.where(ended >= 0, ended, last)  # below the sample: the ancestor where it ended
+            way = _direction_of(node, level)
+            own = _row_of(split, node)
+            cut = np.zeros(len(node))
+            cut[own >= 0] = value[own[own >= 0]]
+            cut[own < 0] = median[last[own < 0], way[own < 0]]
+            p = at[row, way]
+            left, right = p < cut + forest["near"], p >= cut - forest["near"]
+            row, last = np.concatenate((row[left], row[right])), np.concatenate((last[left], last[right]))
+            node = np.concatenate((2 * node[left], 2 * node[right] + 1))
+        for r, n in zip(row.tolist(), node.tolist()):
+            out[r].append((t << 48) | n)
     return [sorted(v) for v in out]
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _indexed(forests: dict[int, dict]):
+    """forests: per vector length those of labels, and the shared one under None."""
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims, depth = batch.column(2).to_numpy(), batch.column(5).to_numpy()
-            for dim in np.unique(dims):
-                own = np.flatnonzero(dims == dim)
+            dims, labels, depths = batch.column(2).to_numpy(), batch.column(1).to_pylist(), batch.column(5).to_numpy()
+            rows: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(dims.tolist(), labels, depths.tolist())):
+                rows.setdefault(key, []).append(i)
+            for (dim, label, depth), own in rows.items():
                 part = batch.take(pa.array(own))
-                x = np.array(part.column(4).to_pylist(), dtype=np.float64)
-                x /= np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                leaves = leaves_of(forests[int(dim)], x, depth[own])
+                x = unit(np.array(part.column(4).to_pylist(), dtype=np.float64))
+                own_forests = forests[dim]
+                leaves = leaves_of(own_forests.get(label) or own_forests[None], x, depth) if depth else [[1]] * len(x)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), part.column(3),
                      pa.array([v.tobytes() for v in x], pa.binary()), pa.array(leaves, pa.list_(pa.int64()))],
@@ -113,12 +193,13 @@ def compare_cell(rep: np.ndarray, copies: np.ndarray, part: np.ndarray, x: np.nd
     np.fill_diagonal(near, False)
     if crossed:
         near &= part[:, None] != part[None, :]
-    code = {v: i for i, v in enumerate(sorted({v for own in leaves for v in own if v < leaf}))}
+    common = Counter(v for own in leaves for v in own if v < leaf)
+    code = {v: i for i, v in enumerate(sorted(v for v, n in common.items() if n > 1))}
     counted = near
     if code:
         has = np.zeros((len(rep), len(code)), dtype=np.float32)
         for i, own in enumerate(leaves):
-            has[i, [code[v] for v in own if v < leaf]] = 1
+            has[i, [code[v] for v in own if v in code]] = 1
         counted = near & ~(has @ has.T > 0)
     group = np.arange(len(rep))
     while True:
@@ -145,7 +226,7 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ok & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def near_vectors(embeddings: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, part: int = PART) -> DataFrame:
+def near_vectors(embeddings: DataFrame, cosine: float = COSINE, miss: float = MISS, leaf: int = LEAF, part: int = PART) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``embeddings`` (vec_id, embedding, label).
 
     Vectors without a label, null, empty or zero ones and those with null or non-finite entries link with nothing, nor do
@@ -163,13 +244,14 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, trees: int = TRE
         "depth", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / leaf))).cast("int")), "label-sizes")
     forests = {}
     for r in sizes.groupBy("dim").agg(F.sum("n").alias("n"), F.max("depth").alias("depth")).collect():  # one row per vector length
+        forests[r["dim"]] = {}
+        if r["depth"] == 0:
+            continue
         share = min(1.0, SAMPLE / r["n"])
         picked = nodes.filter((F.col("dim") == r["dim"]) & (F.pmod(F.xxhash64("h1"), F.lit(1 << 20)) <= share * (1 << 20)))
-        sample = np.array([x["v"] for x in picked.select("v").limit(SAMPLE).collect()] if r["depth"] else [], dtype=np.float64).reshape(-1, r["dim"])
-        if len(sample):
-            sample /= np.abs(sample).max(axis=1, keepdims=True)
-            sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-        forests[r["dim"]] = fit_forest(sample, r["depth"], trees, cosine)
+        rows = picked.select("label", "v").limit(SAMPLE).collect()
+        sample = unit(np.array([x["v"] for x in rows], dtype=np.float64).reshape(-1, r["dim"]))
+        forests[r["dim"]] = fit_forests(sample, [x["label"] for x in rows], r["depth"], cosine, miss)
     indexed = stored(nodes.join(sizes.select("label", "dim", "depth"), ["label", "dim"]).select(
         "rep", "label", "dim", "copies", "v", "depth").mapInArrow(
         _indexed(forests), "rep long, label string, dim int, copies long, unit binary, leaves array<long>"), "forest-index")
