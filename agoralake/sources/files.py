@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
+import time
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -205,6 +206,31 @@ def settled(files: DataFrame, as_of: Column, seconds: int) -> DataFrame:
     return files.where(F.unix_micros("modified") <= F.unix_micros(as_of) - seconds * 1_000_000)
 
 
+def wait_until_settled(spark: SparkSession, paths: Sequence[str], quiet: float, at_most: float = 3600.0) -> None:
+    """Return once none of these files has changed its length or time for ``quiet`` seconds. Their content is not read.
+
+    A file that still changes after ``at_most`` seconds raises TimeoutError, so that whoever waits comes back to it. Storage
+    whose files appear whole needs no such wait. No files, or no wait, return at once.
+    """
+    if not paths or quiet <= 0:
+        return
+
+    def state() -> dict:
+        listed = spark.read.format("binaryFile").load(list(paths)).select("path", "length", F.unix_micros("modificationTime").alias("at"))
+        return {r["path"]: (r["length"], r["at"]) for r in listed.collect()}  # the files of one trigger
+
+    until, before = time.monotonic() + at_most, state()
+    while True:
+        time.sleep(quiet)
+        now = state()
+        if now == before:
+            return
+        if time.monotonic() > until:
+            changed = sorted(p for p, v in now.items() if before.get(p) != v)
+            raise TimeoutError(f"files still change: {', '.join(changed[:5])}")
+        before = now
+
+
 FILE_SCHEMA = schemas.T.StructType(
     [schemas.T.StructField(c, schemas.S) for c in ("source_sha256", "file_path", "run_id")])
 

@@ -2,7 +2,8 @@
 
 The stream carries the paths of new files only; each batch reads its files by their own headers, as the batch job does. The
 file source remembers in its checkpoint which files it has seen, so a restart adds nothing and no file is taken twice.
-Writers should rename finished files into the inbox; the source does not wait for a file to stop growing.
+Writers should rename finished files into the inbox. Where they cannot, ``quiet`` makes a batch wait until its files have kept
+their length and time for so many seconds: the source gives a path once, so what is written later would never be read.
 
 Runs are named after an id kept with the checkpoint, so streams that write to one lake never take each other's place.
 """
@@ -121,15 +122,25 @@ def _new_files_only(lake: Lake, source: str, context: str, stream: str, read: Ca
     return handle
 
 
+def _when_settled(spark: SparkSession, quiet: float, handle: Callable[[DataFrame, int], None]):
+    """Hand on a batch of paths when none of its files grows any more. A batch that waited in vain fails and is tried again."""
+    def wait(batch: DataFrame, batch_id: int) -> None:
+        if quiet > 0:
+            files.wait_until_settled(spark, [r["path"] for r in batch.select("path").collect()], quiet)  # a trigger's paths are few
+        handle(batch, batch_id)
+    return wait
+
+
 def stream_posts(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,
                  files_per_trigger: int | None = None, archive: str | None = None,
-                 context: str = "posts") -> StreamingQuery:
-    """Comment files of one source into raw and silver."""
+                 context: str = "posts", quiet: float = 0) -> StreamingQuery:
+    """Comment files of one source into raw and silver. With ``files_per_trigger=1`` a file that grows delays no other of its batch."""
     paths = inbox_stream(lake.spark, inbox, source, files_per_trigger, archive)
     stream = f"inbox-{stream_id(lake.spark, checkpoint)}"
     columns = [] if source == "external" else schemas.COMMENT_CSV[source]
     read = _by_file(lake, False, columns, post_batch(lake, source, context, stream))
-    return _start(paths.writeStream.foreachBatch(_new_files_only(lake, source, context, stream, read)), checkpoint, once, every)
+    handle = _when_settled(lake.spark, quiet, _new_files_only(lake, source, context, stream, read))
+    return _start(paths.writeStream.foreachBatch(handle), checkpoint, once, every)
 
 
 def unique_rows(rows: DataFrame, keys: Sequence[str], arrived: str, within: str) -> DataFrame:
@@ -151,7 +162,7 @@ def stream_rows(lake: Lake, rows: DataFrame, source: str, checkpoint: str, keys:
 
 
 def stream_videos(lake: Lake, inbox: str, source: str, checkpoint: str, once: bool = True, every: str = RESCAN,
-                  files_per_trigger: int | None = None) -> StreamingQuery:
+                  files_per_trigger: int | None = None, quiet: float = 0) -> StreamingQuery:
     """Video files (``*_videos.csv``) of one source into its video table; other files are left to ``stream_posts``."""
     own = stream_id(lake.spark, checkpoint)
 
@@ -162,7 +173,8 @@ def stream_videos(lake: Lake, inbox: str, source: str, checkpoint: str, once: bo
         lake.videos(source).write(dedupe(good, ["video_id"], ["file_path", "file_order"]), seq, run_id)
 
     paths = inbox_stream(lake.spark, inbox, source, files_per_trigger)
-    return _start(paths.writeStream.foreachBatch(_by_file(lake, True, schemas.VIDEO_CSV[source], handle)), checkpoint, once, every)
+    read = _when_settled(lake.spark, quiet, _by_file(lake, True, schemas.VIDEO_CSV[source], handle))
+    return _start(paths.writeStream.foreachBatch(read), checkpoint, once, every)
 
 
 def stream_upsert(rows: DataFrame, table: VersionedTable, checkpoint: str, order_by: list[str], once: bool = True,

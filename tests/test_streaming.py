@@ -1,6 +1,11 @@
 import os
+import threading
+import time
+
+import pytest
 
 from agoralake.plans.jobs import Lake
+from agoralake.sources import files
 from agoralake.streaming import inbox
 
 HEAD = "id,Query,datetime,username,content,replies,retweets,likes\n"
@@ -142,3 +147,40 @@ def test_repeats_are_dropped_with_bounded_state(spark, tmp_path):
     assert held and max(held) <= 13
     texts = {r["id"]: r["text_clean"] for r in lake.silver().latest().collect()}
     assert len(texts) == 16 and texts["tw_1"] == "texto a.json 1" and texts["tw_3"].startswith("texto a.json")
+
+
+def grow(path, ids, pause):
+    """A writer that appends rows to a file in place."""
+    def write():
+        for i in ids:
+            time.sleep(pause)
+            with open(path, "a") as f:
+                f.write(f"{i},q,2026-05-19 10:00:00,u,hola a todos {i},1,1,1\n")
+    writer = threading.Thread(target=write)
+    writer.start()
+    return writer
+
+
+def test_a_stream_waits_for_a_growing_file(spark, tmp_path):
+    lake = Lake(spark, f"file:{tmp_path}/lake")
+    put(tmp_path, "twitter/2026-05-19/a.csv", range(2))
+    writer = grow(tmp_path / "inbox/twitter/2026-05-19/a.csv", range(2, 14), 0.5)
+    run(lake, tmp_path, quiet=2)
+    assert not writer.is_alive()
+    writer.join()
+    ids = lambda: sorted(int(r["id"][3:]) for r in lake.silver().latest().select("id").collect())
+    assert ids() == list(range(14))
+    run(lake, tmp_path, quiet=1)
+    assert ids() == list(range(14))
+
+
+def test_waiting_for_files(spark, tmp_path):
+    put(tmp_path, "twitter/2026-05-19/a.csv", range(2))
+    path = tmp_path / "inbox/twitter/2026-05-19/a.csv"
+    files.wait_until_settled(spark, [], 5)
+    files.wait_until_settled(spark, ["file:/no/such/file.csv"], 0)
+    files.wait_until_settled(spark, [f"file:{path}"], 0.2)
+    writer = grow(path, range(2, 30), 0.2)
+    with pytest.raises(TimeoutError, match="a.csv"):
+        files.wait_until_settled(spark, [f"file:{path}"], 1, at_most=0)
+    writer.join()
