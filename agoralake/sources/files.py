@@ -235,10 +235,40 @@ FILE_SCHEMA = schemas.T.StructType(
     [schemas.T.StructField(c, schemas.S) for c in ("source_sha256", "file_path", "run_id")])
 
 
+# Files up to this many bytes are hashed as one value; of larger ones no task holds more than a line.
+WHOLE_FILE = 64 << 20
+
+
+def _line_sums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(_file, _lines): for each file the sums of its lines' digests, each taken with the line's number, in eight parts.
+
+    The sums are the same in whatever splits a file is read. Lines end at a line feed only, so no byte is lost but a last one.
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("file_order"),
+        F.unhex(F.sha2(F.col("value").cast("binary"), 256)).alias("_line"))
+    digest = F.sha2(F.concat(F.encode(F.col("_number").cast("string"), "UTF-8"), F.lit(b":"), F.col("_line")), 256)
+    numbered = with_row_numbers(lines, "_number").select("file_path", digest.alias("_digest"))
+    part = lambda i: F.sum(F.conv(F.substring("_digest", 8 * i + 1, 8), 16, 10).cast("bigint")).cast("string")
+    return numbered.groupBy(F.col("file_path").alias("_file")).agg(F.concat_ws(",", *[part(i) for i in range(8)]).alias("_lines"))
+
+
 def fingerprints(spark: SparkSession, paths: str | Sequence[str], path: Column | None = None) -> DataFrame:
-    """(file_path, source_sha256) of whole files; ``path`` gives their names another spelling. A file is hashed in one task, so it must be below 2 GB."""
-    df = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return df.select((F.col("path") if path is None else path).alias("file_path"), F.sha2("content", 256).alias("source_sha256"))
+    """(file_path, source_sha256) of whole files; ``path`` gives their names another spelling.
+
+    Up to WHOLE_FILE bytes it is the SHA-256 of the bytes. A larger file is read in splits, and its digest is made from its
+    length and the digests of its numbered lines: equal bytes give equal digests there too.
+    """
+    read = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    name = (F.col("path") if path is None else path).alias("file_path")
+    whole = read.where(F.col("length") <= WHOLE_FILE).select(name, F.sha2("content", 256).alias("source_sha256"))
+    large = read.where(F.col("length") > WHOLE_FILE)
+    found = [r["path"] for r in large.select("path").collect()]  # one row per large file, as in any file listing
+    if not found:
+        return whole
+    listed = large.select(name, F.col("_metadata.file_path").alias("_file"), "length")
+    digest = F.sha2(F.concat_ws(";", F.col("length").cast("string"), "_lines"), 256).alias("source_sha256")
+    return whole.unionByName(listed.join(_line_sums(spark, found), "_file").select("file_path", digest))
 
 
 # --- other tables ------------------------------------------------------------------------------------------------------

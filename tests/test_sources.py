@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,3 +265,32 @@ def test_a_write_that_breaks_off_leaves_what_was_there(spark, tmp_path):
         except Exception:  # noqa: BLE001
             pass
         assert table.latest().first()["v"] == "a"
+
+
+def digests(spark, *paths):
+    return {r["file_path"].rsplit("/", 1)[-1]: r["source_sha256"] for r in files.fingerprints(spark, list(paths)).collect()}
+
+
+def test_large_files_are_hashed_by_line_whatever_their_splits(spark, tmp_path, monkeypatch):
+    lines = [f"{i},café {i}\r" for i in range(400)]
+    swapped, changed = [*lines[:7], lines[8], lines[7], *lines[9:]], [*lines[:399], "399,cafe 399\r"]
+    contents = {"a.csv": lines, "b.csv": lines, "swapped.csv": swapped, "changed.csv": changed, "open.csv": lines, "small.csv": lines[:3]}
+    paths = [write(tmp_path / n, ("\n".join(c) + ("" if n == "open.csv" else "\n")).encode(), "wb") for n, c in contents.items()]
+    monkeypatch.setattr(files, "WHOLE_FILE", 1000)
+    one = digests(spark, *paths)
+    assert len(one) == 6 and one["a.csv"] == one["b.csv"] and len(set(one.values())) == 5
+    assert one["small.csv"] == hashlib.sha256((tmp_path / "small.csv").read_bytes()).hexdigest()
+    assert one["a.csv"] != hashlib.sha256((tmp_path / "a.csv").read_bytes()).hexdigest()  # no task has its bytes
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        assert spark.read.text(paths[0]).rdd.getNumPartitions() > 4 and digests(spark, *paths) == one
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_ids_of_rows_in_large_files_are_given_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "WHOLE_FILE", 50)
+    paths = [write(tmp_path / n, "mensaje,fecha\n" + "igual,2026-01-01\n" * 20) for n in ("uno.csv", "dos.csv")]
+    ids = [{r["id"] for r in mappers.map_posts(files.read_csv(spark, p), "external")[0].collect()} for p in paths]
+    assert len(ids[0]) == 20 and ids[0] == ids[1]
