@@ -127,7 +127,8 @@ def _best_target(token: Column, targets: Mapping[str, str], cutoff: float) -> Co
 def close_targets(tokens: DataFrame, targets: Mapping[str, str] = lexicon.FUZZY_TARGETS,
                   cutoff: float = CUTOFF) -> DataFrame:
     """From a one-column frame of distinct ``token``s, the (token, entity, ratio) at or above ``cutoff``."""
-    scored = tokens.withColumn("_best", _best_target(F.col("token"), targets, cutoff))
+    # The filter stays above the generator; else it would go below the caller's distinct() and compare every occurrence.
+    scored = once(tokens, _best=_best_target(F.col("token"), targets, cutoff))
     return scored.where(F.col("_best.ratio") >= cutoff).select(
         "token", F.col("_best.entity").alias("entity"), F.col("_best.ratio").alias("ratio"))
 

@@ -134,3 +134,13 @@ def test_close_targets_by_join_equal_those_by_expression(spark):
     rows = lambda out: sorted((x["token"], x["entity"], round(x["ratio"], 9)) for x in out.collect())
     one, two = rows(entities.close_targets(df, targets)), rows(entities.close_targets_by_join(df, targets))
     assert one == two and len(one) > 60
+
+
+def test_similarity_is_computed_per_distinct_token(spark):
+    df = spark.createDataFrame([(i, "cepeda cepedas otra") for i in range(3)], "seq int, t string")
+    tokens = entities.post_tokens(df, "seq", "t").select("token").distinct()
+    found = entities.close_targets(tokens, lexicon.FUZZY_TARGETS)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    below = plan[next(i for i, line in enumerate(plan) if "Aggregate" in line) + 1:]
+    assert not any("levenshtein" in line for line in below)
+    assert {r["token"] for r in found.collect()} == {"cepeda", "cepedas"}
