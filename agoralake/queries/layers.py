@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from agoralake import schemas
@@ -489,10 +491,18 @@ def video_load_counts(t: Tables) -> DataFrame:
 
 # --- files, stored tables, jobs and the stream ------------------------------------------------------------------------
 
-def _write_exports(df: DataFrame, path: str, files_wanted: int = 8) -> None:
-    """Exported files as a scraper would leave them."""
+# Input bytes that one exported file stands for at most.
+EXPORT_BYTES = 32 << 20
+
+
+def _write_exports(df: DataFrame, path: str, files_wanted: int = 8, more: bool = True) -> int:
+    """Exported files as a scraper would leave them: so many, or with ``more`` as many as keep each one small. Returns their number."""
+    if more:
+        found = [files.hadoop_path(df.sparkSession, unquote(f)) for f in df.inputFiles()]
+        files_wanted = max(files_wanted, -(-sum(fs.getFileStatus(p).getLen() for fs, p in found) // EXPORT_BYTES))
     (df.repartition(files_wanted).write.option("header", "true").option("escape", '"').option("quoteAll", "true")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return files_wanted
 
 
 @query(ctes(V_POSTS) + """select cast(seq as varchar) || '.0' as id, md5(text) as content_md5, cast(likes as varchar) as likes
@@ -537,7 +547,7 @@ def external_export_without_ids(t: Tables) -> DataFrame:
     """A generic export without ids that holds every row twice: each row keeps its place and gets an id of its own."""
     path = new_work_path(t.spark, "external")
     rows = t.posts().select(F.col("text").alias("mensaje"), shown("datetime_utc").alias("fecha"))
-    _write_exports(rows.unionByName(rows).repartition(4, "mensaje"), path, 4)
+    _write_exports(rows.unionByName(rows), path, 4)
     good, _ = mappers.map_posts(files.read_csv(t.spark, path), "external")
     return good.groupBy(F.md5("text").alias("text_md5")).agg(
         F.count(F.lit(1)).alias("filas"), F.count_distinct("id").alias("ids"))
@@ -633,10 +643,10 @@ _FIRST_OF_BATCHES = f"""select 'tw_' || seq as id, md5({clean_sql('text')}) as c
 def inbox_stream_to_silver(t: Tables) -> DataFrame:
     """Exported files picked up by the inbox stream; a second start from the same checkpoint adds nothing."""
     lake = jobs.Lake(t.spark, new_work_path(t.spark, "stream"))
-    _write_exports(twitter_export(t), f"{lake.root}/inbox/twitter/{AS_OF[:10]}", 4)
+    n = _write_exports(twitter_export(t), f"{lake.root}/inbox/twitter/{AS_OF[:10]}", 4)
     for _ in range(2):
         inbox.stream_posts(lake, f"{lake.root}/inbox", "twitter", f"{lake.root}/checkpoint",
-                           files_per_trigger=2).awaitTermination()
+                           files_per_trigger=-(-n // 2)).awaitTermination()
     return lake.silver().latest().select("id", F.md5("text_clean").alias("clean_md5"), "pii_detected",
                                          F.col("engagement")["likes"].alias("likes"))
 
@@ -663,7 +673,7 @@ def inbox_stream_to_videos(t: Tables) -> DataFrame:
     stage = f"{lake.root}/stage"
     old = rows.withColumn("view_count", F.lit("1"))
     for name, df in (("a", old), ("b", rows)):
-        _write_exports(df, f"{stage}/{name}", 1)
+        _write_exports(df, f"{stage}/{name}", 1, more=False)
         rename_only_csv(t, f"{stage}/{name}", f"{lake.root}/inbox/youtube/{AS_OF[:10]}", f"run_{name}_videos.csv")
         inbox.stream_videos(lake, f"{lake.root}/inbox", "youtube", f"{lake.root}/checkpoint").awaitTermination()
     return lake.videos("youtube").latest().select("video_id", "view_count")

@@ -294,3 +294,15 @@ def test_ids_of_rows_in_large_files_are_given_again(spark, tmp_path, monkeypatch
     paths = [write(tmp_path / n, "mensaje,fecha\n" + "igual,2026-01-01\n" * 20) for n in ("uno.csv", "dos.csv")]
     ids = [{r["id"] for r in mappers.map_posts(files.read_csv(spark, p), "external")[0].collect()} for p in paths]
     assert len(ids[0]) == 20 and ids[0] == ids[1]
+
+
+def test_exports_of_larger_tables_are_more_files(spark, tmp_path, monkeypatch):
+    from agoralake.queries import layers as queries
+    spark.range(1000).write.parquet(str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    assert queries._write_exports(rows, str(tmp_path / "few"), 2) == 2 and len(list((tmp_path / "few").glob("*.csv"))) == 2
+    size = sum(p.stat().st_size for p in (tmp_path / "in").glob("*.parquet"))
+    monkeypatch.setattr(queries, "EXPORT_BYTES", -(-size // 5))
+    n = queries._write_exports(rows, str(tmp_path / "more"), 2)
+    assert n == 5 and len(list((tmp_path / "more").glob("*.csv"))) == 5
+    assert queries._write_exports(rows, str(tmp_path / "one"), 1, more=False) == 1
