@@ -8,10 +8,11 @@ from agoralake.functions.text import SPACES, WORD
 
 # Patterns, place holders and identity keys.
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+# Each begins with a test of the one character a match can start with, as most positions start none.
 PHONE = (
-    rf"(?:\+57[{SPACES}]?)?(?:\(?\p{{Nd}}{{1,3}}\)?[{SPACES}.-]?)?\p{{Nd}}{{3}}[{SPACES}.-]?\p{{Nd}}{{4}}"
+    rf"(?=[+(\p{{Nd}}])(?:\+57[{SPACES}]?)?(?:\(?\p{{Nd}}{{1,3}}\)?[{SPACES}.-]?)?\p{{Nd}}{{3}}[{SPACES}.-]?\p{{Nd}}{{4}}"
 )
-ID_NUMBER = rf"(?<![{WORD}])\p{{Nd}}{{8,10}}(?![{WORD}])"
+ID_NUMBER = rf"(?=\p{{Nd}})(?<![{WORD}])\p{{Nd}}{{8,10}}(?![{WORD}])"
 IDENTITY_KEYS = ["user_nickname", "author_nickname", "username", "channel_name"]
 LEAK_KEYS = [
     "username", "user_name", "user_nickname", "nickname", "user_unique_id", "user_id", "author", "author_name",
@@ -25,11 +26,11 @@ def mask_email(c: Column) -> Column:
 
 
 def mask_phone(c: Column) -> Column:
-    return F.regexp_replace(c, PHONE, "[PHONE]")
+    return F.when(c.rlike(r"\p{Nd}{4}"), F.regexp_replace(c, PHONE, "[PHONE]")).otherwise(c)
 
 
 def mask_id_number(c: Column) -> Column:
-    return F.regexp_replace(c, ID_NUMBER, "[CEDULA]")
+    return F.when(c.rlike(r"\p{Nd}{8}"), F.regexp_replace(c, ID_NUMBER, "[CEDULA]")).otherwise(c)
 
 
 def masked(c: Column) -> Column:
@@ -62,7 +63,7 @@ def with_masking(df: DataFrame, column: str) -> DataFrame:
 def exposes_pii(c: Column) -> Column:
     """True when a text still shows an e-mail address, a phone or an identity number."""
     text = F.coalesce(c, F.lit(""))
-    return (F.contains(text, F.lit("@")) & text.rlike(EMAIL)) | text.rlike(PHONE) | text.rlike(ID_NUMBER)
+    return (F.contains(text, F.lit("@")) & text.rlike(EMAIL)) | text.rlike(r"\p{Nd}{4}") & (text.rlike(PHONE) | text.rlike(ID_NUMBER))
 
 
 def without_keys(m: Column, keys: list[str] = IDENTITY_KEYS) -> Column:

@@ -24,12 +24,16 @@ EMOJI = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2700}-\x{27BF}"
     r"\x{1F900}-\x{1FAFF}]"
 )
+# Anything these signs can be starts here, so most characters are settled by one comparison.
+_MAYBE_EMOJI = r"[\x{2700}-\x{10FFFF}]"
 SPACE_RUN = rf"[{SPACES}]+"
 # The same white space as single characters, without the plain space.
 OTHER_SPACES = "".join(map(chr, [
     *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
     0x3000,
 ]))
+# Holds all of them, and more: common characters are settled by one or two comparisons.
+_MAYBE_SPACE = r"[^\x{20}-\x{7E}\x{A1}-\x{167F}]"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -49,11 +53,16 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 def trim_spaces(c: Column) -> Column:
     """Strip any Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(c, F.lit(f" {OTHER_SPACES}"))
+
+
+def _may_hold_url(c: Column) -> Column:
+    """Quick test that every text with a link passes."""
+    return F.contains(c, F.lit("://")) | c.rlike(r"[wW]{3}\.")
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, URL, "")
+    return F.when(_may_hold_url(c), F.regexp_replace(c, URL, "")).otherwise(c)
 
 
 def strip_mentions(c: Column) -> Column:
@@ -65,17 +74,19 @@ def strip_hashtags(c: Column) -> Column:
 
 
 def plain_spaces(c: Column) -> Column:
-    """Every white space as a plain space; quicker than a pattern over the long class."""
-    return F.translate(c, OTHER_SPACES, " " * len(OTHER_SPACES))
+    """Every white space as a plain space; most texts have no other one than line feeds."""
+    return let(F.replace(c, F.lit("\n"), F.lit(" ")), lambda x: F.when(
+        x.rlike(_MAYBE_SPACE), F.translate(x, OTHER_SPACES, " " * len(OTHER_SPACES))).otherwise(x))
 
 
 def tidy(c: Column) -> Column:
     """Lower case, one space between words, none at the ends."""
-    return F.trim(F.regexp_replace(plain_spaces(F.lower(c)), " {2,}", " "))
+    return F.trim(let(plain_spaces(F.lower(c)), lambda x: F.when(
+        F.contains(x, F.lit("  ")), F.regexp_replace(x, " {2,}", " ")).otherwise(x)))
 
 
 def has_url(c: Column) -> Column:
-    return c.rlike(URL)
+    return _may_hold_url(c) & c.rlike(URL)
 
 
 def has_hashtag(c: Column) -> Column:
@@ -83,7 +94,7 @@ def has_hashtag(c: Column) -> Column:
 
 
 def has_emoji(c: Column) -> Column:
-    return c.rlike(EMOJI)
+    return c.rlike(_MAYBE_EMOJI) & c.rlike(EMOJI)
 
 
 def where_found(mark: str, raw: Column, change: Callable[[Column], Column], c: Column) -> Column:
@@ -150,7 +161,10 @@ _PLAIN = "aeiouaeiouun"
 def analysis_text(c: Column) -> Column:
     """Plain lower-case words with single spaces: no links, signs, accents or punctuation."""
     raw = F.coalesce(c, F.lit(""))
-    t = F.translate(F.regexp_replace(F.lower(raw), rf"http[^{SPACES}]+|[@#]", ""), _ACCENTED, _PLAIN)
+    t = let(F.lower(raw), lambda x: F.when(
+        F.contains(x, F.lit("http")) | F.contains(x, F.lit("@")) | F.contains(x, F.lit("#")),
+        F.regexp_replace(x, rf"http[^{SPACES}]+|[@#]", "")).otherwise(x))
+    t = let(t, lambda x: F.when(F.octet_length(x) > F.length(x), F.translate(x, _ACCENTED, _PLAIN)).otherwise(x))
     t = where_found("\u0301", raw, lambda x: F.regexp_replace(x, r"([aeiou])\x{301}", "$1"), t)
     return F.trim(F.regexp_replace(t, rf"[^{WORD}]+", " "))
 

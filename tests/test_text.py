@@ -119,3 +119,18 @@ def test_scores(one):
     assert one(scoring.sentiment_class, 0.1, 0.11, -0.2, kind="double") == ["neutro", "positivo", "negativo"]
     assert one(lambda c: scoring.composite_score(c, F.lit(1)), 0.9, -1.0, kind="double") == [1.0, -0.7]
     assert one(scoring.log_weight, -5.0, None, kind="double") == [1.0, 1.0]
+
+
+def test_guards_and_short_forms_keep_every_character(one):
+    spaces = " " + text.OTHER_SPACES
+    assert one(text.trim_spaces, spaces + "a b" + spaces, "a\n", spaces, "") == ["a b", "a", "", ""]
+    assert one(text.tidy, "".join(f"X{s}" for s in spaces), "​A⁠ \x00  B") == [" ".join("x" * len(spaces)), "​a⁠ \x00 b"]
+    assert one(text.strip_urls, "ftp://a http://b c", "WwW.a b", "www a", "https:// a") == ["ftp://a  c", " b", "www a", "https:// a"]
+    assert one(text.analysis_text, "Ñ@ndú", "xhttp://a ñ", "á b") == ["nndu", "x n", "a b"]
+    assert one(pii.masked, "(300) ١٢٣ ٤٥٦٧", "+57 1234567", "12-34", "2026") == ["[PHONE]", "[PHONE]", "12-34", "2026"]
+    assert one(pii.exposes_pii, "x 123-4567", "123 456", "1234") == [True, False, False]
+
+
+def test_trimming_needs_no_pattern(spark):
+    plan = spark.range(1).select(text.trim_spaces(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "regexp" not in plan  # a pattern anchored at the end tries every space of a long text
