@@ -48,7 +48,7 @@ def _word_runs(words: Column, n: int) -> Column:
         return words
     starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
         F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + (k - 1)) for k in range(n)]))
 
 
 def _looked_up(text: Column, aliases: Mapping[str, str]) -> Column:
@@ -60,18 +60,34 @@ def _looked_up(text: Column, aliases: Mapping[str, str]) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, lambda a: F.try_element_at(entity, a))))
 
 
-def alias_entities_by_join(df: DataFrame, key: str, text: str, aliases: DataFrame) -> DataFrame:
-    """(key, entity) pairs for a large alias table with columns ``alias, entity``: an equi-join on word n-grams.
+def alias_runs(df: DataFrame, key: str, text: str, aliases: DataFrame) -> DataFrame:
+    """(key, alias) of the word runs of each text that may be in ``aliases``, each once per row.
 
-    Only n-gram lengths that occur in the table are made, each n-gram once per post. Spark broadcasts the table when it is
-    small enough; otherwise both sides are shuffled by n-gram, and a very common one is split by the adaptive skew join.
+    Only run lengths that occur in the table are made. Of lengths with up to INLINE_ALIASES aliases only those runs are left
+    that are one of them, so that a few short names do not send every word of the posts through the join.
     """
-    sizes = sorted(r["n"] for r in aliases.select(F.size(F.split("alias", " ")).alias("n")).distinct().collect())
+    known = aliases.where(F.col("alias").isNotNull()).select("alias", F.size(F.split("alias", " ")).alias("n")).distinct()
+    counts = {r["n"]: r["count"] for r in known.groupBy("n").count().collect()}
+    few: dict[int, list[str]] = {n: [] for n in counts if counts[n] <= INLINE_ALIASES}
+    for r in known.where(F.col("n").isin(*few)).collect() if few else ():
+        few[r["n"]].append(r["alias"])
     words = F.col("_w")
 
-    every = F.array_distinct(F.concat(*[_word_runs(words, n) for n in sizes])) if sizes else F.array().cast("array<string>")
-    rows = df.select(key, F.split(F.col(text), " ").alias("_w")).select(key, F.explode(every).alias("alias"))
-    return rows.join(aliases, "alias").select(key, "entity").distinct()
+    def made(n: int) -> Column:
+        runs = _word_runs(words, n)
+        return F.filter(runs, lambda run: run.isin(*few[n])) if n in few else runs
+
+    every = F.array_distinct(F.concat(*[made(n) for n in sorted(counts)])) if counts else F.array().cast("array<string>")
+    return df.select(key, F.split(F.col(text), " ").alias("_w")).select(key, F.explode(every).alias("alias"))
+
+
+def alias_entities_by_join(df: DataFrame, key: str, text: str, aliases: DataFrame) -> DataFrame:
+    """(key, entity) pairs for a large alias table with columns ``alias, entity``: an equi-join on word n-grams.
+
+    ``aliases`` is read three times and should be stored. Spark broadcasts the table when it is small enough; otherwise both
+    sides are shuffled by n-gram, and a very common one is split by the adaptive skew join.
+    """
+    return alias_runs(df, key, text, aliases).join(aliases, "alias").select(key, "entity").distinct()
 
 
 # --- fuzzy tokens -----------------------------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from agoralake.functions import casting, pii, scoring, text, timefn
 from agoralake.operators import entities, quality
 from agoralake.plans import layers, scorers
 from agoralake.queries.registry import V_OPINIONS, V_POSTS, V_RUNS, Tables, ctes, query, scale, shown
+from agoralake.session import stored
 
 # Stand-in dictionaries over words that occur in the documents.
 ALIASES = {
@@ -224,11 +225,11 @@ def alias_entities(t: Tables) -> DataFrame:
        "select distinct seq, entity from norm, terms where contains(' ' || t || ' ', ' ' || alias || ' ')")
 def alias_join_large_dictionary(t: Tables) -> DataFrame:
     """Every opening word pair of a post is a term: a dictionary that grows with the data, so it is joined."""
-    posts = normalised_posts(t).select("seq", "t")
+    posts = stored(normalised_posts(t).select("seq", "t"), "alias-posts")  # else they are joined and normalised once more for the terms
     pairs = posts.where(F.contains("t", F.lit(" "))).select(
         F.concat_ws(" ", F.split_part("t", F.lit(" "), F.lit(1)), F.split_part("t", F.lit(" "), F.lit(2))).alias("alias"))
     names = t.region.select(F.lower("r_name").alias("alias")).unionByName(t.nation.select(F.lower("n_name").alias("alias")))
-    terms = pairs.unionByName(names).distinct().withColumn("entity", F.col("alias"))
+    terms = stored(pairs.unionByName(names).distinct().withColumn("entity", F.col("alias")), "alias-terms")
     return entities.alias_entities_by_join(posts, "seq", "t", terms)
 
 

@@ -101,6 +101,18 @@ def test_join_on_ngrams_equals_search(spark):
     assert joined == inline == {(1, "Ivan Cepeda"), (2, "Abelardo De la Espriella")}
 
 
+def test_lengths_with_few_aliases_send_only_those_through_the_join(spark, monkeypatch):
+    monkeypatch.setattr(entities, "INLINE_ALIASES", 3)
+    posts = spark.createDataFrame([(1, "viva el pacto ya"), (2, "ya ya el tigre"), (2, "ya ya el tigre"), (3, ""), (4, None)], "k int, t string")
+    aliases = spark.createDataFrame([("ya", "Y"), ("tigre", "T"), *[(f"a{i} b", "B") for i in range(9)], ("el tigre", "T"), (None, "N")],
+                                    "alias string, entity string")
+    runs = sorted((r["k"], r["alias"]) for r in entities.alias_runs(posts, "k", "t", aliases).collect())
+    two = [(2, x) for x in ("el tigre", "tigre", "ya", "ya el", "ya ya") for _ in range(2)]
+    assert runs == [(1, "el pacto"), (1, "pacto ya"), (1, "viva el"), (1, "ya"), *two]
+    got = sorted((r["k"], r["entity"]) for r in entities.alias_entities_by_join(posts, "k", "t", aliases).collect())
+    assert got == [(1, "Y"), (2, "T"), (2, "Y")]
+
+
 def test_a_large_dictionary_gives_the_same_columns(spark):
     df = spark.createDataFrame([("viva el pacto historico ya a7",), ("el tigre y tigre a600 b",), ("",), (None,)], "n string")
     more = {f"a{i} b": f"e{i}" for i in range(1000)} | {"a7": "siete"}
