@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,6 +32,20 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: st
     return one if unkeyed is None else one.unionByName(unkeyed)
 
 
+def dedupe_few(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: str = "last", *,
+               store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """As ``dedupe``, for wide rows of which few share a key. ``df`` must give the same rows each time.
+
+    Keys that occur more than once are counted without the other columns and written by ``store``, so their number is known
+    when the rows are joined with them: while they are few, rows of all other keys stay where they are.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    several = store(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(
+        *[F.col(k).alias(name) for k, name in names.items()]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()])
+    return df.join(several, same, "left_anti").unionByName(dedupe(df.join(several, same, "left_semi"), keys, order_by, keep))
+
+
 def losers(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: str = "first") -> DataFrame:
     """The rows ``dedupe`` drops. Winners are matched on key *and* order columns, which spreads a hot key's copies."""
     columns = [*keys, *order_by]
@@ -55,11 +69,12 @@ def first_n_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Co
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def union_by_priority(frames: Sequence[DataFrame], keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Union in which the earlier frame wins on equal keys."""
+def union_by_priority(frames: Sequence[DataFrame], keys: Sequence[str], order_by: Sequence[str],
+                      one_of: Callable[..., DataFrame] = dedupe) -> DataFrame:
+    """Union in which the earlier frame wins on equal keys; ``one_of`` is ``dedupe`` or does the same."""
     tagged = [df.withColumn("_rank", F.lit(i)) for i, df in enumerate(frames)]
     together = reduce(lambda a, b: a.unionByName(b), tagged)
-    return dedupe(together, keys, ["_rank", *order_by], keep="first").drop("_rank")
+    return one_of(together, keys, ["_rank", *order_by], keep="first").drop("_rank")
 
 
 def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

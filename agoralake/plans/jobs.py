@@ -9,16 +9,19 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from agoralake import schemas
+from agoralake.functions.casting import lenient_timestamp
 from agoralake.operators import feature_table, windows
-from agoralake.operators.dedupe import dedupe, union_by_priority
+from agoralake.operators.dedupe import dedupe, dedupe_few, union_by_priority
 from agoralake.operators.quality import alerts, report, summary
 from agoralake.plans import layers, rollups, scorers
 from agoralake.plans.filelog import STAGES, FileLog
 from agoralake.plans.ledger import Ledger, new_run_id, now_micros
+from agoralake.session import freeing, stored as work_table
 from agoralake.sources import files, mappers, media, tables
 from agoralake.sources.ids import IdIndex
 from agoralake.sources.tables import VersionedTable
@@ -56,6 +59,17 @@ def by_day(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "event_day")
 
 
+def _few(name: str) -> Callable[..., DataFrame]:
+    return partial(dedupe_few, store=lambda df: work_table(df, name))
+
+
+def posts_by_day(posts: DataFrame) -> DataFrame:
+    """``by_day`` for posts whose time may still be text."""
+    at = F.col("datetime_utc")
+    day = event_day(lenient_timestamp(at) if isinstance(posts.schema["datetime_utc"].dataType, schemas.T.StringType) else at)
+    return by_day(posts.withColumn("event_day", day)).drop("event_day")
+
+
 def quarantine_rows(bad: DataFrame, run_id: str, source: str) -> DataFrame:
     """Rejected rows in the shape of the quarantine table; the whole row is kept as JSON."""
     path = F.col("file_path") if "file_path" in bad.columns else F.lit(None).cast("string")
@@ -203,11 +217,11 @@ def known_ids(lake: Lake, posts: DataFrame, run_id: str, seq: int, context: str
     return ids.known(posts, run_id)
 
 
-def store_silver(lake: Lake, good: DataFrame, run_id: str, seq: int, context: str = "posts") -> None:
-    """A run's silver rows, then their ids: ids that are known have rows."""
+def store_silver(lake: Lake, good: DataFrame, run_id: str, seq: int, context: str = "posts", arranged: bool = False) -> None:
+    """A run's silver rows, then their ids: ids that are known have rows. ``arranged`` rows have been dealt out by day."""
     silver = lake.silver(context)
     silver.write(good.withColumn("cleaned_month", F.date_format("cleaned_at", "yyyy-MM")).withColumn(
-        "event_day", event_day(F.col("datetime_utc"))), seq, run_id)
+        "event_day", event_day(F.col("datetime_utc"))), seq, run_id, arranged)
     lake.ids(context).add(silver.run(run_id), run_id, seq)
 
 
@@ -215,9 +229,10 @@ def promote_silver(lake: Lake, run_id: str, seq: int, context: str = "posts", ma
                    detector: Callable[[str], str] | None = None) -> int:
     silver = lake.silver(context)
     posts = mappers.posts_of_raw(lake.raw(context).run(run_id))
-    seen = known_ids(lake, posts, run_id, seq, context)
-    good, _ = layers.to_silver(posts, seen, run_id, F.current_timestamp(), mask_first=mask_first, detector=detector)
-    store_silver(lake, good, run_id, seq, context)
+    seen = work_table(known_ids(lake, posts, run_id, seq, context), "known-ids")
+    good, _ = layers.to_silver(posts, seen, run_id, F.current_timestamp(), mask_first=mask_first, detector=detector,
+                               one_of=_few("repeated-ids"), arrange=posts_by_day)
+    store_silver(lake, good, run_id, seq, context, arranged=True)
     return silver.count_run(run_id)
 
 
@@ -373,6 +388,7 @@ def resume_runs(lake: Lake, broken: Sequence[tuple[str, str, str]] | None = None
     return out
 
 
+@freeing
 def run_batch(lake: Lake, paths: str | Sequence[str], source: str, *, skip_gold: bool = True, gate: bool = True,
               context: str = "posts", as_of: Column | None = None, mask_first: bool = False,
               flow_name: str | None = None, run_id: str | None = None, seq: int | None = None,
@@ -506,7 +522,7 @@ def load_contexts(lake: Lake, since: Column | None = None, cleaned_after: Column
                 wanted = F.coalesce(wanted, F.lit(False)) | (F.col("cleaned_at") > cleaned_after)
             table = table.where(folders).where(wanted)
         return table.where(~F.col("is_duplicate")).drop("cleaned_month")
-    return union_by_priority([rows(c) for c in CONTEXTS], ["id"], ["cleaned_at"])
+    return union_by_priority([rows(c) for c in CONTEXTS], ["id"], ["cleaned_at"], _few("ids-of-both"))
 
 
 def scored_posts(lake: Lake, schema: schemas.T.StructType) -> VersionedTable:
@@ -515,6 +531,7 @@ def scored_posts(lake: Lake, schema: schemas.T.StructType) -> VersionedTable:
 
 
 # Classes of the analysis and the labels of gold.
+TEXT_FORMS = ["texto_usuario", "texto", "texto_usuario_norm", "texto_norm"]
 GOLD_LABELS = {"positivo": "positive", "negativo": "negative", "neutro": "neutral"}
 
 
@@ -527,12 +544,14 @@ def model_results(scored: DataFrame) -> DataFrame:
                          layers.candidate_slot("candidatos").alias("candidate_mentioned"))
 
 
+@freeing
 def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None = None,
                  momentum: DataFrame | None = None, period: tuple[str, str] | None = None,
                  since: Column | None = None, resume: bool = False, write_back: bool = True) -> dict[str, DataFrame]:
     """Standardise, score, aggregate in windows and build the feature table.
 
-    Scored posts are written once and read back, so every later step starts from stored columns. With ``resume`` only posts
+    Scored posts are written once and read back, so every later step starts from stored columns. The four forms of a text stand
+    next to each other there, which compresses to little more than one; ``contexts`` has no texts. With ``resume`` only posts
     from the stored high-water marks on are scored (by time of the post, and late ones by time of cleaning); they join the
     scored posts of earlier runs. Scores go back to the gold rows of the days that were scored, and the daily view follows.
     Texts the scorer fails on go to the quarantine, weigh in no mean, and their number is in the ledger.
@@ -540,21 +559,25 @@ def run_analysis(lake: Lake, scorer: scorers.TextScorer, polls: DataFrame | None
     root, run_id = lake.root.rstrip("/"), new_run_id()
     path, marks = f"{root}/analysis/{run_id}", f"{root}/ops/high_water_mark"
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
-        return lake.spark.read.parquet(f"{path}/{name}")
+    def stored(name: str, df: DataFrame, alike: Sequence[str] = ()) -> DataFrame:
+        """``alike`` columns are written as one array."""
+        rows = df.withColumn("_alike", F.array(*alike)).drop(*alike) if alike else df
+        rows.write.option("compression", "zstd").parquet(f"{path}/{name}")
+        back = lake.spark.read.parquet(f"{path}/{name}")
+        return back.select(*[F.get("_alike", F.lit(alike.index(c))).alias(c) if c in alike else F.col(c) for c in df.columns])
 
     cleaned_after = None
     if resume and since is None and files.exists(lake.spark, f"{marks}/*/_SUCCESS"):
         mark = tables.read_daily(lake.spark, marks).first()
         since = None if mark["ultima_fecha"] is None else F.lit(mark["ultima_fecha"])
         cleaned_after = None if mark["ultima_limpieza"] is None else F.lit(mark["ultima_limpieza"])
-    contexts = stored("contexts", load_contexts(lake, since, cleaned_after))
-    rows = layers.with_intention(layers.standardise(contexts))
+    posts = load_contexts(lake, since, cleaned_after)  # the same stored rows, however often they are read
+    contexts = stored("contexts", posts.drop("text_clean", "text_original"))
+    rows = layers.with_intention(layers.standardise(posts))
     counted = Observation(f"scored-{run_id}")
-    every = stored("judged", scorers.with_sentiment(rows, scorer).observe(
-        counted, F.count(F.lit(1)).alias("rows"), F.count("score_error").alias("failed")))
-    scored = stored("new_scored", every.where("score_error is null").drop("score_error"))
+    every = stored("new_scored", scorers.with_sentiment(rows, scorer).observe(
+        counted, F.count(F.lit(1)).alias("rows"), F.count("score_error").alias("failed")), TEXT_FORMS)
+    scored = every.where("score_error is null").drop("score_error")
     failed = every.where("score_error is not null")
     lake.quarantine().write(quarantine_rows(failed.withColumn("error", F.col("score_error")), run_id, "analysis"), now_micros(), f"analysis-{run_id}")
     lake.ledger().start("analysis", rows_in=counted.get["rows"], run_id=run_id)

@@ -57,7 +57,7 @@ def with_language_fallback(df: DataFrame, text_column: str, lang: str = "lang",
 def clean(posts: DataFrame) -> DataFrame:
     """Cleaned text, flags and language next to the original text."""
     return (
-        posts.withColumn("_n", text.normalized(F.col("text")))
+        text.once(posts, _n=text.normalized(F.col("text")))
         .withColumn("lang", text.detect_spanish(F.col("text")))
         .withColumnRenamed("text", "text_original")
         .select("*", "_n.*").drop("_n")
@@ -74,16 +74,19 @@ def anonymise(cleaned: DataFrame) -> DataFrame:
 
 def to_silver(posts: DataFrame, seen_ids: DataFrame | None, run_id: str, cleaned_at: Column, mask_first: bool = False,
               detector: Callable[[str], str] | None = None, order_by: tuple[str, ...] = ("seq",),
+              one_of: Callable[..., DataFrame] = dedupe, arrange: Callable[[DataFrame], DataFrame] = lambda df: df,
               ) -> tuple[DataFrame, DataFrame]:
     """(valid rows, invalid rows) for posts that are new.
 
     The first row of an id stays; ids already in silver are skipped. Duplicates inside the batch go before the join, so
     a post repeated many times enters it once. With ``mask_first`` the cleaned text is made from the masked text, which
-    keeps phone numbers out of it as well.
+    keeps phone numbers out of it as well. ``one_of`` is ``dedupe`` or does the same. ``arrange`` deals the posts out before
+    they are cleaned, while they hold their text once.
     """
-    fresh = dedupe(posts, ["id"], list(order_by), keep="first")
+    fresh = one_of(posts, ["id"], list(order_by), keep="first")
     if seen_ids is not None:
         fresh = unseen(fresh, seen_ids, ["id"])
+    fresh = arrange(fresh)
     if mask_first:
         rows = anonymise(fresh.withColumnRenamed("text", "text_original"))
         rows = clean(rows.withColumnRenamed("text_original", "text"))
@@ -153,7 +156,8 @@ def standardise(posts: DataFrame, zone: str = timefn.LOCAL_ZONE, min_words: int
 
 
 def with_intention(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("intencion_explicita", stated_intention(F.col("texto_usuario")))
+    """``rows`` of ``standardise``, whose texts are normalised already."""
+    return rows.withColumn("intencion_explicita", stated_intention(F.col("texto_usuario_norm"), normalise=False))
 
 
 def intention_share(rows: DataFrame) -> DataFrame:

@@ -495,13 +495,13 @@ def video_load_counts(t: Tables) -> DataFrame:
 EXPORT_BYTES = 32 << 20
 
 
-def _write_exports(df: DataFrame, path: str, files_wanted: int = 8, more: bool = True) -> int:
+def _write_exports(df: DataFrame, path: str, files_wanted: int = 8, more: bool = True, compression: str = "none") -> int:
     """Exported files as a scraper would leave them: so many, or with ``more`` as many as keep each one small. Returns their number."""
     if more:
         found = [files.hadoop_path(df.sparkSession, unquote(f)) for f in df.inputFiles()]
         files_wanted = max(files_wanted, -(-sum(fs.getFileStatus(p).getLen() for fs, p in found) // EXPORT_BYTES))
     (df.repartition(files_wanted).write.option("header", "true").option("escape", '"').option("quoteAll", "true")
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("compression", compression).csv(path))
     return files_wanted
 
 

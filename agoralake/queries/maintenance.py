@@ -11,15 +11,16 @@ from agoralake.plans import jobs, rollups, scorers, views
 from agoralake.queries.analysis import PREFIX, V_POLL_MEANS, scores_sql
 from agoralake.queries.layers import _write_exports, twitter_export
 from agoralake.queries.registry import PRIORITY_NETWORK, V_OPINIONS, V_POLLS, V_POSTS, Tables, as_of, ctes, network_of, query, scale
-from agoralake.session import new_work_path
+from agoralake.session import new_work_path, shuffles_freed
 from agoralake.sources import tables
 from agoralake.sources.ids import IdIndex
 
 
-def _lake(t: Tables, name: str, files: int = 2) -> tuple[jobs.Lake, str]:
+def _lake(t: Tables, name: str, files: int = 2, compression: str = "none") -> tuple[jobs.Lake, str]:
     lake = jobs.Lake(t.spark, new_work_path(t.spark, name))
-    _write_exports(twitter_export(t), f"{lake.root}/exports", files)
-    return lake, f"{lake.root}/exports/*.csv"
+    with shuffles_freed(t.spark):
+        _write_exports(twitter_export(t), f"{lake.root}/exports", files, compression=compression)
+    return lake, f"{lake.root}/exports/*.csv*"
 
 
 @query(ctes(V_POSTS) + """select 'failed' as antes, 'success' as despues, count(*) as en_raw, count(*) as en_silver, count(*) as en_gold,
@@ -92,7 +93,7 @@ def contexts_since_a_day(t: Tables) -> DataFrame:
   from posts where datetime_utc is not null group by 1""")
 def scores_reach_the_daily_view(t: Tables) -> DataFrame:
     """Batch job, analysis, scores back into gold: the stored view says what a full computation over gold says."""
-    lake, exports = _lake(t, "scored")
+    lake, exports = _lake(t, "scored", compression="gzip")
     jobs.run_batch(lake, exports, "twitter", skip_gold=False, as_of=as_of())
     jobs.run_analysis(lake, scorers.NeutralScorer())
     stored_view = tables.read_daily(t.spark, f"{lake.root}/public/v_sentiment_daily")

@@ -1,11 +1,14 @@
 import datetime as dt
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from agoralake.operators.dedupe import dedupe, dedupe_few
 from agoralake.plans import jobs, layers, scorers, views
 from agoralake.plans.jobs import Lake
+from agoralake.session import FREED, stored
 from agoralake.sources import files, tables
 
 NOW = dt.datetime(2026, 5, 20)
@@ -403,3 +406,44 @@ def test_landing_and_alerts_are_stored(lake, tmp_path):
     assert out["rows"] == 12 and lake.landing().latest().count() == 12
     jobs.run_batch(lake, tweets(tmp_path / "b.csv", day="2026-06-01"), "twitter", as_of=as_of())
     assert [(r["severity"], r["delivered"]) for r in lake.alerts().latest().collect()] == [("CRITICAL", False)]
+
+
+def test_texts_are_stored_few_times(spark, lake, tmp_path):
+    rng = random.Random(4)
+    text = lambda: " ".join("".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 9)) for _ in range(60))
+    texts = [text() for _ in range(400)]
+    (tmp_path / "in.csv").write_text("id,content,datetime,username,likes\n" + "".join(
+        f"{i},{x},2026-05-{1 + i % 9:02d} 10:00:00,u,1\n" for i, x in enumerate(texts)))
+    before = spark.conf.get(FREED)
+    jobs.run_batch(lake, str(tmp_path / "in.csv"), "twitter", skip_gold=False, as_of=F.lit("2026-05-10").cast("timestamp"))
+    out = jobs.run_analysis(lake, scorers.NeutralScorer())
+    assert spark.conf.get(FREED) == before
+    size = lambda folder: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    root, own = tmp_path / "lake", sum(map(len, texts))
+    assert size(root / "analysis") < 2 * own  # four forms of each text
+    assert size(root) < 5 * own  # and one in raw, two in silver
+    rows = {r["id"]: r for r in out["scored"].collect()}
+    assert len(rows) == 400
+    for c in ("texto_usuario", "texto", "texto_usuario_norm", "texto_norm"):
+        assert [rows[f"tw_{i}"][c] for i in range(400)] == texts
+    assert out["scored"].columns[:6] == ["id", "texto", "texto_usuario", "texto_norm", "texto_usuario_norm", "red"]
+    assert out["ultima_fecha"] is not None and lake.gold().latest().where("sentiment_label = 'neutral'").count() == 400
+
+
+def test_posts_are_cleaned_once_and_after_they_are_dealt_out(spark):
+    posts = spark.createDataFrame([("a", "twitter", "1", "2026-05-01", "u", "hola a todos", None, {}, {}, 1)], (
+        "id string, source string, source_id string, datetime_utc string, username string, text string, parent_id string, "
+        "engagement map<string,bigint>, metadata map<string,string>, seq long"))
+    good, _ = layers.to_silver(posts, None, "r", F.current_timestamp(), arrange=jobs.posts_by_day)
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and "text_clean" not in plan[plan.index("RebalancePartitions"):]
+    assert [r["text_clean"] for r in good.collect()] == ["hola a todos"]
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_few_repeated_keys_are_found_without_the_rows(spark, tmp_path, keep):
+    rows = [(k, n, f"{k}{n}") for n, k in enumerate(["a", "b", "a", None, "c", None, "b", "b"])]
+    df = spark.createDataFrame(rows, "k string, n int, x string")
+    got = dedupe_few(df, ["k"], ["n"], keep, store=lambda d: stored(d, "repeated"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, dedupe(df, ["k"], ["n"], keep).collect()), key=str)
+    assert got.count() == 4
