@@ -9,6 +9,7 @@ from agoralake.plans import ledger, scorers, views
 from agoralake.queries.layers import V_SILVER, gold_posts, silver_posts
 from agoralake.queries.registry import V_POSTS, V_RUNS, Tables, as_of, ctes, query, scale, shown
 from agoralake.queries.text import EMAIL, NEGATIVE, PHONE, POSITIVE, lexicon_sql
+from agoralake.session import stored
 from agoralake.sources import files
 
 # --- quality gate -----------------------------------------------------------------------------------------------------
@@ -136,7 +137,7 @@ def gate_violations(t: Tables) -> DataFrame:
 @query(ctes(_V_GATE) + """select source, count(*) filter (where source_id is not null) as validos,
   count(*) filter (where source_id is null) as invalidos from faulty group by 1""")
 def valid_and_quarantined(t: Tables) -> DataFrame:
-    good, bad = quality.split_valid(faulty_posts(t))
+    good, bad = quality.split_valid(faulty_posts(t), ["source"], lambda marked: stored(marked, "marked"))
     both = good.select("source", F.lit(None).cast("string").alias("error")).unionByName(bad.select("source", "error"))
     return both.groupBy("source").agg(F.count_if(F.col("error").isNull()).alias("validos"),
                                       F.count_if(F.col("error") == "source_id_missing").alias("invalidos"))

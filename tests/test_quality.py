@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from agoralake import schemas
 from agoralake.operators import quality
 from agoralake.plans import views
+from agoralake.queries import QUERIES
 
 NOW = dt.datetime(2026, 5, 20)
 
@@ -95,3 +96,28 @@ def test_failure_rate_counts_every_run_of_the_span(spark):
         (F.lit(start).cast("timestamp") - F.make_dt_interval(mins=F.col("id").cast("int"))).alias("started_at"))
     got = {r["window"]: (r["total_runs"], r["quality_failed"]) for r in views.quality_failed_rate(rows, F.lit("2026-05-20 00:00:00").cast("timestamp")).collect()}
     assert got == {"24h": (721, 181), "7d": (1200, 300)}
+
+
+def test_split_of_odd_posts_reads_them_once(spark, tmp_path):
+    """Both halves come from marked rows stored once: a text in null, empty, repeated and overlong form, and a repeated row."""
+    texts = [(0, "hola"), (0, "hola"), (1, "x " * 3500), (2, None), (3, "hola"), (4, ""), (5, None), (6, "y " * 3500), (8, "z " * 3500)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").selectExpr("*", "'es' as lang", "cast(null as string) as source")
+    events = spark.createDataFrame([], "event_id bigint, ts timestamp, user_id bigint, event_type string")
+    for name, found in ("whole", {("twitter", 1, 0), ("youtube", 0, 2), ("tiktok", 0, 1), ("other", 1, 0)}), ("empty", set()):
+        docs.where(F.lit(name == "whole")).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        events.write.parquet(f"{tmp_path}/{name}/events.parquet")
+        out = QUERIES["valid_and_quarantined"](spark, f"{tmp_path}/{name}")
+        assert {tuple(r) for r in out.collect()} == found
+        assert not any("documents" in f for f in out.inputFiles())
+
+
+def test_split_of_chosen_columns(spark):
+    posts = silver(spark, 3, source_id=None, source="nobody")
+    marked = []
+    good, bad = quality.split_valid(posts, ["id"], lambda df: marked.append(df) or df)
+    assert [df.columns for df in marked] == [["id", "_errors"]]
+    assert (good.columns, bad.columns) == (["id"], ["id", "error"])
+    whole = quality.split_valid(posts)
+    assert good.collect() == whole[0].select("id").collect()
+    assert [tuple(r) for r in bad.collect()] == [tuple(r) for r in whole[1].select("id", "error").collect()] == [
+        ("p2", "source_id_missing, source_unknown")]
