@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,13 +27,18 @@ def first_day(df: DataFrame, time: str) -> Column:
 
 
 def windowed_scores(posts: DataFrame, entities: str, origin: Column | None = None, time: str = "fecha",
-                    days: int = timefn.WINDOW_DAYS, intention: str | None = "intencion_explicita") -> DataFrame:
+                    days: int = timefn.WINDOW_DAYS, intention: str | None = "intencion_explicita",
+                    store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Weighted mean score, plain mean, mentions and engagement per entity, network and window.
 
     Posts without a date or an entity take no part. The origin defaults to the first day among the posts that do; pass
-    one to skip that scan. Sums are combined map-side, so a dominant entity sends one row per task.
+    one to skip that scan. Where ``posts`` are joined or otherwise costly to compute for that scan and again for the scores,
+    ``store`` writes what both read of them. Sums are combined map-side, so a dominant entity sends one row per task.
     """
     dated = posts.where(F.col(time).isNotNull() & (F.size(entities) > 0))
+    if origin is None and store is not None:
+        used = [time, entities, "red", "score", "engagement", *([intention] if intention else [])]
+        dated = store(dated.select(*dict.fromkeys(used)))
     start = first_day(dated, time) if origin is None else origin
     bonus = F.col(intention) if intention else F.lit(0)
     rows = with_windows(dated, time, start, days).select(

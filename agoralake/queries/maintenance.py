@@ -11,7 +11,7 @@ from agoralake.plans import jobs, rollups, scorers, views
 from agoralake.queries.analysis import PREFIX, V_POLL_MEANS, scores_sql
 from agoralake.queries.layers import _write_exports, twitter_export
 from agoralake.queries.registry import PRIORITY_NETWORK, V_OPINIONS, V_POLLS, V_POSTS, Tables, as_of, ctes, network_of, query, scale
-from agoralake.session import new_work_path, shuffles_freed
+from agoralake.session import new_work_path, shuffles_freed, stored
 from agoralake.sources import tables
 from agoralake.sources.ids import IdIndex
 
@@ -145,7 +145,8 @@ def feature_maps_of_many_entities(t: Tables) -> DataFrame:
     who = t.customer.select(F.col("c_custkey"), F.col("c_name"))
     names = t.orders.select(F.col("o_orderkey").alias("id"), "o_custkey").join(who, F.col("o_custkey") == F.col("c_custkey")).select("id", "c_name")
     rows = t.opinions().join(names, "id").withColumn("candidatos", F.array("c_name"))
-    maps = fm.feature_maps(fm.score_features(wn.windowed_scores(rows, "candidatos"), 1))
+    scores = wn.windowed_scores(rows, "candidatos", store=lambda dated: stored(dated, "dated"))
+    maps = fm.feature_maps(fm.score_features(scores, 1))
     return maps.select("ventana", F.size("features").cast("bigint").alias("n"),
                        F.round(F.aggregate(F.map_values("features"), F.lit(0.0), lambda a, v: a + v), 4).alias("suma"),
                        F.array_min(F.map_keys("features")).alias("primero"))

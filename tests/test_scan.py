@@ -2,12 +2,14 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 from pyspark.sql import Window, functions as F
 
-from agoralake.operators import feature_map as fm, feature_table as ft, scan
+from agoralake.operators import feature_map as fm, feature_table as ft, scan, windows as wn
 from agoralake.operators.asof import asof_join
 from agoralake.plans import rollups, views
+from agoralake.session import stored
 
 
 def hot(spark, n=20_000, seed=3):
@@ -96,3 +98,25 @@ def test_feature_maps_hold_the_wide_tables_values(spark):
     table = {x["ventana"]: x for x in fm.wide(maps, ["ST1_Ana Diaz", "SP1_Nadie"], 0.0).collect()}
     assert table[1]["ST1_Ana Diaz"] == 7.0 and table[0]["SP1_Nadie"] == 0.0
     assert fm.feature_maps(fm.score_features(scores.limit(0), 1)).count() == 0
+
+
+def test_scores_of_odd_posts_compute_them_once(spark, tmp_path):
+    """With ``store`` the first day and the scores read stored rows; undated posts, posts without entities, null values and repeated rows count as before."""
+    at = dt.datetime(2026, 5, 2)
+    rows = [(None, ["a"], "twitter", 0.5, 1, 1.0, "x"), (at, ["a", None], "twitter", 0.5, 1, 3.0, "x"), (at, ["a"], None, -0.5, 0, None, None),
+            (at, [], "twitter", 0.5, 0, 1.0, "x"), (at, None, "twitter", 0.5, 0, 1.0, "x"), (at + dt.timedelta(days=4), ["b"], "twitter", None, 0, 2.0, "x"),
+            *[(at + dt.timedelta(days=4), ["a"], "youtube", 0.25, None, 2.0, "x")] * 2, (at - dt.timedelta(days=1), ["b"], "other", 0.1, 0, 0.0, "x")]
+    schema = "fecha timestamp, candidatos array<string>, red string, score double, intencion_explicita int, engagement double, texto string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/posts")
+    posts, seen = spark.read.parquet(f"{tmp_path}/posts"), []
+
+    def store(df):
+        seen.append(sorted(df.columns))
+        return stored(df, "dated")
+
+    for given in posts, posts.where("false"):
+        out = wn.windowed_scores(given, "candidatos", store=store)
+        assert not any(f"{tmp_path}/posts" in f for f in out.inputFiles())
+        assert Counter(out.collect()) == Counter(wn.windowed_scores(given, "candidatos").collect())
+    assert seen == [["candidatos", "engagement", "fecha", "intencion_explicita", "red", "score"]] * 2
+    assert wn.windowed_scores(posts, "candidatos").count() == 6
