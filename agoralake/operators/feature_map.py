@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from agoralake.functions.text import network_prefix
 from agoralake.operators.feature_table import KEYS
@@ -16,13 +16,21 @@ from agoralake.operators.feature_table import KEYS
 
 def score_features(scores: DataFrame, kind: int, name: Column | None = None) -> DataFrame:
     """KEYS, name, value: mean score per window, network and entity as ``<network><kind>_<name>``, and the mean over the networks
-    at hand as ``SP<kind>_<name>``. Entities are named by ``name``, whole by default, so no two share one."""
+    at hand as ``SP<kind>_<name>``. Entities are named by ``name``, whole by default, so no two share one.
+
+    Scores hold an entity and network once a window, so there is little to combine before they are dealt out. They are dealt and
+    sorted once, by window and name, and both means are windows over that."""
     name = F.col("entidad") if name is None else name
-    per = scores.where(F.col("entidad").isNotNull()).groupBy(*KEYS, network_prefix(F.col("red")).alias("_net"), name.alias("_name")).agg(
-        F.avg("score_final").alias("value"))
-    own = per.select(*KEYS, F.concat("_net", F.lit(f"{kind}_"), "_name").alias("name"), "value")
-    mean = per.groupBy(*KEYS, "_name").agg(F.avg("value").alias("value"))
-    return own.unionByName(mean.select(*KEYS, F.concat(F.lit(f"SP{kind}_"), "_name").alias("name"), "value"))
+    named = scores.where(F.col("entidad").isNotNull()).select(
+        *KEYS, name.alias("_name"), network_prefix(F.col("red")).alias("_net"), "score_final").repartition(*KEYS, "_name")
+    of_name, of_net = Window.partitionBy(*KEYS, "_name"), Window.partitionBy(*KEYS, "_name", "_net")
+    # Numbered before the mean, whose order is then there already.
+    per = named.withColumn("_rn", F.row_number().over(of_net.orderBy("score_final"))).withColumn(
+        "value", F.avg("score_final").over(of_net)).where("_rn = 1")
+    both = per.withColumn("_mean", F.avg("value").over(of_name)).withColumn("_rn", F.row_number().over(of_name.orderBy("_net")))
+    own = F.struct(F.concat("_net", F.lit(f"{kind}_"), "_name").alias("name"), F.col("value"))
+    mean = F.struct(F.concat(F.lit(f"SP{kind}_"), "_name").alias("name"), F.col("_mean").alias("value"))
+    return both.select(*KEYS, F.inline(F.when(F.col("_rn") == 1, F.array(own, mean)).otherwise(F.array(own))))
 
 
 def feature_maps(features: DataFrame) -> DataFrame:

@@ -120,3 +120,21 @@ def test_scores_of_odd_posts_compute_them_once(spark, tmp_path):
         assert Counter(out.collect()) == Counter(wn.windowed_scores(given, "candidatos").collect())
     assert seen == [["candidatos", "engagement", "fecha", "intencion_explicita", "red", "score"]] * 2
     assert wn.windowed_scores(posts, "candidatos").count() == 6
+
+
+def test_feature_means_share_one_exchange(spark):
+    """Networks of one prefix, null networks and scores, and repeated rows; the scores are dealt out once for both means."""
+    day = dt.date(2026, 5, 1)
+    rows = [(e, n, w, day, day, v) for e, n, w, v in [
+        ("a", "twitter", 0, 1.0), ("a", "twitter", 0, 1.0), ("a", "twitter", 0, 4.0), ("a", "nuevo", 0, 6.0), ("a", "NUEVO", 0, None), ("a", "youtube", 0, None),
+        ("a", None, 0, 10.0), ("b", "otro", 0, None), ("b", "twitter", 1, 0.0), (None, "twitter", 1, 9.0), ("a", "twitter", None, 8.0)]]
+    scores = spark.createDataFrame(rows, "entidad string, red string, ventana int, fecha_ini_ventana date, fecha_fin_ventana date, score_final double")
+    named = fm.score_features(scores, 1)
+    assert named.columns == [*ft.KEYS, "name", "value"]
+    assert Counter((x["ventana"], x["name"], x["value"]) for x in named.collect()) == Counter([
+        (0, "ST1_a", 2.0), (0, "NUEVO1_a", 6.0), (0, "SY1_a", None), (0, None, 10.0), (0, "SP1_a", 6.0),
+        (0, "OTRO1_b", None), (0, "SP1_b", None), (1, "ST1_b", 0.0), (1, "SP1_b", 0.0), (None, "ST1_a", 8.0), (None, "SP1_a", 8.0)])
+    first = fm.score_features(scores, 2, F.substring("entidad", 1, 0))  # one name for all
+    assert {(x["ventana"], x["name"]): x["value"] for x in first.where("name = 'SP2_'").collect()} == {(0, "SP2_"): 6.0, (1, "SP2_"): 0.0, (None, "SP2_"): 8.0}
+    plan = fm.feature_maps(named)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
